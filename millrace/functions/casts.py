@@ -2,28 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.literals import sql_literal
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+
+# What text must look like to be worth casting to each kind of type.
+# The first group of the whole-number pattern is the part an integer keeps.
+_WHOLE_NUMBER = r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$"
+_NUMBER = (
+    r"(?i)^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?[df]?|0x.*|inf|infinity|nan)\s*$"
+)
+_DATE = r"^\s*[+-]?[0-9]{4,7}(?:-.*)?\s*$"
 
-# Fixed value: a decimal literal whose whole part an integer cast keeps.
-_DECIMAL_TEXT = r"^([+-]?[0-9]+)\.[0-9]*$"
 
+def lenient_cast(expression: str, source: T.DataType, target: str | T.DataType) -> str:
+    """A SQL expression casting ``expression``, of type ``source``, to ``target``.
 
-def to_type(column: Column, source: T.DataType, target: str | T.DataType, strict: bool = False) -> Column:
-    """Cast ``column``, whose type is ``source``, to ``target``.
+    Unreadable input becomes NULL. Text such as ``'2.5'`` or ``'2.0'`` reads as the
+    whole number 2 when the target is integral, so numbers written with a decimal
+    point are not lost.
 
-    Unless ``strict``, unreadable input becomes NULL. Text such as ``'2.5'`` or
-    ``'2.0'`` reads as the whole number 2 when the target is integral, so numbers
-    written with a decimal point are not lost.
+    ``try_cast`` throws and catches an exception for each bad value, which costs
+    a hundred times the cast itself. Text is therefore matched against a pattern
+    first, and only what could be a value of the type reaches the cast.
     """
     wanted = T.DataType.fromDDL(target) if isinstance(target, str) else target
-    if strict:
-        return column.cast(wanted)
-    lenient = column.try_cast(wanted)
-    if isinstance(source, T.StringType) and isinstance(wanted, _INTEGRAL):
-        whole = F.regexp_extract(F.trim(column), _DECIMAL_TEXT, 1)
-        return F.coalesce(lenient, whole.try_cast(wanted))
-    return lenient
+    if isinstance(source, T.StringType):
+        if isinstance(wanted, _INTEGRAL):
+            expression = f"nullif(regexp_extract({expression}, {sql_literal(_WHOLE_NUMBER)}, 1), '')"
+        elif isinstance(wanted, _FRACTIONAL):
+            expression = _matching(expression, _NUMBER)
+        elif isinstance(wanted, T.DateType):
+            expression = _matching(expression, _DATE)
+    return f"try_cast({expression} AS {wanted.simpleString()})"
+
+
+def _matching(expression: str, pattern: str) -> str:
+    return f"CASE WHEN rlike({expression}, {sql_literal(pattern)}) THEN {expression} END"

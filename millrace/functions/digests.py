@@ -1,34 +1,25 @@
-"""Order-free digests of a bag of rows, made of aggregates Spark combines map-side."""
+"""Order-free digests of a bag of values, made of aggregates Spark combines map-side."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+_CHUNK = (1 << 21) - 1
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def bag_digest(expression: str) -> str:
+    """One struct aggregate that two equal bags of values share.
 
-def bag_digest(columns: Sequence[Column]) -> Column:
-    """One struct aggregate that two equal bags of rows share.
-
-    XOR alone cancels pairs of equal rows, so the exact sum of the 64-bit row
-    hashes goes with it. The sum is kept as three sums of 21, 21 and 22 bits: each
-    stays in a long up to 2**41 rows and none needs decimal arithmetic.
+    XOR alone cancels pairs of equal values, so the exact sum of the 64-bit hashes
+    goes with it. The sum is kept as three sums of 21, 21 and 22 bits: each stays
+    in a long up to 2**41 rows and none needs decimal arithmetic.
     """
-    h = F.xxhash64(*columns)
-    low_bits = F.lit((1 << 21) - 1)
-    return F.struct(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.bit_xor(h).alias("xor"),
-        F.sum(h.bitwiseAND(low_bits)).alias("sum_low"),
-        F.sum(F.shiftrightunsigned(h, 21).bitwiseAND(low_bits)).alias("sum_mid"),
-        F.sum(F.shiftrightunsigned(h, 42)).alias("sum_high"),
+    h = f"xxhash64({expression})"
+    return (
+        f"struct(count(1) AS n_rows, bit_xor({h}) AS xor, sum({h} & {_CHUNK}) AS sum_low, "
+        f"sum(shiftrightunsigned({h}, 21) & {_CHUNK}) AS sum_mid, "
+        f"sum(shiftrightunsigned({h}, 42)) AS sum_high)"
     )
 
 
-def digest_as_double(digest: Column) -> Column:
+def digest_as_double(digest: str) -> str:
     """The digest folded to 53 bits, which a double holds exactly; for display."""
-    folded = F.xxhash64(
-        digest["n_rows"], digest["xor"], digest["sum_low"], digest["sum_mid"], digest["sum_high"]
-    )
-    return F.shiftrightunsigned(folded, 11).cast("double")
+    return f"double(shiftrightunsigned(xxhash64({digest}), 11))"

@@ -2,43 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def quoted(name: str) -> str:
+    """A column name as an expression; dots and backticks in it are kept."""
     return "`" + name.replace("`", "``") + "`"
 
 
-def ref(name: str) -> Column:
-    """A reference to a top-level column, dots in the name included."""
-    return F.col(quoted(name))
-
-
-def name_key(spark: SparkSession):
+def name_key(spark: SparkSession) -> Callable[[str], str]:
     """The function under which two column names count as the same one."""
     if spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true":
         return lambda name: name
     return str.lower
 
 
-def find_column(df: DataFrame, name: str) -> str | None:
-    """The frame's own spelling of ``name``, or None when it has no such column."""
-    key = name_key(df.sparkSession)
-    return next((c for c in df.columns if key(c) == key(name)), None)
+class Columns:
+    """The column names of a frame, with look-up by the session's rule."""
+
+    def __init__(self, df: DataFrame):
+        self.names = list(df.columns)
+        self.key = name_key(df.sparkSession)
+        self._by_key = {self.key(c): c for c in self.names}
 
+    def find(self, name: str) -> str | None:
+        """The frame's own spelling of ``name``, or None when it has no such column."""
+        return self._by_key.get(self.key(name))
 
-def find_columns(df: DataFrame, names: Iterable[str]) -> list[str]:
-    """The frame's spelling of every name; a missing one raises."""
-    found = []
-    for name in names:
-        actual = find_column(df, name)
-        if actual is None:
-            raise ValueError(f"no column {name!r} in {df.columns}")
-        found.append(actual)
-    return found
+    def require(self, names: Iterable[str]) -> list[str]:
+        """The frame's spelling of every name; a missing one raises."""
+        found = [self.find(name) for name in names]
+        if None in found:
+            raise ValueError(f"not every one of {list(names)} is among the columns {self.names}")
+        return found
 
 
 def is_path(target: str) -> bool:

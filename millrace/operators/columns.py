@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.casts import to_type
-from millrace.functions.names import find_column, name_key, ref
+from millrace.functions.casts import lenient_cast
+from millrace.functions.literals import sql_literal
+from millrace.functions.names import Columns, name_key, quoted
 
 # Names and format of the audit columns.
 LOADED_AT = "_etl_loaded_at"
@@ -41,11 +42,16 @@ def cast_columns(
 
     ``strict`` fails the job on an unreadable value instead.
     """
+    own = Columns(df)
     casts = {}
     for name, target in mapping.items():
-        actual = find_column(df, name)
-        if actual is not None:
-            casts[actual] = to_type(ref(actual), df.schema[actual].dataType, target, strict)
+        actual = own.find(name)
+        if actual is None:
+            continue
+        if strict:
+            casts[actual] = df[quoted(actual)].cast(target)
+        else:
+            casts[actual] = F.expr(lenient_cast(quoted(actual), df.schema[actual].dataType, target))
     return df.withColumns(casts) if casts else df
 
 
@@ -94,25 +100,20 @@ def flatten_column(
     the same name. A missing column, a map without ``keys`` and any other type
     leave the frame as it is.
     """
-    actual = find_column(df, column)
+    own = Columns(df)
+    actual = own.find(column)
     if actual is None:
         return df
     data_type = df.schema[actual].dataType
     if isinstance(data_type, T.StructType):
-        values = {name: ref(actual).getField(name) for name in data_type.fieldNames()}
+        values = {name: f"{quoted(actual)}.{quoted(name)}" for name in data_type.fieldNames()}
     elif isinstance(data_type, T.MapType) and keys:
-        values = {k: F.try_element_at(ref(actual), F.lit(k)) for k in keys}
+        values = {k: f"try_element_at({quoted(actual)}, {sql_literal(k)})" for k in keys}
     else:
         return df
 
-    same = name_key(df.sparkSession)
     parts = {f"{prefix}_{name}" if prefix else name: value for name, value in values.items()}
-    by_key = {same(name): (name, value) for name, value in parts.items()}
-    projected = []
-    for c in df.columns:
-        if c == actual:
-            continue
-        name, value = by_key.pop(same(c), (c, ref(c)))
-        projected.append(value.alias(name))
-    projected += [value.alias(name) for name, value in by_key.values()]
-    return df.select(*projected)
+    arriving = {own.key(name): f"{value} AS {quoted(name)}" for name, value in parts.items()}
+    kept = [c for c in own.names if c != actual]
+    projected = [arriving.pop(own.key(c), quoted(c)) for c in kept]
+    return df.selectExpr(*projected, *arriving.values())

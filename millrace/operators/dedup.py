@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.names import find_columns, ref
+from millrace.functions.names import Columns, quoted
 
 _RANK = "_dedup_rank"
 
@@ -27,9 +27,9 @@ def drop_duplicates(
     """
     if not subset:
         return df.dropDuplicates()
-    keys = find_columns(df, subset)
+    keys = Columns(df).require(subset)
     if not order_by:
         return df.dropDuplicates(keys)
-    order = [ref(o) if isinstance(o, str) else o for o in order_by]
-    window = Window.partitionBy(*map(ref, keys)).orderBy(*order)
+    order = [quoted(o) if isinstance(o, str) else o for o in order_by]
+    window = Window.partitionBy(*map(quoted, keys)).orderBy(*order)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.names import find_columns, name_key, ref
+from millrace.functions.names import Columns, quoted
 
 ACTION = "_merge_action"
+
+# What a merge can do with a row.
+MERGE_ACTIONS = ("keep", "update", "insert")
+
 _HIT = "_merge_hit"
 
 
@@ -28,56 +30,67 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     small is then broadcast and the target is never shuffled, and with a large
     source AQE can split a hot target key, which it cannot do in a full outer join.
     """
-    same = name_key(target.sparkSession)
-    keys = find_columns(target, keys)
-    given = {same(c): c for c in source.columns}
-    unknown = [c for c in source.columns if same(c) not in {same(t) for t in target.columns}]
+    own, given = Columns(target), Columns(source)
+    keys = own.require(keys)
+    given.require(keys)
+    unknown = [c for c in given.names if own.find(c) is None]
     if unknown:
         raise ValueError(f"merge source has columns the target lacks: {unknown}")
-    find_columns(source, keys)
-
-    def arriving(column: str) -> str:
-        return f"_in_{column}"
 
-    shared = [c for c in target.columns if same(c) in given]
-    incoming = source.select(
-        *[ref(given[same(c)]).cast(target.schema[c].dataType).alias(arriving(c)) for c in shared]
+    types = {field.name: field.dataType.simpleString() for field in target.schema}
+    shared = [c for c in own.names if given.find(c) is not None]
+    incoming = source.selectExpr(
+        *[f"CAST({quoted(given.find(c))} AS {types[c]}) AS {_arriving(c)}" for c in shared]
     )
-    match = reduce(and_, [ref(k) == ref(arriving(k)) for k in keys])
+    match = F.expr(key_match(keys))
     updated = [c for c in shared if c not in keys]
 
     if updated:
-        hit = F.col(_HIT).isNotNull()
-        joined = target.join(incoming.withColumn(_HIT, F.lit(True)), match, "left")
-        present = joined.select(
+        present = target.join(incoming.withColumn(_HIT, F.lit(True)), match, "left").selectExpr(
             *[
-                (F.when(hit, ref(arriving(c))).otherwise(ref(c)) if c in updated else ref(c)).alias(c)
-                for c in target.columns
+                f"CASE WHEN {_HIT} THEN {_arriving(c)} ELSE {quoted(c)} END AS {quoted(c)}"
+                if c in updated
+                else quoted(c)
+                for c in own.names
             ],
-            F.when(hit, F.lit("update")).otherwise(F.lit("keep")).alias(ACTION),
+            f"CASE WHEN {_HIT} THEN 'update' ELSE 'keep' END AS {ACTION}",
         )
     else:
         present = target.withColumn(ACTION, F.lit("keep"))
 
-    wanted = incoming.select(*[ref(arriving(k)) for k in keys])
-    found = target.select(*map(ref, keys)).join(wanted, match, "left_semi").distinct()
-    inserted = incoming.join(found, match, "left_anti").select(
+    wanted = incoming.select(*map(_arriving, keys))
+    found = target.select(*map(quoted, keys)).join(wanted, match, "left_semi").distinct()
+    inserted = incoming.join(found, match, "left_anti").selectExpr(
         *[
-            (ref(arriving(c)) if c in shared else F.lit(None).cast(target.schema[c].dataType)).alias(c)
-            for c in target.columns
+            f"{_arriving(c) if c in shared else f'CAST(NULL AS {types[c]})'} AS {quoted(c)}"
+            for c in own.names
         ],
-        F.lit("insert").alias(ACTION),
+        f"'insert' AS {ACTION}",
     )
     return present.unionByName(inserted)
 
 
+def arriving_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The key columns of a merge source, named as :func:`key_match` expects."""
+    given = Columns(source).require(keys)
+    return source.selectExpr(*[f"{quoted(g)} AS {_arriving(k)}" for g, k in zip(given, keys)])
+
+
+def key_match(keys: Sequence[str]) -> str:
+    """The condition under which an arriving row belongs to a target row."""
+    return " AND ".join(f"{quoted(k)} = {_arriving(k)}" for k in keys)
+
+
 def repeated_key(source: DataFrame, keys: Sequence[str]) -> dict | None:
     """One key the source holds more than once, or None. Runs one job.
 
     Keys with a NULL in them are left out, since they match nothing.
     """
-    keys = find_columns(source, keys)
-    complete = source.select(*map(ref, keys)).dropna()
-    repeated = complete.groupBy(*map(ref, keys)).agg(F.count(F.lit(1)).alias("_copies"))
-    rows = repeated.where(F.col("_copies") > 1).limit(1).collect()
-    return rows[0].asDict() if rows else None
+    keys = [quoted(k) for k in Columns(source).require(keys)]
+    complete = source.select(*keys).dropna()
+    repeated = complete.groupBy(*keys).count().where("count > 1").drop("count").limit(1).collect()
+    return repeated[0].asDict() if repeated else None
+
+
+def _arriving(column: str) -> str:
+    return quoted(f"_in_{column}")

@@ -10,14 +10,21 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-
-from millrace.functions.names import find_columns, is_path, qualified_name, quoted, quoted_table, ref
-from millrace.operators.merge import ACTION, merge_frames, repeated_key
+from pyspark.sql import types as T
+
+from millrace.functions.literals import sql_literal
+from millrace.functions.names import Columns, is_path, qualified_name, quoted, quoted_table
+from millrace.operators.merge import (
+    ACTION,
+    MERGE_ACTIONS,
+    arriving_keys,
+    key_match,
+    merge_frames,
+    repeated_key,
+)
 from millrace.operators.observe import count_rows
 from millrace.sources.tables import read_target
 from millrace.storage import path_exists, scratch_path
@@ -25,12 +32,14 @@ from millrace.storage import path_exists, scratch_path
 # The write modes a load accepts.
 WRITE_MODES = ("append", "overwrite", "merge")
 
-MERGE_ACTIONS = ("keep", "update", "insert")
-
 _VERSION = "__version_"
 
 _FILE_PROVIDERS = ("parquet", "orc", "json", "csv", "avro", "text")
 
+_LITERAL_TYPES = (
+    T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType
+)
+
 # More partitions than this are not named one by one in a filter; the merge then
 # rewrites the whole target, with the same result.
 _MAX_NAMED_PARTITIONS = 10_000
@@ -109,12 +118,13 @@ def lay_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str
     many tasks and a rare one does not get a file per task. Sorting inside each
     task keeps the row-group and page ranges of the clustering columns narrow.
     """
-    partition_by, cluster_by = find_columns(df, partition_by), find_columns(df, cluster_by)
-    spread = partition_by or cluster_by
-    if not spread:
+    if not partition_by and not cluster_by:
         return df
+    own = Columns(df)
+    partition_by, cluster_by = own.require(partition_by), own.require(cluster_by)
+    spread = [F.col(quoted(c)) for c in partition_by or cluster_by]
     order = [*partition_by, *[c for c in cluster_by if c not in partition_by]]
-    return df.hint("rebalance", *map(ref, spread)).sortWithinPartitions(*map(ref, order))
+    return df.hint("rebalance", *spread).sortWithinPartitions(*map(quoted, order))
 
 
 def publish_stage(
@@ -179,13 +189,13 @@ def _merge_by_swap(
     location = f"{base}{_VERSION}{uuid.uuid4().hex}"
 
     seen = Observation(f"merge {target}")
-    counters = [F.count_if(F.col(ACTION) == action).alias(action) for action in MERGE_ACTIONS]
+    counters = [F.expr(f"count_if({ACTION} = '{a}') AS {a}") for a in MERGE_ACTIONS]
     merged = lay_out(merge_frames(current, df, keys), (), cluster_by).observe(seen, *counters)
     merged.drop(ACTION).write.format(_provider(spark, target)).save(location)
     counts = {action: seen.get.get(action, 0) for action in MERGE_ACTIONS}
 
     _same_total(target, current, counts)
-    spark.sql(f"ALTER TABLE {quoted_table(target)} SET LOCATION {_text(location)}")
+    spark.sql(f"ALTER TABLE {quoted_table(target)} SET LOCATION {sql_literal(location)}")
     spark.catalog.refreshTable(target)
     return _merge_result(target, counts, location)
 
@@ -205,14 +215,16 @@ def _merge_by_stage(
     also what an interrupted publication is repeated from.
     """
     spark = df.sparkSession
-    partition_by, keys = find_columns(current, partition_by), find_columns(current, keys)
+    own = Columns(current)
+    partition_by, keys = own.require(partition_by), own.require(keys)
     touched = _touched_partitions(current, df, keys, partition_by)
     old = current if touched is None else current.where(touched)
 
     stage = scratch_path(spark, target.rstrip("/").replace("/", ".").rsplit(".", 1)[-1] + "_etl_stage")
-    merge_frames(old, df, keys).write.parquet(stage)
-    staged = spark.read.parquet(stage)
-    counts = dict.fromkeys(MERGE_ACTIONS, 0) | {r[0]: r[1] for r in staged.groupBy(ACTION).count().collect()}
+    merged = merge_frames(old, df, keys)
+    merged.write.parquet(stage)
+    staged = spark.read.schema(merged.schema).parquet(stage)
+    counts = dict.fromkeys(MERGE_ACTIONS, 0) | dict(staged.groupBy(ACTION).count().collect())
     _same_total(target, old, counts)
 
     if touched is None:
@@ -221,18 +233,18 @@ def _merge_by_stage(
 
     left_empty = []
     if not set(partition_by) <= set(keys):
-        before = old.select(*map(ref, partition_by)).distinct()
-        after = staged.select(*map(ref, partition_by)).distinct()
+        before = old.select(*map(quoted, partition_by)).distinct()
+        after = staged.select(*map(quoted, partition_by)).distinct()
         left_empty = before.subtract(after).collect()
     if left_empty and is_path(target):
         # Nothing but a full rewrite removes a partition directory through Spark.
         whole = scratch_path(spark, "whole_etl_stage")
-        kept = current.where(~touched).withColumn(ACTION, F.lit("keep"))
+        kept = current.where(f"NOT ({touched})").withColumn(ACTION, F.lit("keep"))
         staged.unionByName(kept).write.parquet(whole)
         publish_stage(spark, whole, target, partition_by, cluster_by, format, whole=True)
         return _merge_result(target, counts, whole)
     for partition in left_empty:
-        spec = ", ".join(f"{quoted(c)} = {_text(partition[c])}" for c in partition_by)
+        spec = ", ".join(f"{quoted(c)} = {_partition_value(partition[c])}" for c in partition_by)
         spark.sql(f"ALTER TABLE {quoted_table(target)} DROP IF EXISTS PARTITION ({spec})")
     publish_stage(spark, stage, target, partition_by, cluster_by, format)
     return _merge_result(target, counts, stage)
@@ -240,7 +252,7 @@ def _merge_by_stage(
 
 def _touched_partitions(
     current: DataFrame, df: DataFrame, keys: list[str], partition_by: list[str]
-) -> Column | None:
+) -> str | None:
     """A predicate on the first partition column that covers every partition the merge changes.
 
     Those are the partitions source rows arrive in and, unless the partition is
@@ -248,34 +260,31 @@ def _touched_partitions(
     as literals: they name directories, whose list the driver holds anyway, and
     literals prune them before the scan. None when nothing can be pruned.
     """
-    if not partition_by:
+    given = Columns(df)
+    if not partition_by or given.find(partition_by[0]) is None:
         return None
-    column = partition_by[0]
-    try:
-        arriving = find_columns(df, [column])[0]
-    except ValueError:
-        return None  # inserts land in the NULL partition, updates stay where they are
-    values = df.select(ref(arriving).cast(current.schema[column].dataType).alias("value"))
+    column = quoted(partition_by[0])
+    kind = current.schema[partition_by[0]].dataType
+    if not isinstance(kind, _LITERAL_TYPES):
+        return None
+    values = df.selectExpr(f"CAST({quoted(given.find(partition_by[0]))} AS {kind.simpleString()}) AS value")
     if not set(partition_by) <= set(keys):
-        own = find_columns(df, keys)
-        wanted = df.select(*[ref(o).alias(f"_in_{k}") for k, o in zip(keys, own)])
-        match = reduce(and_, [ref(k) == ref(f"_in_{k}") for k in keys])
-        today = current.join(wanted, match, "left_semi").select(ref(column).alias("value"))
-        values = values.unionByName(today)
+        today = current.join(arriving_keys(df, keys), F.expr(key_match(keys)), "left_semi")
+        values = values.unionByName(today.selectExpr(f"{column} AS value"))
     rows = values.distinct().limit(_MAX_NAMED_PARTITIONS + 1).collect()
     if len(rows) > _MAX_NAMED_PARTITIONS:
         return None
-    named = [r.value for r in rows if r.value is not None]
-    predicate = ref(column).isin(named) if named else F.lit(False)
+    named = [sql_literal(r.value) for r in rows if r.value is not None]
+    hits = [f"coalesce({column} IN ({', '.join(named)}), false)"] if named else []
     if len(named) < len(rows):
-        predicate = F.coalesce(predicate, F.lit(False)) | ref(column).isNull()
-    return F.coalesce(predicate, F.lit(False)) if not rows else predicate
+        hits.append(f"{column} IS NULL")
+    return " OR ".join(hits) or "false"
 
 
 def _native_merge(df: DataFrame, target: str, keys: Sequence[str]) -> None:
     """Hand the merge to a table format with row-level operations of its own."""
     source = df.alias("source")
-    match = reduce(and_, [F.col(f"{target}.{k}") == F.col(f"source.{k}") for k in keys])
+    match = F.expr(" AND ".join(f"{quoted_table(target)}.{quoted(k)} = source.{quoted(k)}" for k in keys))
     values = {c: F.col(f"source.{c}") for c in df.columns}
     changes = {c: v for c, v in values.items() if c not in keys}
     writer = source.mergeInto(target, match)
@@ -360,7 +369,5 @@ def _provider(spark: SparkSession, table: str) -> str:
     return _detail(spark, table, "Provider").lower()
 
 
-def _text(value: object) -> str:
-    if value is None:
-        return "NULL"
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _partition_value(value: object) -> str:
+    return "NULL" if value is None else sql_literal(str(value))

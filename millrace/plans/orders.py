@@ -154,11 +154,12 @@ def run_orders(
     raw = read_files(spark, raw_path, raw_format, raw_schema, raw_options)
     raw_rows = write_run_date(raw, staging, run_date)
 
-    landed = read_run_date(spark, staging, run_date).drop("run_date")
+    landed = read_run_date(spark, staging, run_date, schema=raw.schema).drop("run_date")
     clean = clean_orders(run_date, loaded_at=loaded_at, order_by=order_by).apply(landed)
-    curated_rows = write_run_date(enrich_orders(clean), curated, run_date)
+    enriched = enrich_orders(clean)
+    curated_rows = write_run_date(enriched, curated, run_date)
 
-    batch = read_run_date(spark, curated, run_date).drop("run_date")
+    batch = read_run_date(spark, curated, run_date, schema=enriched.schema).drop("run_date")
     report = q.quality_report(batch, orders_checks("orders_curated"))
     verdicts = q.enforce_quality(report, "orders_curated", fail_on_error)
 

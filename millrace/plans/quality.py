@@ -10,70 +10,82 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row
 
-from millrace.functions.names import find_column, ref
+from millrace.functions.literals import sql_literal
+from millrace.functions.names import Columns, quoted
 
 log = logging.getLogger(__name__)
 
 # Fixed value: the share of NULLs a column may have unless the caller says otherwise.
 NULL_THRESHOLD = 0.05
 
-REPORT_COLUMNS = ("check_no", "check_name", "passed", "observed", "threshold", "details")
+ROWS = "n_rows"
+MEASURE = "measure"
 
 
 class QualityGateError(RuntimeError):
     """At least one check of a table failed."""
 
 
+@dataclass(frozen=True)
+class Verdict:
+    """SQL expressions over the row count and a measure that fill one report row."""
+
+    passed: str
+    observed: str
+    threshold: float = 0.0
+    details: dict[str, str] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class Check:
-    """A rule: which violations to count and how to judge the count.
+    """A rule: what to measure on a frame and how to judge the measure.
 
-    ``violation`` gives a per-row predicate for the shared aggregation, ``totals``
-    a one-row frame ``(n_rows, measure)`` for checks that need their own pass, and
-    a check with neither is decided from the schema alone. ``judge`` turns row
-    count and measure into ``(observed, threshold, details)``; the check passes
-    when observed does not exceed the threshold.
+    ``violation`` gives a per-row SQL predicate whose hits the shared aggregation
+    counts; ``totals`` a one-row frame ``(n_rows, measure)`` for a check that needs
+    its own pass; a check with neither is decided from the schema alone. ``judge``
+    takes the name of the measure's column.
     """
 
     name: str
     columns: tuple[str, ...]
-    judge: Callable[[Column, Column], tuple[Column, Column, dict[str, Column]]]
-    violation: Callable[[DataFrame], Column] | None = None
-    totals: Callable[[DataFrame], DataFrame] | None = None
-    passes: Callable[[Column, Column], Column] = lambda observed, threshold: observed <= threshold
+    violation: Callable[[Columns], str] | None = None
+    totals: Callable[[DataFrame, Columns], DataFrame] | None = None
+    judge: Callable[[str], Verdict] | None = None
 
 
 def not_empty(table: str = "") -> Check:
     """The frame has at least one row."""
+    details = {"row_count": ROWS, "table": sql_literal(table)}
     return Check(
         name="not_empty",
         columns=(),
-        violation=lambda df: F.lit(False),
-        judge=lambda rows, _: (rows, F.lit(0), {"row_count": rows, "table": F.lit(table)}),
-        passes=lambda observed, threshold: observed > threshold,
+        violation=lambda own: "false",
+        judge=lambda _: Verdict(f"{ROWS} > 0", ROWS, details=details),
     )
 
 
 def no_nulls(columns: Sequence[str], threshold: float = NULL_THRESHOLD) -> list[Check]:
     """Per column, the share of NULLs is at most ``threshold``; an empty frame passes."""
+    limit = sql_literal(float(threshold))
 
-    def judge(rows: Column, nulls: Column):
-        rate = F.when(rows > 0, nulls / rows).otherwise(F.lit(0.0))
-        return rate, F.lit(float(threshold)), {
-            "null_count": nulls,
-            "null_rate": F.round(rate, 4),
-            "threshold": F.lit(float(threshold)),
-        }
+    def judge(nulls: str) -> Verdict:
+        rate = f"coalesce(try_divide({nulls}, {ROWS}), 0D)"
+        details = {"null_count": nulls, "null_rate": f"round({rate}, 4)", "threshold": limit}
+        return Verdict(f"{rate} <= {limit}", rate, threshold, details)
 
     return [
-        Check(f"no_nulls:{c}", (c,), judge, violation=lambda df, c=c: _own(df, c).isNull())
+        Check(
+            name=f"no_nulls:{c}",
+            columns=(c,),
+            violation=lambda own, c=c: f"{quoted(own.find(c))} IS NULL",
+            judge=judge,
+        )
         for c in columns
     ]
 
@@ -81,20 +93,16 @@ def no_nulls(columns: Sequence[str], threshold: float = NULL_THRESHOLD) -> list[
 def unique(columns: Sequence[str]) -> Check:
     """No two rows share a key; NULL is a key value like any other."""
 
-    def totals(df: DataFrame) -> DataFrame:
-        per_key = df.groupBy(*[_own(df, c) for c in columns]).agg(F.count(F.lit(1)).alias("n"))
-        return per_key.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("measure")
-        )
+    def totals(df: DataFrame, own: Columns) -> DataFrame:
+        per_key = df.groupBy(*map(quoted, own.require(columns))).count()
+        return per_key.selectExpr(f"coalesce(sum(count), 0) AS {ROWS}", f"count(1) AS {MEASURE}")
 
-    def judge(rows: Column, distinct: Column):
-        return rows - distinct, F.lit(0), {
-            "total_rows": rows,
-            "distinct_rows": distinct,
-            "duplicates": rows - distinct,
-        }
+    def judge(distinct: str) -> Verdict:
+        duplicates = f"{ROWS} - {distinct}"
+        details = {"total_rows": ROWS, "distinct_rows": distinct, "duplicates": duplicates}
+        return Verdict(f"{duplicates} = 0", duplicates, details=details)
 
-    return Check(f"unique:{','.join(columns)}", tuple(columns), judge, totals=totals)
+    return Check(f"unique:{','.join(columns)}", tuple(columns), totals=totals, judge=judge)
 
 
 def value_range(column: str, min_value: Any = None, max_value: Any = None) -> Check:
@@ -102,24 +110,21 @@ def value_range(column: str, min_value: Any = None, max_value: Any = None) -> Ch
 
     NaN sorts above every number: it passes a lower bound and fails an upper one.
     """
+    bounds = {"min": min_value, "max": max_value}
+    shown = {k: sql_literal(None if v is None else str(v)) for k, v in bounds.items()}
 
-    def violation(df: DataFrame) -> Column:
-        value = _own(df, column)
-        outside = F.lit(False)
-        if min_value is not None:
-            outside = outside | (value < min_value)
-        if max_value is not None:
-            outside = outside | (value > max_value)
-        return outside
-
-    def judge(rows: Column, violations: Column):
-        return violations, F.lit(0), {
-            "out_of_range_count": violations,
-            "min": F.lit(None if min_value is None else str(min_value)),
-            "max": F.lit(None if max_value is None else str(max_value)),
-        }
+    def violation(own: Columns) -> str:
+        value = quoted(own.find(column))
+        low = f"{value} < {sql_literal(min_value)}" if min_value is not None else "false"
+        high = f"{value} > {sql_literal(max_value)}" if max_value is not None else "false"
+        return f"{low} OR {high}"
 
-    return Check(f"value_range:{column}", (column,), judge, violation=violation)
+    return Check(
+        name=f"value_range:{column}",
+        columns=(column,),
+        violation=violation,
+        judge=lambda n: Verdict(f"{n} = 0", n, details={"out_of_range_count": n, **shown}),
+    )
 
 
 def allowed_values(column: str, allowed: Sequence[Any] | DataFrame) -> Check:
@@ -127,38 +132,23 @@ def allowed_values(column: str, allowed: Sequence[Any] | DataFrame) -> Check:
 
     ``allowed`` may be a one-column frame for lists too long to write down. The
     checked column is then reduced to its distinct values with counts before the
-    anti-join, so the join never carries a hot value twice, and Spark broadcasts
-    the list only if it measures small enough.
+    join, so the join never carries a hot value twice, and Spark broadcasts the
+    list only if it measures small enough.
     """
     if isinstance(allowed, DataFrame):
-        listed = allowed.toDF("value").where(F.col("value").isNotNull()).distinct()
-
-        def totals(df: DataFrame) -> DataFrame:
-            counts = df.groupBy(_own(df, column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-            hits = counts.join(listed.withColumn("listed", F.lit(True)), "value", "left")
-            outside = F.col("value").isNotNull() & F.col("listed").isNull()
-            return hits.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-                F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("measure"),
-            )
-
-        how = {"totals": totals}
-        shown = F.lit(f"table({', '.join(allowed.columns)})")
+        shown = f"table({', '.join(allowed.columns)})"
+        how = {"totals": lambda df, own: _unlisted(df, quoted(own.find(column)), allowed)}
     else:
-        values = [v for v in allowed if v is not None]
-
-        def violation(df: DataFrame) -> Column:
-            value = _own(df, column)
-            return value.isNotNull() & ~value.isin(values) if values else value.isNotNull()
-
-        how = {"violation": violation}
-        shown = F.lit(str(list(allowed)))
+        shown = str(list(allowed))
+        listed = ", ".join(sql_literal(v) for v in allowed if v is not None)
+        rule = f"NOT IN ({listed})" if listed else "IS NOT NULL"
+        how = {"violation": lambda own: f"{quoted(own.find(column))} {rule}"}
 
     return Check(
         name=f"allowed_values:{column}",
         columns=(column,),
-        judge=lambda rows, violations: (
-            violations, F.lit(0), {"violation_count": violations, "allowed": shown}
+        judge=lambda n: Verdict(
+            f"{n} = 0", n, details={"violation_count": n, "allowed": sql_literal(shown)}
         ),
         **how,
     )
@@ -166,7 +156,7 @@ def allowed_values(column: str, allowed: Sequence[Any] | DataFrame) -> Check:
 
 def has_columns(expected: Sequence[str]) -> Check:
     """All expected names are present; other columns and all types are ignored."""
-    return Check("schema_check", tuple(expected), judge=lambda rows, measure: (F.lit(0), F.lit(0), {}))
+    return Check("schema_check", tuple(expected))
 
 
 def quality_report(df: DataFrame, checks: Sequence[Check | Sequence[Check]]) -> DataFrame:
@@ -178,35 +168,28 @@ def quality_report(df: DataFrame, checks: Sequence[Check | Sequence[Check]]) ->
     if not flat:
         raise ValueError("give at least one check")
 
-    fixed, shared, keyed = [], [], []
+    own = Columns(df)
+    verdicts, measures, parts = [], [], []
     for number, check in enumerate(flat, start=1):
-        missing = [c for c in check.columns if find_column(df, c) is None]
+        missing = [c for c in check.columns if own.find(c) is None]
         if check.violation is None and check.totals is None:
-            fixed.append((number, check, _schema_verdict(number, check, df, missing)))
+            verdicts.append(_schema_verdict(number, check, own, missing))
         elif missing:
-            fixed.append((number, check, _missing_verdict(number, check, missing)))
+            verdicts.append(_missing_verdict(number, check, missing))
         elif check.violation is not None:
-            shared.append((number, check))
+            measure = f"m{number}"
+            measures.append(f"count_if({check.violation(own)}) AS {measure}")
+            verdicts.append(_report_row(number, check.name, check.judge(measure)))
         else:
-            keyed.append((number, check))
-
-    verdicts = [verdict for _, _, verdict in fixed]
-    parts = []
-    if shared:
-        totals = df.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            *[F.count_if(check.violation(df)).alias(f"m{number}") for number, check in shared],
-        )
-        verdicts = verdicts + [
-            _verdict(number, check, F.col("n_rows"), F.col(f"m{number}")) for number, check in shared
-        ]
-        parts.append(totals.select(F.inline(F.array(*verdicts))))
-    elif verdicts:
-        one_row = df.sparkSession.range(0, 1, 1, 1)
-        parts.append(one_row.select(F.inline(F.array(*verdicts))))
-    for number, check in keyed:
-        verdict = _verdict(number, check, F.col("n_rows"), F.col("measure"))
-        parts.append(check.totals(df).select(F.inline(F.array(verdict))))
+            verdict = _report_row(number, check.name, check.judge(MEASURE))
+            parts.append(check.totals(df, own).selectExpr(f"inline(array({verdict}))"))
+
+    if verdicts:
+        if measures:
+            base = df.selectExpr(f"count(1) AS {ROWS}", *measures)
+        else:
+            base = df.sparkSession.range(0, 1, 1, 1)
+        parts.insert(0, base.selectExpr(f"inline(array({', '.join(verdicts)}))"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -230,38 +213,33 @@ def describe_check(row: Row) -> str:
     return f"{'PASS' if row.passed else 'FAIL'} [{row.check_name}] {dict(row.details)}"
 
 
-def _own(df: DataFrame, column: str) -> Column:
-    return ref(find_column(df, column))
-
-
-def _verdict(number: int, check: Check, rows: Column, measure: Column) -> Column:
-    observed, threshold, details = check.judge(rows, measure)
-    return _report_row(number, check.name, check.passes(observed, threshold), observed, threshold, details)
+def _unlisted(df: DataFrame, value: str, allowed: DataFrame) -> DataFrame:
+    listed = allowed.toDF("value").where("value IS NOT NULL").distinct().selectExpr("value", "true AS listed")
+    counts = df.selectExpr(f"{value} AS value").groupBy("value").count()
+    return counts.join(listed, "value", "left").selectExpr(
+        f"coalesce(sum(count), 0) AS {ROWS}",
+        f"coalesce(sum(count) FILTER (WHERE value IS NOT NULL AND listed IS NULL), 0) AS {MEASURE}",
+    )
 
 
-def _missing_verdict(number: int, check: Check, missing: list[str]) -> Column:
-    details = {"error": F.lit(f"missing column: {', '.join(missing)}")}
-    return _report_row(number, check.name, F.lit(False), F.lit(None), F.lit(None), details)
+def _missing_verdict(number: int, check: Check, missing: list[str]) -> str:
+    details = {"error": sql_literal(f"missing column: {', '.join(missing)}")}
+    return _report_row(number, check.name, Verdict("false", "NULL", None, details))
 
 
-def _schema_verdict(number: int, check: Check, df: DataFrame, missing: list[str]) -> Column:
+def _schema_verdict(number: int, check: Check, own: Columns, missing: list[str]) -> str:
     details = {
-        "missing_columns": F.lit(",".join(missing)),
-        "actual_columns": F.lit(",".join(df.columns)),
+        "missing_columns": sql_literal(",".join(missing)),
+        "actual_columns": sql_literal(",".join(own.names)),
     }
-    return _report_row(number, check.name, F.lit(not missing), F.lit(len(missing)), F.lit(0), details)
-
-
-def _report_row(
-    number: int, name: str, passed: Column, observed: Column, threshold: Column, details: dict[str, Column]
-) -> Column:
-    entries = [part for k, v in details.items() for part in (F.lit(k), v.cast("string"))]
-    values = (
-        F.lit(number),
-        F.lit(name),
-        passed,
-        observed.cast("double"),
-        threshold.cast("double"),
-        F.create_map(*entries),
+    verdict = Verdict(sql_literal(not missing), str(len(missing)), details=details)
+    return _report_row(number, check.name, verdict)
+
+
+def _report_row(number: int, name: str, verdict: Verdict) -> str:
+    entries = ", ".join(f"{sql_literal(k)}, string({v})" for k, v in verdict.details.items())
+    return (
+        f"struct({number} AS check_no, {sql_literal(name)} AS check_name, {verdict.passed} AS passed, "
+        f"double({verdict.observed}) AS observed, double({sql_literal(verdict.threshold)}) AS threshold, "
+        f"map({entries}) AS details)"
     )
-    return F.struct(*[v.alias(n) for n, v in zip(REPORT_COLUMNS, values)])

@@ -11,23 +11,19 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row
 
 from millrace.functions.digests import bag_digest, digest_as_double
-from millrace.functions.names import find_columns, ref
+from millrace.functions.literals import sql_literal
+from millrace.functions.names import Columns, quoted
 
 log = logging.getLogger(__name__)
 
 # Fixed value: the relative difference allowed unless the caller says otherwise.
 TOLERANCE = 0.001
 
-# Aggregate names a caller may ask for.
-AGGREGATES = {"sum": F.sum, "count": F.count, "avg": F.avg}
-
-REPORT_COLUMNS = (
-    "check_no", "check_name", "passed", "source_value", "target_value", "variance_pct", "tolerance"
-)
+# Aggregate functions a caller may ask for.
+AGGREGATES = ("sum", "count", "avg")
 
 
 class ReconciliationError(RuntimeError):
@@ -36,19 +32,24 @@ class ReconciliationError(RuntimeError):
 
 @dataclass(frozen=True)
 class Measure:
-    """A value computed on both sides and how the two are compared."""
+    """An aggregate computed on both sides, and how the two results compare.
+
+    ``compute`` gives the aggregate as SQL; ``shown`` and ``variance`` are SQL over
+    its results.
+    """
 
     name: str
     columns: tuple[str, ...]
-    compute: Callable[[DataFrame], Column]
-    value: Callable[[Column], Column]
-    variance: Callable[[Column, Column], Column]
+    compute: Callable[[Columns], str]
     tolerance: float
+    shown: Callable[[str], str] = lambda value: value
+    variance: Callable[[str, str], str] = lambda source, target: _relative_gap(source, target)
+    same_type: bool = False
 
 
 def row_count(tolerance: float = TOLERANCE) -> Measure:
     """The number of rows."""
-    return Measure("row_count", (), lambda df: F.count(F.lit(1)), _number, _relative_gap, tolerance)
+    return Measure("row_count", (), lambda own: "double(count(1))", tolerance)
 
 
 def aggregate(column: str, function: str = "sum", tolerance: float = TOLERANCE) -> Measure:
@@ -60,10 +61,10 @@ def aggregate(column: str, function: str = "sum", tolerance: float = TOLERANCE)
     if function not in AGGREGATES:
         raise ValueError(f"cannot reconcile by {function!r}; known: {', '.join(AGGREGATES)}")
 
-    def compute(df: DataFrame) -> Column:
-        return AGGREGATES[function](_own(df, column))
+    def compute(own: Columns) -> str:
+        return f"coalesce(double({function}({quoted(own.find(column))})), 0D)"
 
-    return Measure(f"{function}:{column}", (column,), compute, _number, _relative_gap, tolerance)
+    return Measure(f"{function}:{column}", (column,), compute, tolerance)
 
 
 def column_hash(columns: Sequence[str]) -> list[Measure]:
@@ -71,13 +72,15 @@ def column_hash(columns: Sequence[str]) -> list[Measure]:
 
     The variance is 0 when the digests agree and 1 when they do not.
     """
-
-    def variance(source: Column, target: Column) -> Column:
-        return F.when(source == target, F.lit(0.0)).otherwise(F.lit(1.0))
-
     return [
         Measure(
-            f"hash:{c}", (c,), lambda df, c=c: bag_digest([_own(df, c)]), digest_as_double, variance, 0.0
+            name=f"hash:{c}",
+            columns=(c,),
+            compute=lambda own, c=c: bag_digest(quoted(own.find(c))),
+            tolerance=0.0,
+            shown=digest_as_double,
+            variance=lambda source, target: f"if({source} = {target}, 0D, 1D)",
+            same_type=True,
         )
         for c in columns
     ]
@@ -90,26 +93,25 @@ def reconciliation_report(
     flat = [m for item in measures for m in (item if isinstance(item, (list, tuple)) else [item])]
     if not flat:
         raise ValueError("give at least one measure")
+    own = {"source": Columns(source), "target": Columns(target)}
     for measure in flat:
-        if measure.name.startswith("hash:"):
-            _same_type(source, target, measure.columns[0])
-
-    names = [f"m{i}" for i in range(len(flat))]
-    sides = {}
-    for side, df in (("source", source), ("target", target)):
-        values = [m.compute(df).alias(n) for n, m in zip(names, flat)]
-        sides[side] = df.agg(*values).select(
-            *[_widened(m, F.col(n)).alias(n) for n, m in zip(names, flat)], F.lit(side).alias("side")
+        names = [own[side].require(measure.columns) for side in own]
+        if measure.same_type:
+            _require_same_type(source, target, *[n[0] for n in names])
+
+    both = [
+        df.selectExpr(
+            f"'{side}' AS side", *[f"{m.compute(own[side])} AS m{i}" for i, m in enumerate(flat, start=1)]
         )
-    both = sides["source"].unionByName(sides["target"])
-    picked = [
-        F.max(F.when(F.col("side") == side, F.col(n))).alias(f"{side}_{n}") for side in sides for n in names
+        for side, df in (("source", source), ("target", target))
     ]
-    rows = [
-        _report_row(i, m, F.col(f"source_{n}"), F.col(f"target_{n}"))
-        for i, (n, m) in enumerate(zip(names, flat), start=1)
+    picked = [
+        f"max(m{i}) FILTER (WHERE side = '{side}') AS {side}_{i}"
+        for side in own
+        for i in range(1, len(flat) + 1)
     ]
-    return both.agg(*picked).select(F.inline(F.array(*rows)))
+    rows = [_report_row(i, m, f"source_{i}", f"target_{i}") for i, m in enumerate(flat, start=1)]
+    return both[0].unionByName(both[1]).selectExpr(*picked).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def enforce_reconciliation(report: DataFrame, table: str, fail_on_error: bool = True) -> list[Row]:
@@ -135,41 +137,25 @@ def describe_measure(row: Row) -> str:
     )
 
 
-def _own(df: DataFrame, column: str) -> Column:
-    return ref(find_columns(df, [column])[0])
-
+def _require_same_type(source: DataFrame, target: DataFrame, in_source: str, in_target: str) -> None:
+    left, right = source.schema[in_source].dataType, target.schema[in_target].dataType
+    if left != right:
+        raise ValueError(f"{in_source!r} is {left} on one side and {right} on the other; cast one of them")
 
-def _same_type(source: DataFrame, target: DataFrame, column: str) -> None:
-    types = {df.schema[find_columns(df, [column])[0]].dataType for df in (source, target)}
-    if len(types) > 1:
-        raise ValueError(f"{column!r} has two types, {types}; cast one side before comparing hashes")
 
-
-def _number(value: Column) -> Column:
-    return F.coalesce(value.cast("double"), F.lit(0.0))
-
-
-def _widened(measure: Measure, value: Column) -> Column:
-    """Numbers meet as doubles, since the two sides may store different numeric types."""
-    return value if measure.value is digest_as_double else _number(value)
-
-
-def _relative_gap(source: Column, target: Column) -> Column:
+def _relative_gap(source: str, target: str) -> str:
     """``|s - t| / |s|``; from a zero source, 0 if the target is zero too, else infinite."""
-    gap = F.abs(source - target)
-    from_zero = F.when(target == 0, F.lit(0.0)).otherwise(F.lit(float("inf")))
-    return F.when(source == 0, from_zero).otherwise(F.try_divide(gap, F.abs(source)))
+    return (
+        f"CASE WHEN {source} = 0 THEN if({target} = 0, 0D, double('Infinity')) "
+        f"ELSE abs({source} - {target}) / abs({source}) END"
+    )
 
 
-def _report_row(number: int, measure: Measure, source: Column, target: Column) -> Column:
+def _report_row(number: int, measure: Measure, source: str, target: str) -> str:
     variance = measure.variance(source, target)
-    values = (
-        F.lit(number),
-        F.lit(measure.name),
-        variance <= F.lit(measure.tolerance),
-        measure.value(source),
-        measure.value(target),
-        variance,
-        F.lit(float(measure.tolerance)),
+    tolerance = sql_literal(float(measure.tolerance))
+    return (
+        f"struct({number} AS check_no, {sql_literal(measure.name)} AS check_name, "
+        f"{variance} <= {tolerance} AS passed, {measure.shown(source)} AS source_value, "
+        f"{measure.shown(target)} AS target_value, {variance} AS variance_pct, {tolerance} AS tolerance)"
     )
-    return F.struct(*[v.alias(n) for n, v in zip(REPORT_COLUMNS, values)])

@@ -3,17 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DateType, StructField, StructType
 
 from millrace.functions.names import is_path, qualified_name
 
 
-def read_run_date(spark: SparkSession, zone: str, run_date: str, format: str = "parquet") -> DataFrame:
+def read_run_date(
+    spark: SparkSession,
+    zone: str,
+    run_date: str,
+    format: str = "parquet",
+    schema: StructType | None = None,
+) -> DataFrame:
     """One logical date of a zone.
 
     Only that partition's directory is listed; ``basePath`` keeps ``run_date`` as
-    a column.
+    a column. ``schema`` (without ``run_date``) saves the job that reads one from
+    a file footer.
     """
-    return spark.read.format(format).option("basePath", zone).load(f"{zone}/run_date={run_date}")
+    reader = spark.read.format(format).option("basePath", zone)
+    if schema is not None:
+        reader = reader.schema(StructType([*schema, StructField("run_date", DateType())]))
+    return reader.load(f"{zone}/run_date={run_date}")
 
 
 def read_target(spark: SparkSession, target: str, format: str = "parquet") -> DataFrame:

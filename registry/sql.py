@@ -110,7 +110,7 @@ def sql_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 WINDOW = """
 SELECT o_orderkey, o_custkey,
-       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS nth,
+       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS nth,
        round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
              ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS last_three
 FROM {orders}"""
