@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -38,7 +37,7 @@ def read_files(
         reader = reader.schema(schema)
     try:
         return reader.options(**settings).load(path if isinstance(path, str) else list(path))
-    except AnalysisException as error:
-        if error.getCondition() == "DATA_SOURCE_NOT_FOUND":
+    except Exception as error:  # the JVM reports this one as a plain class-not-found
+        if "[DATA_SOURCE_NOT_FOUND]" in str(error):
             raise RuntimeError(f"the {format!r} data source is not on this session's classpath") from error
         raise
