@@ -81,7 +81,7 @@ def test_table_names_are_qualified(spark):
 
 def test_a_hot_partition_is_split_and_small_ones_are_not(spark, tmp_path):
     path = str(tmp_path / "hot")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1500k")
     try:
         df = spark.range(0, 200_000, 1, 8).selectExpr(
             "id AS k", "uuid() AS v", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', id % 20) END AS p"
@@ -89,7 +89,7 @@ def test_a_hot_partition_is_split_and_small_ones_are_not(spark, tmp_path):
         m.write_table(df, path, "overwrite", partition_by=["p"])
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(files(f"{path}/p=hot")) > 4
+    assert len(files(f"{path}/p=hot")) > 1
     # a value that shares the hot one's hash bucket is spread with it; the others are not
     rare = sorted(len(files(d)) for d in Path(path).glob("p=c*"))
     assert rare[len(rare) // 2] <= 2
