@@ -19,7 +19,13 @@ from millrace.operators.merge import merge_frames
 from millrace.operators.observe import count_rows
 from millrace.operators.recipe import Recipe
 from millrace.operators.sinks import LoadResult, write_run_date, write_table
-from millrace.operators.sql import run_sql, run_sql_file, run_sql_steps, transform_sql
+from millrace.operators.sql import (
+    count_sql_steps,
+    run_sql,
+    run_sql_file,
+    run_sql_steps,
+    transform_sql,
+)
 from millrace.plans.quality import (
     QualityGateError,
     allowed_values,
@@ -54,6 +60,7 @@ __all__ = [
     "cast_columns",
     "column_hash",
     "count_rows",
+    "count_sql_steps",
     "drop_columns",
     "drop_duplicates",
     "enforce_quality",

@@ -17,42 +17,42 @@ MERGE_ACTIONS = ("keep", "update", "insert")
 _HIT = "_merge_hit"
 
 
+def conform(source: DataFrame, target: DataFrame) -> DataFrame:
+    """``source`` with the spelling, order and types its columns have in ``target``."""
+    own, given = Columns(target), Columns(source)
+    unknown = [c for c in given.names if own.find(c) is None]
+    if unknown:
+        raise ValueError(f"merge source has columns the target lacks: {unknown}")
+    types = {field.name: field.dataType.simpleString() for field in target.schema}
+    shared = [(c, given.find(c)) for c in own.names if given.find(c) is not None]
+    return source.selectExpr(*[f"CAST({quoted(g)} AS {types[c]}) AS {quoted(c)}" for c, g in shared])
+
+
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``target`` after the merge, with ``_merge_action`` = keep, update or insert.
 
     A target row whose key is in ``source`` takes every source column; target
     columns the source lacks keep their value. Source rows without a match are
     inserted. A NULL in a key never matches. ``source`` must not repeat a key (see
-    :func:`repeated_key`).
+    :func:`repeated_key`), and gives the same rows whenever it is evaluated.
 
     Matched rows come from a left join and inserts from an anti-join against the
     keys found, rather than from one full outer join: a source that measures
     small is then broadcast and the target is never shuffled, and with a large
     source AQE can split a hot target key, which it cannot do in a full outer join.
     """
-    own, given = Columns(target), Columns(source)
-    keys = own.require(keys)
-    given.require(keys)
-    unknown = [c for c in given.names if own.find(c) is None]
-    if unknown:
-        raise ValueError(f"merge source has columns the target lacks: {unknown}")
-
-    types = {field.name: field.dataType.simpleString() for field in target.schema}
-    shared = [c for c in own.names if given.find(c) is not None]
-    incoming = source.selectExpr(
-        *[f"CAST({quoted(given.find(c))} AS {types[c]}) AS {_arriving(c)}" for c in shared]
-    )
-    match = F.expr(key_match(keys))
+    source = conform(source, target)
+    keys = Columns(target).require(keys)
+    Columns(source).require(keys)
+    shared = source.columns
     updated = [c for c in shared if c not in keys]
 
+    incoming = source.selectExpr(*[f"{quoted(c)} AS {_arriving(c)}" for c in shared])
+    match = F.expr(key_match(keys))
     if updated:
+        taken = {c: f"CASE WHEN {_HIT} THEN {_arriving(c)} ELSE {quoted(c)} END AS {quoted(c)}" for c in updated}
         present = target.join(incoming.withColumn(_HIT, F.lit(True)), match, "left").selectExpr(
-            *[
-                f"CASE WHEN {_HIT} THEN {_arriving(c)} ELSE {quoted(c)} END AS {quoted(c)}"
-                if c in updated
-                else quoted(c)
-                for c in own.names
-            ],
+            *[taken.get(c, quoted(c)) for c in target.columns],
             f"CASE WHEN {_HIT} THEN 'update' ELSE 'keep' END AS {ACTION}",
         )
     else:
@@ -60,20 +60,17 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 
     wanted = incoming.select(*map(_arriving, keys))
     found = target.select(*map(quoted, keys)).join(wanted, match, "left_semi").distinct()
+    given = {c: f"{_arriving(c)} AS {quoted(c)}" for c in shared}
+    absent = {f.name: f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in target.schema}
     inserted = incoming.join(found, match, "left_anti").selectExpr(
-        *[
-            f"{_arriving(c) if c in shared else f'CAST(NULL AS {types[c]})'} AS {quoted(c)}"
-            for c in own.names
-        ],
-        f"'insert' AS {ACTION}",
+        *[given.get(c, absent[c]) for c in target.columns], f"'insert' AS {ACTION}"
     )
     return present.unionByName(inserted)
 
 
 def arriving_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The key columns of a merge source, named as :func:`key_match` expects."""
-    given = Columns(source).require(keys)
-    return source.selectExpr(*[f"{quoted(g)} AS {_arriving(k)}" for g, k in zip(given, keys)])
+    return source.selectExpr(*[f"{quoted(k)} AS {_arriving(k)}" for k in keys])
 
 
 def key_match(keys: Sequence[str]) -> str:

@@ -6,21 +6,24 @@ a slash in it).
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.functions.literals import sql_literal
 from millrace.functions.names import Columns, is_path, qualified_name, quoted, quoted_table
+from millrace.functions.partitions import partition_predicate
 from millrace.operators.merge import (
     ACTION,
     MERGE_ACTIONS,
     arriving_keys,
+    conform,
     key_match,
     merge_frames,
     repeated_key,
@@ -29,6 +32,8 @@ from millrace.operators.observe import count_rows
 from millrace.sources.tables import read_target
 from millrace.storage import path_exists, scratch_path
 
+log = logging.getLogger(__name__)
+
 # The write modes a load accepts.
 WRITE_MODES = ("append", "overwrite", "merge")
 
@@ -36,15 +41,6 @@ _VERSION = "__version_"
 
 _FILE_PROVIDERS = ("parquet", "orc", "json", "csv", "avro", "text")
 
-_LITERAL_TYPES = (
-    T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType
-)
-
-# More partitions than this are not named one by one in a filter; the merge then
-# rewrites the whole target, with the same result.
-_MAX_NAMED_PARTITIONS = 10_000
-
-
 @dataclass(frozen=True)
 class LoadResult:
     """What a load did. The last four are set by a merge only.
@@ -70,12 +66,15 @@ def write_table(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     format: str = "parquet",
+    at_rest: bool = False,
 ) -> LoadResult:
     """Append to, replace or merge into a target; creates it when absent.
 
     ``partition_by`` sets the directory columns of a new target and must name them
     again for an existing path; a catalog table knows its own. ``cluster_by`` puts
-    rows of similar value together inside the files.
+    rows of similar value together inside the files. A merge first writes ``df``
+    to scratch; ``at_rest`` saves that for a plain scan of files that stay as they
+    are.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"unknown write mode {mode!r}; known modes: {', '.join(WRITE_MODES)}")
@@ -88,7 +87,7 @@ def write_table(
         if spark.catalog.tableExists(target):
             partition_by = _table_partitions(spark, target)
     if mode == "merge":
-        return _merge(df, target, keys, partition_by, cluster_by, format)
+        return _merge(df, target, keys, partition_by, cluster_by, format, at_rest)
 
     laid_out, seen = count_rows(lay_out(df, partition_by, cluster_by), f"load {target}")
     _write(laid_out, target, mode, partition_by, format)
@@ -98,16 +97,14 @@ def write_table(
 def write_run_date(df: DataFrame, zone: str, run_date: str, format: str = "parquet") -> int:
     """Replace one ``run_date`` partition of a zone and return the rows written.
 
-    Other dates stay as they are, so a run can be repeated.
+    Other dates stay as they are, so a run can be repeated, also with nothing to
+    write. The partition's directory is written directly: ``partitionBy`` would
+    sort every task's rows by a constant first.
     """
-    dated = df.withColumn("run_date", F.lit(run_date).cast("date"))
-    counted, seen = count_rows(dated, f"zone {zone} {run_date}")
-    _dynamic(counted.write.format(format), ["run_date"]).save(zone)
-    rows = seen.get.get("rows", 0)
-    if rows == 0:
-        # A dynamic overwrite leaves a partition alone when it gets no row for it.
-        df.write.mode("overwrite").format(format).save(f"{zone}/run_date={run_date}")
-    return rows
+    day = date.fromisoformat(run_date).isoformat()
+    counted, seen = count_rows(df.drop("run_date"), f"zone {zone} {day}")
+    counted.write.mode("overwrite").format(format).save(f"{zone}/run_date={day}")
+    return seen.get.get("rows", 0)
 
 
 def lay_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
@@ -157,18 +154,28 @@ def _merge(
     partition_by: Sequence[str],
     cluster_by: Sequence[str],
     format: str,
+    at_rest: bool,
 ) -> LoadResult:
     spark = df.sparkSession
+    current = _existing(spark, target, format)
+    if current is not None:
+        df = conform(df, current)
+    if not at_rest:
+        # The batch is read several times below; a frame that came out differently
+        # each time (an arbitrary survivor, a clock) would lose or repeat rows.
+        batch = scratch_path(spark, f"{_label(target)}_batch")
+        df.write.parquet(batch)
+        df = spark.read.schema(df.schema).parquet(batch)
     repeated = repeated_key(df, keys)
     if repeated is not None:
         raise ValueError(f"merge source repeats the key {repeated}")
 
-    current = _existing(spark, target, format)
     if current is None:
         laid_out, seen = count_rows(lay_out(df, partition_by, cluster_by), f"load {target}")
         _write(laid_out, target, "overwrite", partition_by, format)
         rows = seen.get.get("rows", 0)
         return LoadResult(target, "merge", rows, inserted=rows, updated=0, kept=0)
+    keys = Columns(current).require(keys)
     if not is_path(target) and _provider(spark, target) not in _FILE_PROVIDERS:
         _native_merge(df, target, keys)
         return LoadResult(target, "merge", rows=None)
@@ -215,17 +222,17 @@ def _merge_by_stage(
     also what an interrupted publication is repeated from.
     """
     spark = df.sparkSession
-    own = Columns(current)
-    partition_by, keys = own.require(partition_by), own.require(keys)
+    partition_by = Columns(current).require(partition_by)
     touched = _touched_partitions(current, df, keys, partition_by)
     old = current if touched is None else current.where(touched)
 
-    stage = scratch_path(spark, target.rstrip("/").replace("/", ".").rsplit(".", 1)[-1] + "_etl_stage")
+    stage = scratch_path(spark, f"{_label(target)}_etl_stage")
     merged = merge_frames(old, df, keys)
     merged.write.parquet(stage)
     staged = spark.read.schema(merged.schema).parquet(stage)
     counts = dict.fromkeys(MERGE_ACTIONS, 0) | dict(staged.groupBy(ACTION).count().collect())
     _same_total(target, old, counts)
+    log.info("merge into %s staged at %s", target, stage)
 
     if touched is None:
         publish_stage(spark, stage, target, partition_by, cluster_by, format, whole=True)
@@ -239,8 +246,9 @@ def _merge_by_stage(
     if left_empty and is_path(target):
         # Nothing but a full rewrite removes a partition directory through Spark.
         whole = scratch_path(spark, "whole_etl_stage")
-        kept = current.where(f"NOT ({touched})").withColumn(ACTION, F.lit("keep"))
+        kept = current.where(f"NOT coalesce({touched}, false)").withColumn(ACTION, F.lit("keep"))
         staged.unionByName(kept).write.parquet(whole)
+        log.info("merge into %s staged whole at %s", target, whole)
         publish_stage(spark, whole, target, partition_by, cluster_by, format, whole=True)
         return _merge_result(target, counts, whole)
     for partition in left_empty:
@@ -256,29 +264,17 @@ def _touched_partitions(
     """A predicate on the first partition column that covers every partition the merge changes.
 
     Those are the partitions source rows arrive in and, unless the partition is
-    part of the key, the ones their matches sit in today. The values are collected
-    as literals: they name directories, whose list the driver holds anyway, and
-    literals prune them before the scan. None when nothing can be pruned.
+    part of the key, the ones their matches sit in today. None when nothing can be
+    pruned.
     """
-    given = Columns(df)
-    if not partition_by or given.find(partition_by[0]) is None:
-        return None
-    column = quoted(partition_by[0])
-    kind = current.schema[partition_by[0]].dataType
-    if not isinstance(kind, _LITERAL_TYPES):
+    if not partition_by or partition_by[0] not in df.columns:
         return None
-    values = df.selectExpr(f"CAST({quoted(given.find(partition_by[0]))} AS {kind.simpleString()}) AS value")
+    column = partition_by[0]
+    values = df.selectExpr(f"{quoted(column)} AS value")
     if not set(partition_by) <= set(keys):
         today = current.join(arriving_keys(df, keys), F.expr(key_match(keys)), "left_semi")
-        values = values.unionByName(today.selectExpr(f"{column} AS value"))
-    rows = values.distinct().limit(_MAX_NAMED_PARTITIONS + 1).collect()
-    if len(rows) > _MAX_NAMED_PARTITIONS:
-        return None
-    named = [sql_literal(r.value) for r in rows if r.value is not None]
-    hits = [f"coalesce({column} IN ({', '.join(named)}), false)"] if named else []
-    if len(named) < len(rows):
-        hits.append(f"{column} IS NULL")
-    return " OR ".join(hits) or "false"
+        values = values.unionByName(today.selectExpr(f"{quoted(column)} AS value"))
+    return partition_predicate(values, column)
 
 
 def _native_merge(df: DataFrame, target: str, keys: Sequence[str]) -> None:
@@ -293,6 +289,10 @@ def _native_merge(df: DataFrame, target: str, keys: Sequence[str]) -> None:
     writer.whenNotMatched().insert(values).merge()
 
 
+def _label(target: str) -> str:
+    return target.rstrip("/").replace("/", ".").rsplit(".", 1)[-1]
+
+
 def _merge_result(target: str, counts: dict[str, int], stage: str) -> LoadResult:
     return LoadResult(
         target,

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import ExitStack, contextmanager
+from functools import reduce
 from pathlib import Path
 from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from millrace.functions.literals import sql_literal
 from millrace.operators.observe import count_rows
 
 
@@ -71,21 +73,47 @@ def run_sql_steps(
     """Run named statements in order; each sees the input and every earlier step.
 
     The result stays lazy: no step runs on its own. Pass a dict as ``counts`` to
-    get an observation per step, filled by the first action on the result; each
-    one stops filters of later steps from moving below it, so ask only when the
-    numbers are wanted.
+    get an observation per step for the log, filled by the first action on the
+    result; each one stops filters of later steps from moving below it. Exact
+    counts come from :func:`count_sql_steps`.
     """
+    return _step_frames(df, steps, view, params, counts)[-1]
+
+
+def count_sql_steps(
+    df: DataFrame,
+    steps: Sequence[tuple[str, str]],
+    view: str = "src",
+    params: Mapping[str, Any] | None = None,
+) -> DataFrame:
+    """``(step, n_rows)`` for every step, as one lazy frame and so one job."""
+    frames = _step_frames(df, steps, view, params)
+    counted = [
+        frame.selectExpr(f"{sql_literal(name)} AS step", "count(1) AS n_rows")
+        for frame, (name, _) in zip(frames, steps)
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def _step_frames(
+    df: DataFrame,
+    steps: Sequence[tuple[str, str]],
+    view: str,
+    params: Mapping[str, Any] | None,
+    counts: dict[str, Observation] | None = None,
+) -> list[DataFrame]:
     if not steps:
         raise ValueError("give at least one (name, statement) step")
+    frames = []
     with ExitStack() as views:
         views.enter_context(_bound_view(df, view))
-        result = df
         for name, text in steps:
-            result = df.sparkSession.sql(text, args=dict(params or {}))
+            frame = df.sparkSession.sql(text, args=dict(params or {}))
             if counts is not None:
-                result, counts[name] = count_rows(result, f"step {name}")
-            views.enter_context(_bound_view(result, name))
-    return result
+                frame, counts[name] = count_rows(frame, f"step {name}")
+            views.enter_context(_bound_view(frame, name))
+            frames.append(frame)
+    return frames
 
 
 def transform_sql(

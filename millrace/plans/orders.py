@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.functions.partitions import partition_predicate
 from millrace.operators.recipe import Recipe
 from millrace.operators.sinks import LoadResult, write_run_date, write_table
 from millrace.operators.sql import run_sql
@@ -108,7 +109,7 @@ def with_grain(orders: DataFrame, grain: str) -> DataFrame:
 
 
 def load_orders(batch: DataFrame, target: str, grain: str = "day") -> LoadResult:
-    """Merge curated orders into the target by id."""
+    """Merge curated orders, as read from their zone, into the target by id."""
     return write_table(
         with_grain(batch, grain),
         target,
@@ -116,15 +117,21 @@ def load_orders(batch: DataFrame, target: str, grain: str = "day") -> LoadResult
         keys=["id"],
         partition_by=[GRAINS[grain]],
         cluster_by=CLUSTER_COLUMNS,
+        at_rest=True,
     )
 
 
-def reconcile_orders(batch: DataFrame, target: DataFrame) -> DataFrame:
+def reconcile_orders(batch: DataFrame, target: DataFrame, grain: str = "day") -> DataFrame:
     """Compare the batch with the target rows of the same ids.
 
     The target also holds orders of earlier days, which the batch says nothing
-    about.
+    about. A loaded order sits in the partition of its own date, so only the
+    partitions of the batch's dates are read; naming them runs a small job.
     """
+    column = GRAINS[grain]
+    if column in target.columns:
+        touched = partition_predicate(with_grain(batch, grain).select(column), column)
+        target = target.where(touched) if touched else target
     loaded = target.select("id", "amount").join(batch.select("id"), "id", "left_semi")
     return r.reconciliation_report(batch, loaded, [r.row_count(), r.aggregate("amount", "sum")])
 
@@ -164,6 +171,6 @@ def run_orders(
     verdicts = q.enforce_quality(report, "orders_curated", fail_on_error)
 
     load = load_orders(batch, target, grain)
-    comparison = reconcile_orders(batch, read_target(spark, target))
+    comparison = reconcile_orders(batch, read_target(spark, target), grain)
     gaps = r.enforce_reconciliation(comparison, "orders_curated", fail_on_error)
     return OrdersRun(run_date, raw_rows, curated_rows, load, verdicts, gaps)

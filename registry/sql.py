@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 import millrace as m
 from millrace.plans.orders import enrich_orders
-from millrace.storage import scratch_path
 from registry import query
 from registry.inputs import LOADED_AT, LOADED_AT_TEXT, RAW_ORDERS_SQL, day, raw_orders, second, table
 
@@ -50,12 +49,8 @@ SELECT 'positive' AS step, count(*) AS n_rows FROM positive
 UNION ALL SELECT 'marked', count(*) FROM marked
 UNION ALL SELECT 'per_status', count(*) FROM per_status""")
 def sql_step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per step, observed by the one job that writes the last one."""
-    counts = {}
-    result = m.run_sql_steps(raw_orders(spark, sf_dir), STEPS, counts=counts)
-    result.write.parquet(scratch_path(spark, "sql_steps"))
-    rows = [(step, seen.get["rows"]) for step, seen in counts.items()]
-    return spark.createDataFrame(rows, "step string, n_rows bigint")
+    """Rows per step, in one job."""
+    return m.count_sql_steps(raw_orders(spark, sf_dir), STEPS)
 
 
 @query(f"SELECT * FROM ({RAW_ORDERS_SQL}) WHERE status = 'O' AND amount >= 200000")

@@ -86,6 +86,15 @@ def test_reconciliation_looks_at_the_ids_of_the_batch(spark):
     assert not any(r.passed for r in plan.reconcile_orders(batch, lost).collect())
 
 
+def test_reconciliation_reads_only_the_partitions_of_the_batch(spark, root):
+    rows = spark.range(40).selectExpr("id", "double(id) AS amount", "date_add(DATE '2024-01-01', int(id % 4)) AS order_date")
+    m.write_table(rows, f"{root}/t", "overwrite", partition_by=["order_date"])
+    report = plan.reconcile_orders(rows.where("order_date = DATE '2024-01-02'"), m.read_target(spark, f"{root}/t"))
+    assert all(r.passed for r in report.collect())
+    text = report._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_date" in text and "(order_date" in text
+
+
 def test_survivor_can_be_chosen(spark):
     raw = spark.createDataFrame(
         [("1", "c", "2024-01-01", "5", "1", "old"), ("1", "c", "2024-01-02", "6", "1", "new")], RAW

@@ -131,6 +131,11 @@ def test_run_date_replaced_by_nothing(spark, tmp_path):
     assert m.read_run_date(spark, zone, "2024-01-01").count() == 0
 
 
+def test_run_date_must_be_a_date(spark, tmp_path):
+    with pytest.raises(ValueError):
+        m.write_run_date(frame(spark, (1, "a", 1, "x")), str(tmp_path / "zone"), "../elsewhere")
+
+
 def test_reading_a_date_lists_only_its_directory(spark, tmp_path):
     zone = str(tmp_path / "zone")
     for day in ("2024-01-01", "2024-01-02"):
@@ -205,6 +210,22 @@ def test_repeated_source_keys_are_refused(spark, target):
     assert repeated_key(batch, ["k", "v"]) is None
 
 
+def test_keys_that_only_repeat_in_the_type_of_the_target_are_refused(spark, target):
+    m.write_table(frame(spark, (1, "a", 1, "x")), target, "overwrite")
+    batch = frame(spark, ("5", "b", 1, "x"), ("05", "c", 1, "x"), schema="k string, v string, w int, p string")
+    with pytest.raises(ValueError, match="repeats the key"):
+        m.write_table(batch, target, "merge", keys=["k"])
+
+
+def test_a_source_that_changes_between_evaluations_is_pinned(spark, target):
+    m.write_table(frame(spark, *[(i, "a", i, str(i % 4)) for i in range(40)]), target, "overwrite", partition_by=["p"])
+    drawn = spark.range(20, 60).selectExpr("int(id) AS k", "'b' AS v", "0 AS w", "string(int(rand() * 4)) AS p")
+    m.write_table(drawn, target, "merge", keys=["k"], partition_by=["p"])
+    rows = content(spark, target)
+    assert sorted(r[0] for r in rows) == list(range(60))
+    assert all(r[1] == ("a" if r[0] < 20 else "b") for r in rows)
+
+
 def test_unknown_source_columns_are_refused(spark, target):
     m.write_table(frame(spark, (1, "a", 1, "x")), target, "overwrite")
     with pytest.raises(ValueError, match="lacks"):

@@ -81,6 +81,11 @@ def test_step_counts_fill_on_one_action(orders):
     assert {name: seen.get["rows"] for name, seen in counts.items()} == {"known": 2, "big": 1}
 
 
+def test_exact_step_counts(orders):
+    steps = [("known", "SELECT * FROM src WHERE amount IS NOT NULL"), ("none", "SELECT * FROM known WHERE false")]
+    assert dict(m.count_sql_steps(orders, steps).collect()) == {"known": 2, "none": 0}
+
+
 def test_forms_and_precedence(orders, tmp_path):
     file = tmp_path / "q.sql"
     file.write_text("SELECT 'file' AS via FROM src")
