@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.functions.partitions import partition_predicate
+from millrace.operators.columns import BATCH_ID, LOADED_AT, SOURCE_SYSTEM
 from millrace.operators.recipe import Recipe
 from millrace.operators.sinks import LoadResult, write_run_date, write_table
-from millrace.operators.sql import run_sql
+from millrace.operators.sql import run_sql_steps
 from millrace.plans import quality as q
 from millrace.plans import reconcile as r
 from millrace.sources.files import read_files
@@ -31,18 +32,22 @@ SOURCE_NAME = "orders_csv"
 REQUIRED_COLUMNS = ("id", "customer_id", "order_date", "amount", "status")
 KEY_COLUMNS = ("id", "customer_id", "order_date")
 CLUSTER_COLUMNS = ("customer_id", "status")
-HIGH_AMOUNT, MEDIUM_AMOUNT = 1000, 100
-
-ENRICH_SQL = """
-SELECT id, customer_id, order_date, amount, qty,
-       round(amount / nullif(qty, 0), 2) AS unit_price,
-       status,
-       CASE WHEN amount >= :high THEN 'HIGH' WHEN amount >= :medium THEN 'MEDIUM' ELSE 'LOW' END
-         AS amount_tier,
-       _etl_loaded_at, _batch_id, _source_system
-FROM src
-WHERE order_date IS NOT NULL
-"""
+TIERS = {"HIGH": 1000, "MEDIUM": 100}
+LOWEST_TIER = "LOW"
+CURATED_COLUMNS = (
+    "id", "customer_id", "order_date", "amount", "qty", "unit_price", "status", "amount_tier",
+    LOADED_AT, BATCH_ID, SOURCE_SYSTEM,
+)
+
+TIER_SQL = " ".join(f"WHEN amount >= :{tier} THEN '{tier}'" for tier in TIERS)
+ENRICH_STEPS = [
+    (
+        "priced",
+        "SELECT *, round(amount / nullif(qty, 0), 2) AS unit_price, "
+        f"CASE {TIER_SQL} ELSE '{LOWEST_TIER}' END AS amount_tier FROM src",
+    ),
+    ("dated", f"SELECT {', '.join(CURATED_COLUMNS)} FROM priced WHERE order_date IS NOT NULL"),
+]
 
 # Partition columns of the target by grain; a date grain coarser than the day is
 # derived, because a directory per day is too many for a small history.
@@ -83,7 +88,7 @@ def clean_orders(
 
 def enrich_orders(clean: DataFrame) -> DataFrame:
     """Unit price and amount tier; orders without a date are left out."""
-    return run_sql(clean, ENRICH_SQL, params={"high": HIGH_AMOUNT, "medium": MEDIUM_AMOUNT})
+    return run_sql_steps(clean, ENRICH_STEPS, params=TIERS)
 
 
 def orders_checks(table: str) -> list:

@@ -10,6 +10,16 @@ from registry import query
 from registry.inputs import RAW_ORDERS_SQL, raw_orders, table
 
 
+SUITE = [
+    m.not_empty("orders"),
+    m.has_columns(["order_id", "cust_id", "order_date", "amount", "status"]),
+    m.no_nulls(["order_id", "amount", "absent"]),
+    m.unique(["order_id"]),
+    m.value_range("amount", min_value=0),
+    m.allowed_values("status", ["F", "O"]),
+]
+
+
 def _verdicts(report: DataFrame, *details: str) -> DataFrame:
     return report.select(
         "check_name", "passed", "observed", "threshold", *[F.col("details")[d].alias(d) for d in details]
@@ -123,15 +133,4 @@ UNION ALL SELECT 7, 'value_range:amount', negative = 0, negative, 0 FROM n
 UNION ALL SELECT 8, 'allowed_values:status', odd_status = 0, odd_status, 0 FROM n""")
 def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight checks in two passes: one scan for the row-local ones, one shuffle for the key."""
-    report = m.quality_report(
-        raw_orders(spark, sf_dir),
-        [
-            m.not_empty("orders"),
-            m.has_columns(["order_id", "cust_id", "order_date", "amount", "status"]),
-            m.no_nulls(["order_id", "amount", "absent"]),
-            m.unique(["order_id"]),
-            m.value_range("amount", min_value=0),
-            m.allowed_values("status", ["F", "O"]),
-        ],
-    )
-    return report.drop("details")
+    return m.quality_report(raw_orders(spark, sf_dir), SUITE).drop("details")

@@ -11,7 +11,15 @@ from registry.inputs import table
 TARGET_SQL = "SELECT * FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)"
 
 
-def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+MEASURES = [
+    m.row_count(0.05),
+    m.aggregate("o_totalprice"),
+    m.aggregate("o_orderstatus", "count"),
+    m.aggregate("o_totalprice", "avg", 0.01),
+]
+
+
+def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     orders = table(spark, sf_dir, "orders")
     ordered = table(spark, sf_dir, "lineitem").select("l_orderkey")
     return orders, orders.join(ordered, orders.o_orderkey == ordered.l_orderkey, "left_semi")
@@ -35,24 +43,24 @@ FROM (SELECT CAST((SELECT {expression} FROM orders) AS DOUBLE) AS s,
 
 @query(_gap_sql(1, "row_count", "count(*)", 0.001))
 def recon_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(m.reconciliation_report(*_sides(spark, sf_dir), [m.row_count()]))
+    return _rounded(m.reconciliation_report(*sides(spark, sf_dir), [m.row_count()]))
 
 
 @query(_gap_sql(1, "sum:o_totalprice", "sum(o_totalprice)", 0.05))
 def recon_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures = [m.aggregate("o_totalprice", "sum", tolerance=0.05)]
-    return _rounded(m.reconciliation_report(*_sides(spark, sf_dir), measures))
+    return _rounded(m.reconciliation_report(*sides(spark, sf_dir), measures))
 
 
 @query(_gap_sql(1, "count:o_custkey", "count(o_custkey)", 0.001))
 def recon_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(m.reconciliation_report(*_sides(spark, sf_dir), [m.aggregate("o_custkey", "count")]))
+    return _rounded(m.reconciliation_report(*sides(spark, sf_dir), [m.aggregate("o_custkey", "count")]))
 
 
 @query(_gap_sql(1, "avg:o_totalprice", "avg(o_totalprice)", 0.01))
 def recon_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures = [m.aggregate("o_totalprice", "avg", tolerance=0.01)]
-    return _rounded(m.reconciliation_report(*_sides(spark, sf_dir), measures))
+    return _rounded(m.reconciliation_report(*sides(spark, sf_dir), measures))
 
 
 def _hash_sql(column: str, target: str) -> str:
@@ -99,10 +107,4 @@ def recon_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def recon_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four measures from one aggregation per side."""
-    measures = [
-        m.row_count(0.05),
-        m.aggregate("o_totalprice"),
-        m.aggregate("o_orderstatus", "count"),
-        m.aggregate("o_totalprice", "avg", 0.01),
-    ]
-    return _rounded(m.reconciliation_report(*_sides(spark, sf_dir), measures))
+    return _rounded(m.reconciliation_report(*sides(spark, sf_dir), MEASURES))
