@@ -9,13 +9,15 @@ from millrace.functions.literals import sql_literal
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
-# What text must look like to be worth casting to each kind of type.
-# The first group of the whole-number pattern is the part an integer keeps.
-_WHOLE_NUMBER = r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$"
+# What text must look like to be worth casting to each kind of type,
+# blanks and control characters at the ends aside. The first group of the
+# whole-number pattern is the part an integer keeps.
+_BLANK = r"[\x00-\x20]*"
+_WHOLE_NUMBER = rf"^{_BLANK}([+-]?[0-9]+)(?:\.[0-9]*)?{_BLANK}$"
 _NUMBER = (
-    r"(?i)^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?[df]?|0x.*|inf|infinity|nan)\s*$"
+    rf"(?i)^{_BLANK}[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?[df]?|0x.*|inf|infinity|nan){_BLANK}$"
 )
-_DATE = r"^\s*[+-]?[0-9]{4,7}(?:-.*)?\s*$"
+_DATE = rf"(?s)^{_BLANK}[+-]?[0-9]{{4,7}}(?:-.*)?{_BLANK}$"
 
 
 def lenient_cast(expression: str, source: T.DataType, target: str | T.DataType) -> str:

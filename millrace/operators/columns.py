@@ -6,6 +6,7 @@ of them collapses into a single codegen'd Project.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timezone
 from typing import Any
@@ -18,6 +19,8 @@ from millrace.functions.casts import lenient_cast
 from millrace.functions.literals import sql_literal
 from millrace.functions.names import Columns, name_key, quoted
 
+log = logging.getLogger(__name__)
+
 # Names and format of the audit columns.
 LOADED_AT = "_etl_loaded_at"
 BATCH_ID = "_batch_id"
@@ -97,12 +100,13 @@ def flatten_column(
     """Turn one struct level, or the given keys of a map, into top-level columns.
 
     The flattened column is dropped and a part wins over an existing column of
-    the same name. A missing column, a map without ``keys`` and any other type
-    leave the frame as it is.
+    the same name. A missing column and a map without ``keys`` log a warning; they
+    and any other type leave the frame as it is.
     """
     own = Columns(df)
     actual = own.find(column)
     if actual is None:
+        log.warning("no column %r to flatten among %s", column, own.names)
         return df
     data_type = df.schema[actual].dataType
     if isinstance(data_type, T.StructType):
@@ -110,6 +114,8 @@ def flatten_column(
     elif isinstance(data_type, T.MapType) and keys:
         values = {k: f"try_element_at({quoted(actual)}, {sql_literal(k)})" for k in keys}
     else:
+        if isinstance(data_type, T.MapType):
+            log.warning("map column %r needs keys to be flattened", column)
         return df
 
     parts = {f"{prefix}_{name}" if prefix else name: value for name, value in values.items()}
