@@ -238,12 +238,11 @@ def _merge_by_stage(
         publish_stage(spark, stage, target, partition_by, cluster_by, format, whole=True)
         return _merge_result(target, counts, stage)
 
-    left_empty = []
-    if not set(partition_by) <= set(keys):
-        before = old.select(*map(quoted, partition_by)).distinct()
-        after = staged.select(*map(quoted, partition_by)).distinct()
-        left_empty = before.subtract(after).collect()
-    if left_empty and is_path(target):
+    # A partition all of whose rows moved elsewhere gets no row to be replaced with.
+    before, after = (f.select(*map(quoted, partition_by)) for f in (old, staged))
+    left_empty = before.distinct().subtract(after)
+    may_move = not set(partition_by) <= set(keys)
+    if may_move and is_path(target) and not left_empty.isEmpty():
         # Nothing but a full rewrite removes a partition directory through Spark.
         whole = scratch_path(spark, "whole_etl_stage")
         kept = current.where(f"NOT coalesce({touched}, false)").withColumn(ACTION, F.lit("keep"))
@@ -251,9 +250,10 @@ def _merge_by_stage(
         log.info("merge into %s staged whole at %s", target, whole)
         publish_stage(spark, whole, target, partition_by, cluster_by, format, whole=True)
         return _merge_result(target, counts, whole)
-    for partition in left_empty:
-        spec = ", ".join(f"{quoted(c)} = {_partition_value(partition[c])}" for c in partition_by)
-        spark.sql(f"ALTER TABLE {quoted_table(target)} DROP IF EXISTS PARTITION ({spec})")
+    if may_move and not is_path(target):
+        for partition in left_empty.collect():
+            spec = ", ".join(f"{quoted(c)} = {_partition_value(partition[c])}" for c in partition_by)
+            spark.sql(f"ALTER TABLE {quoted_table(target)} DROP IF EXISTS PARTITION ({spec})")
     publish_stage(spark, stage, target, partition_by, cluster_by, format)
     return _merge_result(target, counts, stage)
 

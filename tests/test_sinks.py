@@ -269,6 +269,24 @@ def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
     assert content(spark, path, "k", "p")[2] == (2, "x")
 
 
+def test_more_partitions_than_can_be_named(spark, target, monkeypatch):
+    from millrace.functions import partitions
+
+    monkeypatch.setattr(partitions, "_MAX_NAMED", 2)
+    m.write_table(frame(spark, *[(i, "a", i, p) for i, p in enumerate("wxyz")]), target, "overwrite", partition_by=["p"])
+    batch = frame(spark, (0, "b", 0, "x"), (1, "b", 1, "y"), (2, "b", 2, "z"), (9, "b", 9, None))
+    done = m.write_table(batch, target, "merge", keys=["k"], partition_by=["p"])
+    assert content(spark, target) == [(0, "b", 0, "x"), (1, "b", 1, "y"), (2, "b", 2, "z"), (3, "a", 3, "z"), (9, "b", 9, None)]
+    assert (done.inserted, done.updated, done.kept) == (1, 3, 1)
+
+
+def test_a_source_without_the_partition_column(spark, target):
+    m.write_table(frame(spark, (1, "a", 1, "x"), (2, "b", 2, "y")), target, "overwrite", partition_by=["p"])
+    batch = frame(spark, (1, "A"), (3, "C"), schema="k int, v string")
+    m.write_table(batch, target, "merge", keys=["k"], partition_by=["p"])
+    assert content(spark, target) == [(1, "A", 1, "x"), (2, "b", 2, "y"), (3, "C", None, None)]
+
+
 def test_merge_on_nested_partitions_and_partition_in_key(spark, target):
     schema = "k int, y int, p string, v string"
     start = frame(spark, (1, 2024, "a", "old"), (1, 2025, "a", "old"), (2, 2025, "b", "old"), schema=schema)
