@@ -75,7 +75,7 @@ def _run(spark: SparkSession, root: str, run_date: str) -> OrdersRun:
     return run_orders(
         spark,
         run_date,
-        raw_path=f"{root}/raw/{run_date}/*.csv",
+        raw_path=f"{root}/raw/{run_date}",
         zone_root=root,
         target=f"{root}/orders_curated",
         raw_schema=RAW_SCHEMA,

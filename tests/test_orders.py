@@ -1,6 +1,8 @@
+import uuid
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 import millrace as m
 from millrace.plans import orders as plan
@@ -12,10 +14,10 @@ def deliver(spark, path, *rows):
     spark.createDataFrame(list(rows), RAW).coalesce(1).write.mode("append").csv(path, header=True, nullValue="NULL")
 
 
-def run(spark, root, run_date, **settings):
+def run(spark, root, run_date, target=None, **settings):
     return plan.run_orders(
-        spark, run_date, f"{root}/raw/{run_date}/*.csv", f"{root}/zones", f"{root}/target", raw_schema=RAW,
-        loaded_at=datetime(2024, 1, 1), **settings,
+        spark, run_date, f"{root}/raw/{run_date}/*.csv", f"{root}/zones", target or f"{root}/target",
+        raw_schema=RAW, loaded_at=datetime(2024, 1, 1), **settings,
     )
 
 
@@ -24,13 +26,15 @@ def root(tmp_path):
     return str(tmp_path)
 
 
-def test_two_days(spark, root):
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_two_days(spark, root, kind):
+    target = f"{root}/target" if kind == "path" else f"t_{uuid.uuid4().hex}"
     deliver(
         spark, f"{root}/raw/2024-01-01",
         ("1", "c1", "2024-01-01", "1000", "3", "active"), ("1", "c1", "2024-01-01", "1000", "3", "active"),
         ("2", "c2", "2024-01-01", None, "0", None), ("3", "c3", "2023-12-31", "100", "2.0", "active"),
     )
-    first = run(spark, root, "2024-01-01")
+    first = run(spark, root, "2024-01-01", target)
     assert (first.raw_rows, first.curated_rows, first.load.inserted) == (4, 3, 3)
     assert all(r.passed for r in (*first.quality, *first.reconciliation))
 
@@ -38,11 +42,11 @@ def test_two_days(spark, root):
         spark, f"{root}/raw/2024-01-02",
         ("2", "c2", "2024-01-02", "50", "1", "shipped"), ("4", "c1", "2024-01-02", "99.5", "x", "active"),
     )
-    second = run(spark, root, "2024-01-02")
+    second = run(spark, root, "2024-01-02", target)
     assert (second.load.inserted, second.load.updated) == (1, 1)
     assert [r.source_value for r in second.reconciliation] == [2.0, 149.5]
 
-    found = m.read_target(spark, f"{root}/target").selectExpr(
+    found = m.read_target(spark, target).selectExpr(
         "id", "string(order_date) AS d", "amount", "qty", "unit_price", "status", "amount_tier", "_batch_id",
         "_source_system",
     )
@@ -99,8 +103,6 @@ def test_survivor_can_be_chosen(spark):
     raw = spark.createDataFrame(
         [("1", "c", "2024-01-01", "5", "1", "old"), ("1", "c", "2024-01-02", "6", "1", "new")], RAW
     )
-    from pyspark.sql import functions as F
-
     kept = plan.clean_orders("2024-01-02", order_by=[F.desc("order_date")]).apply(raw)
     assert [r.status for r in kept.collect()] == ["new"]
 
