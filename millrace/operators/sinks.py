@@ -15,6 +15,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.literals import sql_literal
 from millrace.functions.names import Columns, is_path, qualified_name, quoted, quoted_table
@@ -41,6 +42,7 @@ _VERSION = "__version_"
 
 _FILE_PROVIDERS = ("parquet", "orc", "json", "csv", "avro", "text")
 
+
 @dataclass(frozen=True)
 class LoadResult:
     """What a load did. The last four are set by a merge only.
@@ -157,7 +159,7 @@ def _merge(
     at_rest: bool,
 ) -> LoadResult:
     spark = df.sparkSession
-    current = _existing(spark, target, format)
+    current = _existing(df, target, partition_by, format)
     if current is not None:
         df = conform(df, current)
     if not at_rest:
@@ -349,10 +351,29 @@ def _dynamic_inserts(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
-def _existing(spark: SparkSession, target: str, format: str) -> DataFrame | None:
+def _existing(
+    df: DataFrame, target: str, partition_by: Sequence[str], format: str
+) -> DataFrame | None:
+    """The target as a merge reads it, or None when there is none yet.
+
+    A path's partition columns come from directory names, in which Spark would
+    take ``007`` for the number 7. They are read in the type ``df`` has for them,
+    or as text, so that rewritten rows go back to the directory they came from.
+    """
+    spark = df.sparkSession
     if not is_path(target):
         return spark.table(target) if spark.catalog.tableExists(target) else None
-    return read_target(spark, target, format) if path_exists(spark, target) else None
+    if not path_exists(spark, target):
+        return None
+    found = read_target(spark, target, format)
+    given, partitions = Columns(df), set(Columns(found).require(partition_by))
+
+    def kind(name: str) -> T.DataType:
+        arriving = given.find(name)
+        return df.schema[arriving].dataType if arriving else T.StringType()
+
+    fields = [T.StructField(f.name, kind(f.name)) if f.name in partitions else f for f in found.schema]
+    return spark.read.format(format).schema(T.StructType(fields)).load(target)
 
 
 def _table_partitions(spark: SparkSession, table: str) -> list[str]:

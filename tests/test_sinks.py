@@ -287,6 +287,16 @@ def test_a_source_without_the_partition_column(spark, target):
     assert content(spark, target) == [(1, "A", 1, "x"), (2, "b", 2, "y"), (3, "C", None, None)]
 
 
+@pytest.mark.parametrize("with_partition", [True, False])
+def test_partition_text_that_looks_like_a_number(spark, tmp_path, with_partition):
+    path = str(tmp_path / "target")
+    m.write_table(frame(spark, (1, "a", 1, "007"), (2, "b", 2, "01"), (3, "c", 3, "7")), path, "overwrite", partition_by=["p"])
+    batch = frame(spark, (1, "A", 10, "007"), (3, "C", 30, "7"))
+    m.write_table(batch if with_partition else batch.drop("p"), path, "merge", keys=["k"], partition_by=["p"])
+    found = spark.read.schema(SCHEMA).parquet(path).select("k", "v", "w", "p").collect()
+    assert sorted(tuple(r) for r in found) == [(1, "A", 10, "007"), (2, "b", 2, "01"), (3, "C", 30, "7")]
+
+
 def test_merge_on_nested_partitions_and_partition_in_key(spark, target):
     schema = "k int, y int, p string, v string"
     start = frame(spark, (1, 2024, "a", "old"), (1, 2025, "a", "old"), (2, 2025, "b", "old"), schema=schema)
