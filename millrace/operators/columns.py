@@ -82,11 +82,12 @@ def add_audit_columns(
     """Add the load time, batch id and, if given, source system as constants.
 
     The time is fixed when this is called, so every action on the frame and every
-    retried task sees the same value.
+    retried task sees the same value. A ``loaded_at`` without a time zone is in
+    the session's.
     """
     now = datetime.now(timezone.utc)
     audit = {
-        LOADED_AT: F.lit(loaded_at or now).cast("timestamp"),
+        LOADED_AT: F.expr(f"CAST({sql_literal(loaded_at or now)} AS timestamp)"),
         BATCH_ID: F.lit(batch_id or now.strftime(BATCH_ID_FORMAT)),
     }
     if source:

@@ -161,7 +161,7 @@ def _merge(
     spark = df.sparkSession
     current = _existing(df, target, partition_by, format)
     if current is not None:
-        df = conform(df, current)
+        df = _directory_values(conform(df, current), partition_by)
     if not at_rest:
         # The batch is read several times below; a frame that came out differently
         # each time (an arbitrary survivor, a clock) would lose or repeat rows.
@@ -376,6 +376,13 @@ def _existing(
     return spark.read.format(format).schema(T.StructType(fields)).load(target)
 
 
+def _directory_values(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Empty text in a partition column as the NULL it becomes in a directory name."""
+    partitions = [Columns(df).find(c) for c in partition_by]
+    texts = [c for c in partitions if c and isinstance(df.schema[c].dataType, T.StringType)]
+    return df.withColumns({c: F.expr(f"nullif({quoted(c)}, '')") for c in texts}) if texts else df
+
+
 def _table_partitions(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 

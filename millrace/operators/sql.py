@@ -27,7 +27,8 @@ def _bound_view(df: DataFrame, name: str) -> Iterator[None]:
     """Make ``df`` visible under ``name`` while a statement is analyzed.
 
     The analyzed plan holds the frame itself, so the view can go afterwards. A
-    temp view the caller had under that name comes back.
+    temp view the caller had under that name comes back. Views belong to the
+    session, so threads that share one must not bind the same name at once.
     """
     spark = df.sparkSession
     previous = _temp_view(spark, name)

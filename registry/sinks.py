@@ -55,11 +55,11 @@ def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.read_target(spark, target)
 
 
-@query(BATCH_SQL)
+@query(f"SELECT {COLUMNS} FROM orders")
 def load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "orders_overwrite")
-    m.write_table(_history(spark, sf_dir), target, "overwrite")
     m.write_table(_batch(spark, sf_dir), target, "overwrite")
+    m.write_table(table(spark, sf_dir, "orders").select(*COLUMNS.split(", ")), target, "overwrite")
     return m.read_target(spark, target)
 
 

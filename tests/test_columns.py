@@ -146,6 +146,18 @@ def test_audit_columns(orders):
     assert tuple(row) == (int(at.timestamp()), "2024-01-01", "test")
 
 
+def test_audit_time_without_zone_is_in_the_zone_of_the_session(spark, orders):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        audited = m.add_audit_columns(orders, "b", loaded_at=datetime(2024, 1, 2, 3, 4, 5))
+        row = audited.selectExpr("string(_etl_loaded_at) AS shown", "unix_seconds(_etl_loaded_at) AS at").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert row.shown == "2024-01-02 03:04:05"
+    assert row.at == int(datetime(2024, 1, 1, 18, 4, 5, tzinfo=timezone.utc).timestamp())
+
+
 def test_audit_defaults(orders):
     audited = m.add_audit_columns(orders, batch_id="", source="")
     assert "_source_system" not in audited.columns

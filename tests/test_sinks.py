@@ -287,6 +287,12 @@ def test_a_source_without_the_partition_column(spark, target):
     assert content(spark, target) == [(1, "A", 1, "x"), (2, "b", 2, "y"), (3, "C", None, None)]
 
 
+def test_empty_partition_text_joins_the_null_partition(spark, target):
+    m.write_table(frame(spark, (1, "a", 1, None), (2, "b", 2, "x")), target, "overwrite", partition_by=["p"])
+    m.write_table(frame(spark, (3, "c", 3, "")), target, "merge", keys=["k"], partition_by=["p"])
+    assert content(spark, target) == [(1, "a", 1, None), (2, "b", 2, "x"), (3, "c", 3, None)]
+
+
 @pytest.mark.parametrize("with_partition", [True, False])
 def test_partition_text_that_looks_like_a_number(spark, tmp_path, with_partition):
     path = str(tmp_path / "target")
