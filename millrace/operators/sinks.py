@@ -241,8 +241,8 @@ def _merge_by_stage(
         return _merge_result(target, counts, stage)
 
     # A partition all of whose rows moved elsewhere gets no row to be replaced with.
-    before, after = (f.select(*map(quoted, partition_by)) for f in (old, staged))
-    left_empty = before.distinct().subtract(after)
+    before, after = (f.select(*map(quoted, partition_by)).distinct() for f in (old, staged))
+    left_empty = before.subtract(after)
     may_move = not set(partition_by) <= set(keys)
     if may_move and is_path(target) and not left_empty.isEmpty():
         # Nothing but a full rewrite removes a partition directory through Spark.

@@ -21,7 +21,7 @@ MEASURES = [
 
 def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     orders = table(spark, sf_dir, "orders")
-    ordered = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    ordered = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
     return orders, orders.join(ordered, orders.o_orderkey == ordered.l_orderkey, "left_semi")
 
 
@@ -86,7 +86,7 @@ def recon_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column digests of a copy in another row order, in which the largest prices are off by a cent."""
     orders = table(spark, sf_dir, "orders")
     columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
-    copy = orders.repartition("o_custkey").selectExpr(
+    copy = orders.hint("rebalance").selectExpr(
         "o_orderkey", "o_custkey",
         "CASE WHEN o_totalprice > 499000 THEN o_totalprice + 0.01 ELSE o_totalprice END AS o_totalprice",
         "o_orderstatus", "upper(o_orderpriority) AS o_orderpriority",

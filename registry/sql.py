@@ -103,16 +103,16 @@ def sql_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-WINDOW = """
-SELECT o_orderkey, o_custkey,
-       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS nth,
-       round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
-             ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS last_three
-FROM {orders}"""
+MONTH = "PARTITION BY o_custkey, date_trunc('month', o_orderdate) ORDER BY o_orderdate, o_orderkey"
+WINDOW = f"""
+SELECT o_orderkey, o_custkey, CAST(row_number() OVER ({MONTH}) AS INTEGER) AS nth,
+       round(sum(o_totalprice) OVER ({MONTH} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS last_three
+FROM {{orders}}"""
 
 
 @query(WINDOW.format(orders="orders"))
 def sql_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows within a customer's month, so that a large customer spreads over many tasks."""
     return m.run_sql(table(spark, sf_dir, "orders"), WINDOW.format(orders="src"))
 
 
