@@ -84,7 +84,7 @@ def load_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "orders_merge")
     m.write_table(_history(spark, sf_dir), target, "overwrite")
-    m.write_table(_batch(spark, sf_dir), target, "merge", keys=["o_orderkey"])
+    m.write_table(_batch(spark, sf_dir), target, "merge", keys=["o_orderkey"], at_rest=True)
     return m.read_target(spark, target)
 
 
