@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import credentials, language, packing, quality, topk, toxicity, url_filter
+from millrace.llm import credentials, language, neardup, packing, quality, topk, toxicity, url_filter
 from millrace.llm.common import fold_is, table
 
 QUERIES = {}
@@ -86,3 +86,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _graded(scored: DataFrame, threshold: float) -> DataFrame:
     held = fold_is("doc_id", 5, 0).alias("held_out")
     return scored.select("doc_id", held, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@query
+def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_classes(table(spark, sf_dir, "documents"))
