@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import credentials, language, neardup, packing, quality, topk, toxicity, url_filter
+from millrace.llm import credentials, decontamination, language, neardup, packing, quality, topk, toxicity, url_filter
 from millrace.llm.common import fold_is, table
 
 QUERIES = {}
@@ -52,6 +52,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
