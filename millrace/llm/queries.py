@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import credentials, decontamination, language, neardup, packing, quality, topk, toxicity, url_filter
+from millrace.llm import credentials, decontamination, language, neardup, packing, quality, repeats, topk, toxicity, url_filter
 from millrace.llm.common import fold_is, table
 
 QUERIES = {}
@@ -40,6 +40,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+@query
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
