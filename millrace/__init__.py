@@ -18,7 +18,7 @@ from millrace.operators.dedup import drop_duplicates
 from millrace.operators.merge import merge_frames
 from millrace.operators.observe import count_rows
 from millrace.operators.recipe import Recipe
-from millrace.operators.sinks import LoadResult, write_run_date, write_table
+from millrace.operators.sinks import LoadResult, publish_stage, remove_old_versions, write_run_date, write_table
 from millrace.operators.sql import (
     count_sql_steps,
     run_sql,
@@ -34,6 +34,7 @@ from millrace.plans.quality import (
     no_nulls,
     not_empty,
     quality_report,
+    quality_reports,
     unique,
     value_range,
 )
@@ -43,11 +44,13 @@ from millrace.plans.reconcile import (
     column_hash,
     enforce_reconciliation,
     reconciliation_report,
+    reconciliation_reports,
     row_count,
 )
 from millrace.sources.files import read_files
 from millrace.sources.jdbc import read_jdbc
 from millrace.sources.tables import read_run_date, read_target
+from millrace.storage import clear_scratch
 
 __all__ = [
     "LoadResult",
@@ -58,6 +61,7 @@ __all__ = [
     "aggregate",
     "allowed_values",
     "cast_columns",
+    "clear_scratch",
     "column_hash",
     "count_rows",
     "count_sql_steps",
@@ -72,12 +76,16 @@ __all__ = [
     "merge_frames",
     "no_nulls",
     "not_empty",
+    "publish_stage",
     "quality_report",
+    "quality_reports",
     "read_files",
     "read_jdbc",
     "read_run_date",
     "read_target",
     "reconciliation_report",
+    "reconciliation_reports",
+    "remove_old_versions",
     "rename_columns",
     "row_count",
     "run_sql",

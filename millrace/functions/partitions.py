@@ -1,37 +1,42 @@
-"""Naming partitions, so that a scan is pruned before it starts."""
+"""Finding the partitions a batch touches."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
-from millrace.functions.literals import sql_literal
 from millrace.functions.names import quoted
 
-_LITERAL_TYPES = (
-    T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType
-)
+_HELD = "_held_"
+ROWS = "_rows"
 
-# More partitions than this are not named one by one; callers then read all of
-# them, with the same result.
-_MAX_NAMED = 10_000
 
+def partition_tuples(*frames: DataFrame) -> DataFrame:
+    """The distinct rows of frames of partition columns, with how often each occurs."""
+    names = frames[0].columns
+    rows = frames[0]
+    for frame in frames[1:]:
+        rows = rows.unionByName(frame)
+    return rows.groupBy(*map(quoted, names)).agg(F.count(F.lit(1)).alias(ROWS))
 
-def partition_predicate(values: DataFrame, column: str) -> str | None:
-    """A SQL predicate on ``column`` that holds for the values of a one-column frame.
 
-    Runs one job and collects the distinct values as literals: they name
-    directories, whose list the driver holds anyway. None when there are too many
-    or they have no literal form. Being plain, it also prunes in a metastore; like
-    any IN list it is NULL, not false, on a NULL it does not name.
+def in_partitions(df: DataFrame, tuples: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose partition columns are among the tuples, NULL matching NULL.
+
+    Any number of columns of any type. ``tuples`` comes from :func:`partition_tuples`;
+    written to a file first, it is small, so Spark broadcasts it by its measured
+    size and prunes the partitions of ``df`` before the scan (the filter on the
+    counts is what makes it consider that worth while). Spark prunes by plain
+    equality only, so partitions with a NULL, which a filter names, are a branch of
+    their own.
     """
-    if not isinstance(values.schema[0].dataType, _LITERAL_TYPES):
-        return None
-    rows = values.distinct().limit(_MAX_NAMED + 1).collect()
-    if len(rows) > _MAX_NAMED:
-        return None
-    named = [sql_literal(r[0]) for r in rows if r[0] is not None]
-    hits = [f"{quoted(column)} IN ({', '.join(named)})"] if named else []
-    if len(named) < len(rows):
-        hits.append(f"{quoted(column)} IS NULL")
-    return f"({' OR '.join(hits) or 'false'})"
+    names = [c for c in tuples.columns if c != ROWS]
+    held = tuples.where(F.col(ROWS) > 0).selectExpr(*[f"{quoted(c)} AS {quoted(_HELD + c)}" for c in names])
+
+    def matching(sign: str, condition: str) -> DataFrame:
+        own, given = (condition.format(*[quoted(f"{p}{c}") for c in names]) for p in ("", _HELD))
+        match = " AND ".join(f"{quoted(c)} {sign} {quoted(_HELD + c)}" for c in names)
+        return df.where(own).join(held.where(given), F.expr(match), "left_semi")
+
+    whole = matching("=", " AND ".join(["{} IS NOT NULL"] * len(names)))
+    return whole.unionByName(matching("<=>", " OR ".join(["{} IS NULL"] * len(names))))

@@ -28,13 +28,17 @@ def conform(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.selectExpr(*[f"CAST({quoted(g)} AS {types[c]}) AS {quoted(c)}" for c, g in shared])
 
 
-def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_frames(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], found: DataFrame | None = None
+) -> DataFrame:
     """``target`` after the merge, with ``_merge_action`` = keep, update or insert.
 
     A target row whose key is in ``source`` takes every source column; target
     columns the source lacks keep their value. Source rows without a match are
     inserted. A NULL in a key never matches. ``source`` must not repeat a key (see
-    :func:`repeated_key`), and gives the same rows whenever it is evaluated.
+    :func:`repeated_key`), and gives the same rows whenever it is evaluated. A caller
+    that already has the keys of ``source`` that ``target`` holds gives them as
+    ``found``; the target is then read once.
 
     Matched rows come from a left join and inserts from an anti-join against the
     keys found, rather than from one full outer join: a source that measures
@@ -58,8 +62,8 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     else:
         present = target.withColumn(ACTION, F.lit("keep"))
 
-    wanted = incoming.select(*map(_arriving, keys))
-    found = target.select(*map(quoted, keys)).join(wanted, match, "left_semi").distinct()
+    if found is None:
+        found = matched_keys(target, source, keys).distinct()
     given = {c: f"{_arriving(c)} AS {quoted(c)}" for c in shared}
     absent = {f.name: f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in target.schema}
     inserted = incoming.join(found, match, "left_anti").selectExpr(
@@ -68,6 +72,13 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return present.unionByName(inserted)
 
 
+def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
+    """Keys, and other columns, of the target rows whose key is in ``source``; a row for each target row."""
+    columns = [*keys, *[c for c in also if c not in keys]]
+    wanted = arriving_keys(source, keys)
+    return target.select(*map(quoted, columns)).join(wanted, F.expr(key_match(keys)), "left_semi")
+
+
 def arriving_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The key columns of a merge source, named as :func:`key_match` expects."""
     return source.selectExpr(*[f"{quoted(k)} AS {_arriving(k)}" for k in keys])

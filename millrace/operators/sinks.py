@@ -1,7 +1,9 @@
 """Writing frames: append, overwrite, keyed merge, and one logical date of a zone.
 
 A target is a catalog table by name or a dataset directory by path (a string with
-a slash in it).
+a slash in it). New data is complete before old data goes: directories are written
+beside their place and moved there, tables are pointed at a new version, partitions
+are replaced from a stage that stays.
 """
 
 from __future__ import annotations
@@ -11,27 +13,27 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import date
+from itertools import islice
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.literals import sql_literal
-from millrace.functions.names import Columns, is_path, qualified_name, quoted, quoted_table
-from millrace.functions.partitions import partition_predicate
-from millrace.operators.merge import (
-    ACTION,
-    MERGE_ACTIONS,
-    arriving_keys,
-    conform,
-    key_match,
-    merge_frames,
-    repeated_key,
-)
+from millrace.functions.names import Columns, is_path, name_key, qualified_name, quoted, quoted_table
+from millrace.functions.partitions import in_partitions, partition_tuples
+from millrace.operators.merge import ACTION, conform, matched_keys, merge_frames, repeated_key
 from millrace.operators.observe import count_rows
-from millrace.sources.tables import read_target
-from millrace.storage import path_exists, scratch_path
+from millrace.sources.tables import iso_day, read_target
+from millrace.storage import (
+    beside,
+    child_directories,
+    partition_columns,
+    path_exists,
+    remove_paths,
+    replace_directory,
+    scratch_path,
+)
 
 log = logging.getLogger(__name__)
 
@@ -39,16 +41,17 @@ log = logging.getLogger(__name__)
 WRITE_MODES = ("append", "overwrite", "merge")
 
 _VERSION = "__version_"
-
-_FILE_PROVIDERS = ("parquet", "orc", "json", "csv", "avro", "text")
+_AT_ONCE = 500
 
 
 @dataclass(frozen=True)
 class LoadResult:
     """What a load did. The last four are set by a merge only.
 
-    ``stage`` is where the merged rows were kept before publication; they stay
-    there, so :func:`publish_stage` can repeat an interrupted one.
+    ``stage`` is where a merge into partitions keeps the merged rows, from which
+    :func:`publish_stage` can repeat an interrupted one until
+    :func:`millrace.storage.clear_scratch` removes it; for an unpartitioned table
+    it is the new version's directory.
     """
 
     target: str
@@ -67,16 +70,20 @@ def write_table(
     keys: Sequence[str] = (),
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
-    format: str = "parquet",
+    format: str | None = None,
     at_rest: bool = False,
+    keep_versions: int = 1,
 ) -> LoadResult:
     """Append to, replace or merge into a target; creates it when absent.
 
-    ``partition_by`` sets the directory columns of a new target and must name them
-    again for an existing path; a catalog table knows its own. ``cluster_by`` puts
-    rows of similar value together inside the files. A merge first writes ``df``
-    to scratch; ``at_rest`` saves that for a plain scan of files that stay as they
-    are.
+    ``partition_by`` and ``format`` (Parquet) shape a new target. An existing one
+    keeps its own, which are looked up, and naming others raises; only a path that
+    is overwritten takes new partition columns. The format of a path cannot be
+    looked up and must be given when it is not Parquet. ``cluster_by`` puts rows
+    of similar value together inside the files. A merge first writes ``df`` to
+    scratch; ``at_rest`` saves that for a plain scan of files that stay as they
+    are. ``keep_versions`` former versions of an unpartitioned table stay behind
+    for readers that still hold them.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"unknown write mode {mode!r}; known modes: {', '.join(WRITE_MODES)}")
@@ -84,28 +91,52 @@ def write_table(
         raise ValueError("a merge needs keys")
 
     spark = df.sparkSession
-    if not is_path(target):
-        target = qualified_name(spark, target)
-        if spark.catalog.tableExists(target):
-            partition_by = _table_partitions(spark, target)
+    target = target if is_path(target) else qualified_name(spark, target)
+    exists = path_exists(spark, target) if is_path(target) else spark.catalog.tableExists(target)
+    if exists:
+        partition_by = _own_partitions(spark, target, partition_by, mode)
+        format = _own_format(spark, target, format)
+    format = format or "parquet"
+    if mode == "merge" and exists:
+        return _merge(df, target, keys, partition_by, cluster_by, format, at_rest, keep_versions)
     if mode == "merge":
-        return _merge(df, target, keys, partition_by, cluster_by, format, at_rest)
+        df = _pinned(df, target, at_rest)
+        _refuse_repeated_keys(df, keys)
 
     laid_out, seen = count_rows(lay_out(df, partition_by, cluster_by), f"load {target}")
-    _write(laid_out, target, mode, partition_by, format)
-    return LoadResult(target, mode, seen.get.get("rows", 0))
+    if mode == "append" and exists:
+        _append(laid_out, target, partition_by, format)
+    elif is_path(target):
+        _overwrite_path(laid_out, target, partition_by, format)
+    elif not exists:
+        _create_table(laid_out, target, partition_by, format)
+    elif not _same_columns(df, spark.table(target)):
+        _recreate_table(laid_out, target, partition_by, keep_versions)
+    elif partition_by:
+        stage = scratch_path(spark, f"{_label(target)}_etl_stage")
+        laid_out.write.parquet(f"{stage}/rows")
+        log.info("overwrite of %s staged at %s", target, stage)
+        _insert(lay_out(spark.read.parquet(f"{stage}/rows"), partition_by, cluster_by), target, overwrite=True)
+    else:
+        _swap(laid_out, target, keep_versions)
+    rows = seen.get.get("rows", 0)
+    created = {"inserted": rows, "updated": 0, "kept": 0} if mode == "merge" else {}
+    return LoadResult(target, mode, rows, **created)
 
 
 def write_run_date(df: DataFrame, zone: str, run_date: str, format: str = "parquet") -> int:
     """Replace one ``run_date`` partition of a zone and return the rows written.
 
     Other dates stay as they are, so a run can be repeated, also with nothing to
-    write. The partition's directory is written directly: ``partitionBy`` would
-    sort every task's rows by a constant first.
+    write; one that fails leaves the date as it was. The partition's directory is
+    written directly: ``partitionBy`` would sort every task's rows by a constant
+    first.
     """
-    day = date.fromisoformat(run_date).isoformat()
-    counted, seen = count_rows(df.drop("run_date"), f"zone {zone} {day}")
-    counted.write.mode("overwrite").format(format).save(f"{zone}/run_date={day}")
+    place = f"{zone.rstrip('/')}/run_date={iso_day(run_date)}"
+    counted, seen = count_rows(df.drop("run_date"), f"zone {place}")
+    new = beside(place, "new")
+    counted.write.format(format).save(new)
+    replace_directory(df.sparkSession, new, place)
     return seen.get.get("rows", 0)
 
 
@@ -130,23 +161,144 @@ def publish_stage(
     spark: SparkSession,
     stage: str,
     target: str,
-    partition_by: Sequence[str] = (),
+    partition_by: Sequence[str],
     cluster_by: Sequence[str] = (),
     format: str = "parquet",
-    whole: bool = False,
 ) -> None:
-    """Put staged rows in place of the target partitions they belong to.
+    """Put staged rows in place of the target partitions they belong to; remove those that lost all rows.
 
-    ``whole`` replaces the entire target. Safe to repeat with the same stage.
+    Safe to repeat with the same stage until the next load.
     """
-    staged = lay_out(spark.read.parquet(stage).drop(ACTION), partition_by, cluster_by)
-    if whole or not partition_by:
-        _write(staged, target, "overwrite", partition_by, format, existing=True)
-    elif is_path(target):
-        _dynamic(staged.write.format(format), partition_by).save(target)
+    staged = lay_out(spark.read.parquet(f"{stage}/rows").drop(ACTION), partition_by, cluster_by)
+    if is_path(target):
+        writer = staged.write.format(format).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partition_by).save(target)
     else:
         with _dynamic_inserts(spark):
-            staged.select(*spark.table(target).columns).write.mode("overwrite").insertInto(target)
+            _insert(staged, target, overwrite=True)
+    emptied = spark.read.parquet(f"{stage}/emptied")
+    if is_path(target):
+        files = _read_path(spark, target, format).selectExpr(*map(quoted, partition_by), "_metadata.file_path AS _file")
+        lost = in_partitions(files, emptied).selectExpr("regexp_replace(_file, '/[^/]*$', '') AS _directory").distinct()
+        directories = (_plain_path(spark, r[0]) for r in lost.toLocalIterator())
+        remove_paths(spark, directories)
+        return
+    rows = emptied.select(*[F.col(quoted(c)).cast("string") for c in partition_by]).toLocalIterator()
+    while some := list(islice(rows, _AT_ONCE)):
+        specs = [", ".join(f"{quoted(c)} = {_partition_value(v)}" for c, v in zip(partition_by, r)) for r in some]
+        parts = ", ".join(f"PARTITION ({spec})" for spec in specs)
+        spark.sql(f"ALTER TABLE {quoted_table(target)} DROP IF EXISTS {parts}")
+
+
+def remove_old_versions(spark: SparkSession, table: str, keep: int = 1) -> list[str]:
+    """Remove former versions of a table's files but the ``keep`` newest; returns their directories."""
+    table = qualified_name(spark, table)
+    current = _detail(spark, table, "Location").rstrip("/")
+    base = current.split(_VERSION)[0]
+    parent, _, name = base.rpartition("/")
+    mine = [
+        (changed, path)
+        for path, changed in child_directories(spark, parent)
+        if (own := path.rpartition("/")[2]) == name or own.startswith(f"{name}{_VERSION}")
+    ]
+    former = [p for _, p in sorted(mine, reverse=True) if p.rpartition("/")[2] != current.rpartition("/")[2]]
+    remove_paths(spark, former[keep:])
+    return former[keep:]
+
+
+# ---- append and overwrite -------------------------------------------------------------------
+
+
+def _append(df: DataFrame, target: str, partition_by: Sequence[str], format: str) -> None:
+    if not is_path(target):
+        _insert(df, target)
+        return
+    writer = df.write.format(format).mode("append")
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
+
+
+def _overwrite_path(df: DataFrame, path: str, partition_by: Sequence[str], format: str) -> None:
+    new = beside(path, "new")
+    writer = df.write.format(format)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(new)
+    replace_directory(df.sparkSession, new, path)
+
+
+def _insert(df: DataFrame, table: str, overwrite: bool = False) -> None:
+    """``insertInto`` by name: the table's columns, all of them and no others."""
+    columns, own = df.sparkSession.table(table).columns, Columns(df)
+    chosen = own.require(columns)
+    if len(chosen) < len(own.names):
+        raise ValueError(f"the frame has columns that {table} lacks: {set(own.names) - set(chosen)}")
+    df.select(*map(quoted, chosen)).write.insertInto(table, overwrite=overwrite)
+
+
+def _create_table(df: DataFrame, table: str, partition_by: Sequence[str], format: str) -> None:
+    """A managed table, or one at a versioned directory when a dropped table has left files in its place."""
+    spark = df.sparkSession
+    writer = df.write.format(format)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    database, _, name = table.rpartition(".")
+    described = spark.sql(f"DESCRIBE DATABASE {quoted_table(database)}").where("info_name = 'Location'")
+    place = f"{described.first()[1].rstrip('/')}/{name.strip('`').lower()}"
+    if path_exists(spark, place):
+        writer = writer.option("path", f"{place}{_VERSION}{uuid.uuid4().hex}")
+    writer.saveAsTable(table)
+
+
+def _swap(df: DataFrame, table: str, keep_versions: int) -> str:
+    """Write a new version of an unpartitioned table and point the table at it.
+
+    Readers see the old or the new table, never a mix.
+    """
+    spark = df.sparkSession
+    location = _write_version(df, table, ())
+    _point(spark, table, location, keep_versions)
+    return location
+
+
+def _point(spark: SparkSession, table: str, location: str, keep_versions: int) -> None:
+    spark.sql(f"ALTER TABLE {quoted_table(table)} SET LOCATION {sql_literal(location)}")
+    spark.catalog.refreshTable(table)
+    remove_old_versions(spark, table, keep_versions)
+
+
+def _write_version(df: DataFrame, table: str, partition_by: Sequence[str]) -> str:
+    spark = df.sparkSession
+    base = _detail(spark, table, "Location").split(_VERSION)[0].rstrip("/")
+    location = f"{base}{_VERSION}{uuid.uuid4().hex}"
+    writer = df.write.format(_provider(spark, table)).options(**_storage_options(spark, table))
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(location)
+    return location
+
+
+def _recreate_table(df: DataFrame, table: str, partition_by: Sequence[str], keep_versions: int) -> None:
+    """Overwrite with other columns: write the new version, then make the table anew over it.
+
+    Format, options, properties and comment stay. Dropping the table may remove
+    its old files, by then no longer needed.
+    """
+    spark = df.sparkSession
+    location = _write_version(df, table, partition_by)
+    about = _metadata(spark, table)
+    written = [f for f in df.schema if f.name not in partition_by] + [df.schema[c] for c in partition_by]
+    clauses = [
+        f"CREATE TABLE {quoted_table(table)} ({', '.join(f'{quoted(f.name)} {f.dataType.simpleString()}' for f in written)})",
+        f"USING {_provider(spark, table)}",
+        _pairs("OPTIONS", _storage_options(spark, table)),
+        f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else "",
+        f"LOCATION {sql_literal(location)}",
+        f"COMMENT {sql_literal(about.comment().get())}" if about.comment().isDefined() else "",
+        _pairs("TBLPROPERTIES", _java_map(spark, about.properties())),
+    ]
+    spark.sql(f"DROP TABLE {quoted_table(table)}")
+    spark.sql(" ".join(c for c in clauses if c))
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {quoted_table(table)}")
+    remove_old_versions(spark, table, keep_versions)
+
+
+# ---- merge ----------------------------------------------------------------------------------
 
 
 def _merge(
@@ -157,126 +309,109 @@ def _merge(
     cluster_by: Sequence[str],
     format: str,
     at_rest: bool,
+    keep_versions: int,
 ) -> LoadResult:
     spark = df.sparkSession
-    current = _existing(df, target, partition_by, format)
-    if current is not None:
-        df = _directory_values(conform(df, current), partition_by)
-    if not at_rest:
-        # The batch is read several times below; a frame that came out differently
-        # each time (an arbitrary survivor, a clock) would lose or repeat rows.
-        batch = scratch_path(spark, f"{_label(target)}_batch")
-        df.write.parquet(batch)
-        df = spark.read.schema(df.schema).parquet(batch)
-    repeated = repeated_key(df, keys)
-    if repeated is not None:
-        raise ValueError(f"merge source repeats the key {repeated}")
-
-    if current is None:
-        laid_out, seen = count_rows(lay_out(df, partition_by, cluster_by), f"load {target}")
-        _write(laid_out, target, "overwrite", partition_by, format)
-        rows = seen.get.get("rows", 0)
-        return LoadResult(target, "merge", rows, inserted=rows, updated=0, kept=0)
+    current = _read_path(spark, target, format) if is_path(target) else spark.table(target)
+    conformed = _directory_values(conform(df, current), partition_by)
+    df = _pinned(conformed, target, at_rest)
     keys = Columns(current).require(keys)
-    if not is_path(target) and _provider(spark, target) not in _FILE_PROVIDERS:
+    _refuse_repeated_keys(df, keys)
+    if not is_path(target) and not _is_plain_files(spark, target):
         _native_merge(df, target, keys)
         return LoadResult(target, "merge", rows=None)
-    if not is_path(target) and not partition_by:
-        return _merge_by_swap(df, current, target, keys, cluster_by)
-    return _merge_by_stage(df, current, target, keys, partition_by, cluster_by, format)
-
-
-def _merge_by_swap(
-    df: DataFrame, current: DataFrame, target: str, keys: Sequence[str], cluster_by: Sequence[str]
-) -> LoadResult:
-    """Write the merged table once, to a new directory, then point the table at it.
-
-    Readers see the old or the new table, never a mix. The old directory stays.
-    """
-    spark = df.sparkSession
-    base = _detail(spark, target, "Location").split(_VERSION)[0]
-    location = f"{base}{_VERSION}{uuid.uuid4().hex}"
-
-    seen = Observation(f"merge {target}")
-    counters = [F.expr(f"count_if({ACTION} = '{a}') AS {a}") for a in MERGE_ACTIONS]
-    merged = lay_out(merge_frames(current, df, keys), (), cluster_by).observe(seen, *counters)
-    merged.drop(ACTION).write.format(_provider(spark, target)).save(location)
-    counts = {action: seen.get.get(action, 0) for action in MERGE_ACTIONS}
-
-    _same_total(target, current, counts)
-    spark.sql(f"ALTER TABLE {quoted_table(target)} SET LOCATION {sql_literal(location)}")
-    spark.catalog.refreshTable(target)
-    return _merge_result(target, counts, location)
 
+    # The only pass over all the target's keys; everything below knows from here what is hit.
+    partition_by = Columns(current).require(partition_by)
+    place = scratch_path(spark, f"{_label(target)}_etl_hits")
+    hits = matched_keys(current, df, keys, partition_by)
+    hits.write.parquet(place)
+    hits = spark.read.schema(hits.schema).parquet(place)
+    found = hits.select(*map(quoted, keys)).distinct()
+    updates = hits.count() if set(df.columns) - set(keys) else 0
+    inserts = df.count() - found.count()
 
-def _merge_by_stage(
+    if partition_by:
+        stage, old = _publish_touched(df, current, target, keys, hits, found, partition_by, cluster_by, format, inserts)
+    else:
+        old = current.count()
+        merged = lay_out(merge_frames(current, df, keys, found).drop(ACTION), (), cluster_by)
+        if is_path(target):
+            stage, new = None, beside(target, "new")
+            merged.write.format(format).save(new)
+            _require_total(spark.read.format(format).schema(merged.schema).load(new), old + inserts, target)
+            replace_directory(spark, new, target)
+        else:
+            stage = _write_version(merged, target, ())
+            written = spark.read.format(_provider(spark, target)).options(**_storage_options(spark, target))
+            _require_total(written.schema(merged.schema).load(stage), old + inserts, target)
+            _point(spark, target, stage, keep_versions)
+    return LoadResult(target, "merge", inserts + updates, inserts, updates, old - updates, stage)
+
+
+def _publish_touched(
     df: DataFrame,
     current: DataFrame,
     target: str,
     keys: Sequence[str],
+    hits: DataFrame,
+    found: DataFrame,
     partition_by: Sequence[str],
     cluster_by: Sequence[str],
     format: str,
-) -> LoadResult:
-    """Stage the merged rows of the touched partitions, then overwrite just those.
+    inserts: int,
+) -> tuple[str, int]:
+    """Stage the merged rows of the partitions that rows arrive in or are hit in, then replace just those.
 
     Files cannot be overwritten while they are read, hence the staged copy. It is
-    also what an interrupted publication is repeated from.
+    also what an interrupted publication is repeated from. Returns the stage and
+    how many rows the partitions held.
     """
     spark = df.sparkSession
-    partition_by = Columns(current).require(partition_by)
-    touched = _touched_partitions(current, df, keys, partition_by)
-    old = current if touched is None else current.where(touched)
+    kinds = {f.name: f.dataType.simpleString() for f in current.schema}
+    arriving = df.selectExpr(
+        *[quoted(c) if c in df.columns else f"CAST(NULL AS {kinds[c]}) AS {quoted(c)}" for c in partition_by]
+    )
+    before = hits.select(*map(quoted, partition_by))
+    touched = _kept(partition_tuples(before, arriving), f"{_label(target)}_etl_touched")
+    old = in_partitions(current, touched)
+    held = old.count()
 
     stage = scratch_path(spark, f"{_label(target)}_etl_stage")
-    merged = merge_frames(old, df, keys)
-    merged.write.parquet(stage)
-    staged = spark.read.schema(merged.schema).parquet(stage)
-    counts = dict.fromkeys(MERGE_ACTIONS, 0) | dict(staged.groupBy(ACTION).count().collect())
-    _same_total(target, old, counts)
+    merged = merge_frames(old, df, keys, found)
+    merged.write.parquet(f"{stage}/rows")
+    staged = spark.read.schema(merged.schema).parquet(f"{stage}/rows")
+    _require_total(staged, held + inserts, target)
+    # A partition all of whose rows moved elsewhere gets no row to be replaced with.
+    emptied = before.distinct().subtract(staged.select(*map(quoted, partition_by)).distinct())
+    partition_tuples(emptied).write.parquet(f"{stage}/emptied")
     log.info("merge into %s staged at %s", target, stage)
+    publish_stage(spark, stage, target, partition_by, cluster_by, format)
+    return stage, held
 
-    if touched is None:
-        publish_stage(spark, stage, target, partition_by, cluster_by, format, whole=True)
-        return _merge_result(target, counts, stage)
 
-    # A partition all of whose rows moved elsewhere gets no row to be replaced with.
-    before, after = (f.select(*map(quoted, partition_by)).distinct() for f in (old, staged))
-    left_empty = before.subtract(after)
-    may_move = not set(partition_by) <= set(keys)
-    if may_move and is_path(target) and not left_empty.isEmpty():
-        # Nothing but a full rewrite removes a partition directory through Spark.
-        whole = scratch_path(spark, "whole_etl_stage")
-        kept = current.where(f"NOT coalesce({touched}, false)").withColumn(ACTION, F.lit("keep"))
-        staged.unionByName(kept).write.parquet(whole)
-        log.info("merge into %s staged whole at %s", target, whole)
-        publish_stage(spark, whole, target, partition_by, cluster_by, format, whole=True)
-        return _merge_result(target, counts, whole)
-    if may_move and not is_path(target):
-        for partition in left_empty.collect():
-            spec = ", ".join(f"{quoted(c)} = {_partition_value(partition[c])}" for c in partition_by)
-            spark.sql(f"ALTER TABLE {quoted_table(target)} DROP IF EXISTS PARTITION ({spec})")
-    publish_stage(spark, stage, target, partition_by, cluster_by, format)
-    return _merge_result(target, counts, stage)
+def _pinned(df: DataFrame, target: str, at_rest: bool) -> DataFrame:
+    """The batch, which is read several times, as files: a frame that came out differently each
+    time (an arbitrary survivor, a clock) would lose or repeat rows."""
+    return df if at_rest else _kept(df, f"{_label(target)}_batch")
 
 
-def _touched_partitions(
-    current: DataFrame, df: DataFrame, keys: list[str], partition_by: list[str]
-) -> str | None:
-    """A predicate on the first partition column that covers every partition the merge changes.
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    place = scratch_path(df.sparkSession, label)
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
 
-    Those are the partitions source rows arrive in and, unless the partition is
-    part of the key, the ones their matches sit in today. None when nothing can be
-    pruned.
-    """
-    if not partition_by or partition_by[0] not in df.columns:
-        return None
-    column = partition_by[0]
-    values = df.selectExpr(f"{quoted(column)} AS value")
-    if not set(partition_by) <= set(keys):
-        today = current.join(arriving_keys(df, keys), F.expr(key_match(keys)), "left_semi")
-        values = values.unionByName(today.selectExpr(f"{quoted(column)} AS value"))
-    return partition_predicate(values, column)
+
+def _refuse_repeated_keys(df: DataFrame, keys: Sequence[str]) -> None:
+    repeated = repeated_key(df, keys)
+    if repeated is not None:
+        raise ValueError(f"merge source repeats the key {repeated}")
+
+
+def _require_total(written: DataFrame, expected: int, target: str) -> None:
+    found = written.count()
+    if found != expected:
+        raise RuntimeError(f"merge made {found} rows of {expected} for {target}; nothing was changed")
 
 
 def _native_merge(df: DataFrame, target: str, keys: Sequence[str]) -> None:
@@ -291,54 +426,6 @@ def _native_merge(df: DataFrame, target: str, keys: Sequence[str]) -> None:
     writer.whenNotMatched().insert(values).merge()
 
 
-def _label(target: str) -> str:
-    return target.rstrip("/").replace("/", ".").rsplit(".", 1)[-1]
-
-
-def _merge_result(target: str, counts: dict[str, int], stage: str) -> LoadResult:
-    return LoadResult(
-        target,
-        "merge",
-        rows=counts["insert"] + counts["update"],
-        inserted=counts["insert"],
-        updated=counts["update"],
-        kept=counts["keep"],
-        stage=stage,
-    )
-
-
-def _same_total(target: str, old: DataFrame, counts: dict[str, int]) -> None:
-    before, after = old.count(), counts["keep"] + counts["update"]
-    if before != after:
-        raise RuntimeError(f"merge kept {after} of {before} rows of {target}; nothing was changed")
-
-
-def _write(
-    df: DataFrame,
-    target: str,
-    mode: str,
-    partition_by: Sequence[str],
-    format: str,
-    existing: bool = False,
-) -> None:
-    if existing and not is_path(target):
-        df.select(*df.sparkSession.table(target).columns).write.mode(mode).insertInto(target)
-        return
-    writer = df.write.format(format).mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if is_path(target):
-        writer.save(target)
-    else:
-        writer.saveAsTable(target)
-
-
-def _dynamic(writer, partition_by: Sequence[str]):
-    return (
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    )
-
-
 @contextmanager
 def _dynamic_inserts(spark: SparkSession) -> Iterator[None]:
     """``insertInto`` takes the overwrite mode from the session, not from the writer."""
@@ -351,29 +438,32 @@ def _dynamic_inserts(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
-def _existing(
-    df: DataFrame, target: str, partition_by: Sequence[str], format: str
-) -> DataFrame | None:
-    """The target as a merge reads it, or None when there is none yet.
+# ---- what a target is -----------------------------------------------------------------------
 
-    A path's partition columns come from directory names, in which Spark would
-    take ``007`` for the number 7. They are read in the type ``df`` has for them,
-    or as text, so that rewritten rows go back to the directory they came from.
-    """
-    spark = df.sparkSession
-    if not is_path(target):
-        return spark.table(target) if spark.catalog.tableExists(target) else None
-    if not path_exists(spark, target):
-        return None
-    found = read_target(spark, target, format)
-    given, partitions = Columns(df), set(Columns(found).require(partition_by))
 
-    def kind(name: str) -> T.DataType:
-        arriving = given.find(name)
-        return df.schema[arriving].dataType if arriving else T.StringType()
+def _own_partitions(spark: SparkSession, target: str, given: Sequence[str], mode: str) -> list[str]:
+    """The partition columns of an existing target; naming others raises."""
+    own = partition_columns(spark, target) if is_path(target) else _table_partitions(spark, target)
+    key = name_key(spark)
+    if not given or [key(c) for c in given] == [key(c) for c in own]:
+        return own
+    if mode == "overwrite" and is_path(target):
+        return list(given)
+    raise ValueError(f"{target} is partitioned by {own or 'nothing'}, not by {list(given)}")
 
-    fields = [T.StructField(f.name, kind(f.name)) if f.name in partitions else f for f in found.schema]
-    return spark.read.format(format).schema(T.StructType(fields)).load(target)
+
+def _own_format(spark: SparkSession, target: str, given: str | None) -> str | None:
+    if is_path(target):
+        return given
+    own = _provider(spark, target)
+    if given and given.lower() != own:
+        raise ValueError(f"{target} is a table of format {own}, not {given}")
+    return own
+
+
+def _read_path(spark: SparkSession, path: str, format: str) -> DataFrame:
+    """A dataset directory with its partition columns as the text that names its directories."""
+    return read_target(spark, path, format)
 
 
 def _directory_values(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -383,6 +473,12 @@ def _directory_values(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.expr(f"nullif({quoted(c)}, '')") for c in texts}) if texts else df
 
 
+def _same_columns(df: DataFrame, table: DataFrame) -> bool:
+    key = name_key(df.sparkSession)
+    shape = lambda frame: sorted((key(f.name), f.dataType.simpleString()) for f in frame.schema)
+    return shape(df) == shape(table)
+
+
 def _table_partitions(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
@@ -397,5 +493,50 @@ def _provider(spark: SparkSession, table: str) -> str:
     return _detail(spark, table, "Provider").lower()
 
 
-def _partition_value(value: object) -> str:
-    return "NULL" if value is None else sql_literal(str(value))
+def _is_plain_files(spark: SparkSession, table: str) -> bool:
+    """Whether the table's format is only files, without row-level operations of its own."""
+    provider = _provider(spark, table)
+    if provider == "hive":
+        return True
+    source = spark._jvm.org.apache.spark.sql.execution.datasources
+    try:
+        found = source.DataSource.lookupDataSource(provider, spark._jsparkSession.sessionState().conf())
+    except Exception:  # noqa: BLE001 - Spark knows no such source by that name: not its own files
+        return False
+    loader = spark._jvm.Thread.currentThread().getContextClassLoader()
+    kinds = ("execution.datasources.FileFormat", "execution.datasources.v2.FileDataSourceV2")
+    return any(loader.loadClass(f"org.apache.spark.sql.{k}").isAssignableFrom(found) for k in kinds)
+
+
+def _metadata(spark: SparkSession, table: str):
+    session = spark._jsparkSession.sessionState()
+    name = quoted_table(".".join(table.split(".")[-2:]))
+    return session.catalog().getTableMetadata(session.sqlParser().parseTableIdentifier(name))
+
+
+def _storage_options(spark: SparkSession, table: str) -> dict[str, str]:
+    """The options a table was made with, such as a header or a compression."""
+    options = _java_map(spark, _metadata(spark, table).storage().properties())
+    return {k: v for k, v in options.items() if k not in ("path", "serialization.format")}
+
+
+def _java_map(spark: SparkSession, found) -> dict[str, str]:
+    return dict(spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(found))
+
+
+def _pairs(clause: str, options: dict[str, str]) -> str:
+    listed = ", ".join(f"{sql_literal(k)} = {sql_literal(v)}" for k, v in sorted(options.items()))
+    return f"{clause} ({listed})" if listed else ""
+
+
+def _plain_path(spark: SparkSession, uri: str) -> str:
+    """A path out of the encoded form in which file metadata shows it."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+
+
+def _partition_value(value: str | None) -> str:
+    return "NULL" if value is None else sql_literal(value)
+
+
+def _label(target: str) -> str:
+    return target.rstrip("/").replace("/", ".").rsplit(".", 1)[-1]

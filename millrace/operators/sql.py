@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from millrace.functions.literals import sql_literal
 from millrace.operators.observe import count_rows
+from millrace.storage import scratch_path
 
 
 def _temp_view(spark: SparkSession, name: str) -> DataFrame | None:
@@ -87,7 +88,15 @@ def count_sql_steps(
     view: str = "src",
     params: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """``(step, n_rows)`` for every step, as one lazy frame and so one job."""
+    """``(step, n_rows)`` for every step, as one lazy frame.
+
+    The input is written to scratch once, when this is called, and every step counts
+    from there by the columns it needs: the source is scanned once, and a task that is
+    repeated counts nothing twice.
+    """
+    place = scratch_path(df.sparkSession, "steps")
+    df.write.parquet(place)
+    df = df.sparkSession.read.schema(df.schema).parquet(place)
     frames = _step_frames(df, steps, view, params)
     counted = [
         frame.selectExpr(f"{sql_literal(name)} AS step", "count(1) AS n_rows")

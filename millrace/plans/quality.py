@@ -15,6 +15,7 @@ from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
 from millrace.functions.literals import sql_literal
 from millrace.functions.names import Columns, quoted
@@ -193,6 +194,17 @@ def quality_report(df: DataFrame, checks: Sequence[Check | Sequence[Check]]) ->
     return reduce(DataFrame.unionByName, parts)
 
 
+def quality_reports(suites: Sequence[tuple[DataFrame, Sequence[Check | Sequence[Check]]]]) -> DataFrame:
+    """The reports of several frames as one, numbered on from frame to frame; one gate can judge it."""
+    reports, done = [], 0
+    for df, checks in suites:
+        reports.append(quality_report(df, checks).withColumn("check_no", F.col("check_no") + done))
+        done += sum(len(item) if isinstance(item, (list, tuple)) else 1 for item in checks)
+    if not reports:
+        raise ValueError("give at least one frame")
+    return reduce(DataFrame.unionByName, reports)
+
+
 def enforce_quality(report: DataFrame, table: str, fail_on_error: bool = True) -> list[Row]:
     """Run the report, log each verdict, and raise if any check failed.
 

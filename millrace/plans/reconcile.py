@@ -10,8 +10,10 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
 from millrace.functions.digests import bag_digest, digest_as_double
 from millrace.functions.literals import sql_literal
@@ -114,6 +116,20 @@ def reconciliation_report(
     return both[0].unionByName(both[1]).selectExpr(*picked).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
+def reconciliation_reports(
+    pairs: Sequence[tuple[DataFrame, DataFrame, Sequence[Measure | Sequence[Measure]]]],
+) -> DataFrame:
+    """The reports of several (source, target, measures) as one, numbered on from pair to pair."""
+    reports, done = [], 0
+    for source, target, measures in pairs:
+        report = reconciliation_report(source, target, measures)
+        reports.append(report.withColumn("check_no", F.col("check_no") + done))
+        done += sum(len(item) if isinstance(item, (list, tuple)) else 1 for item in measures)
+    if not reports:
+        raise ValueError("give at least one pair")
+    return reduce(DataFrame.unionByName, reports)
+
+
 def enforce_reconciliation(report: DataFrame, table: str, fail_on_error: bool = True) -> list[Row]:
     """Run the report, log each verdict, and raise if any measure is off.
 

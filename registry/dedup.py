@@ -16,18 +16,30 @@ REST = (
 )
 
 
-@query("SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount FROM lineitem")
+KEY = ("l_orderkey", "l_linenumber")
+DAY = "strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate"
+
+
+@query(f"SELECT DISTINCT {', '.join(KEY)}, {DAY}, {', '.join(REST[1:])} FROM lineitem")
 def dedup_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few distinct rows, each in many copies."""
-    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount")
-    return m.drop_duplicates(rows)
+    """Every row delivered twice, compared over all its columns."""
+    rows = table(spark, sf_dir, "lineitem")
+    distinct = m.drop_duplicates(rows.unionByName(rows)).select(*KEY, *REST)
+    return distinct.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
-@query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@query("""
+SELECT DISTINCT l_orderkey, l_linenumber, l_orderkey * 10 + l_linenumber AS line_no,
+       concat('order ', l_orderkey) AS order_name, l_orderkey / 8.0 AS weight FROM lineitem""")
 def dedup_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Any survivor per key; only the key is comparable between engines."""
-    survivors = m.drop_duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
-    return survivors.select("l_orderkey", "l_linenumber")
+    """Any survivor per key, with other columns that both engines can know: they follow from the key."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        *KEY,
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_no"),
+        F.concat(F.lit("order "), F.col("l_orderkey").cast("string")).alias("order_name"),
+        (F.col("l_orderkey") / 8.0).alias("weight"),
+    )
+    return m.drop_duplicates(lines, list(KEY))
 
 
 @query(f"""

@@ -134,3 +134,17 @@ UNION ALL SELECT 8, 'allowed_values:status', odd_status = 0, odd_status, 0 FROM
 def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight checks in two passes: one scan for the row-local ones, one shuffle for the key."""
     return m.quality_report(raw_orders(spark, sf_dir), SUITE).drop("details")
+
+
+@query("""
+WITH o AS (SELECT count(*) AS n, count(DISTINCT o_orderkey) AS ids FROM orders),
+     c AS (SELECT count(*) AS n, count(*) FILTER (c_acctbal < 0) AS low FROM customer)
+SELECT 1 AS check_no, 'not_empty' AS check_name, n > 0 AS passed, CAST(n AS DOUBLE) AS observed FROM o
+UNION ALL SELECT 2, 'unique:o_orderkey', n = ids, n - ids FROM o
+UNION ALL SELECT 3, 'not_empty', n > 0, n FROM c
+UNION ALL SELECT 4, 'value_range:c_acctbal', low = 0, low FROM c""")
+def dq_suite_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One gate over two frames, numbered through."""
+    orders = (table(spark, sf_dir, "orders"), [m.not_empty("orders"), m.unique(["o_orderkey"])])
+    customers = (table(spark, sf_dir, "customer"), [m.not_empty("customer"), m.value_range("c_acctbal", min_value=0)])
+    return m.quality_reports([orders, customers]).select("check_no", "check_name", "passed", "observed")

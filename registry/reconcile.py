@@ -108,3 +108,19 @@ def recon_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recon_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four measures from one aggregation per side."""
     return _rounded(m.reconciliation_report(*sides(spark, sf_dir), MEASURES))
+
+
+@query(
+    _gap_sql(1, "row_count", "count(*)", 0.05)
+    + " UNION ALL "
+    + _gap_sql(2, "sum:o_totalprice", "sum(o_totalprice)", 0.001)
+    + """
+UNION ALL
+SELECT 3, 'row_count', abs(s - t) / s <= 0.001, s, t, round(abs(s - t) / s, 9), CAST(0.001 AS DOUBLE)
+FROM (SELECT CAST(count(*) AS DOUBLE) AS s, CAST(count(*) FILTER (c_acctbal >= 0) AS DOUBLE) AS t FROM customer)"""
+)
+def recon_suite_two_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One gate over two pairs, numbered through."""
+    customers = table(spark, sf_dir, "customer")
+    orders = (*sides(spark, sf_dir), [m.row_count(0.05), m.aggregate("o_totalprice")])
+    return _rounded(m.reconciliation_reports([orders, (customers, customers.where("c_acctbal >= 0"), [m.row_count()])]))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,18 +69,46 @@ def orders_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "metric string, n bigint")
 
 
+@query(
+    _curated_sql("amount", f"order_date < '{BATCH_START}'", "2024-01-01")
+    + " UNION ALL "
+    + _curated_sql("amount + 10", f"order_date >= '{BATCH_START}'", "2024-01-02")
+)
+def orders_daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two days into a table by month; copies of an order differ, and the dearest counts."""
+    root, name = scratch_path(spark, "orders_table_run"), f"orders_curated_{uuid.uuid4().hex}"
+    raw = raw_orders(spark, sf_dir)
+    cheaper = raw.withColumns({"amount": F.col("amount") - 1000, "status": F.lit("F")})
+    corrected = raw.withColumn("amount", F.col("amount") + 10)
+    _write_csv(raw.where(F.col("order_date") < HISTORY_END), cheaper.where(F.col("order_date") < HISTORY_END), f"{root}/raw/2024-01-01")
+    since = F.col("order_date") >= BATCH_START
+    _write_csv(corrected.where(since), cheaper.where(since), f"{root}/raw/2024-01-02")
+    best = [F.desc("amount"), F.desc(F.col("status") == "O"), F.desc(F.col("status") == "PENDING")]
+    for run_date in ("2024-01-01", "2024-01-02"):
+        _run(spark, root, run_date, name, "month", best)
+    target = m.read_target(spark, name)
+    return target.withColumn("order_date", day("order_date")).drop("_etl_loaded_at", GRAINS["month"])
+
+
 def _deliver(raw: DataFrame, path: str) -> None:
-    raw.unionByName(raw).write.csv(path, header=True, nullValue="NULL")
+    _write_csv(raw, raw, path)
+
+
+def _write_csv(first: DataFrame, second: DataFrame, path: str) -> None:
+    first.unionByName(second).write.csv(path, header=True, nullValue="NULL")
 
 
-def _run(spark: SparkSession, root: str, run_date: str) -> OrdersRun:
+def _run(
+    spark: SparkSession, root: str, run_date: str, target: str | None = None, grain: str = "year", order_by: list | None = None
+) -> OrdersRun:
     return run_orders(
         spark,
         run_date,
         raw_path=f"{root}/raw/{run_date}",
         zone_root=root,
-        target=f"{root}/orders_curated",
+        target=target or f"{root}/orders_curated",
         raw_schema=RAW_SCHEMA,
-        grain="year",
+        grain=grain,
         loaded_at=LOADED_AT,
+        order_by=order_by,
     )

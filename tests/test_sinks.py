@@ -251,6 +251,28 @@ def test_rows_move_between_partitions_and_empty_ones_vanish(spark, target):
     assert (done.inserted, done.updated) == (1, 3)
 
 
+def test_only_the_emptied_directory_is_removed(spark, tmp_path):
+    path = str(tmp_path / "target")
+    m.write_table(frame(spark, (1, "a", 1, "x y"), (2, "b", 2, "y"), (3, "c", 3, "z")), path, "overwrite", partition_by=["p"])
+    before = files(path)
+    m.write_table(frame(spark, (1, "A", 10, "y")), path, "merge", keys=["k"])
+    after = files(path)
+    assert {f for f in before if "/p=z/" in f} == {f for f in before if after.get(f) == before[f]}
+    assert sorted(d.name for d in Path(path).glob("p=*")) == ["p=y", "p=z"]
+    assert content(spark, path) == [(1, "A", 10, "y"), (2, "b", 2, "y"), (3, "c", 3, "z")]
+
+
+def test_many_emptied_partitions_of_a_table(spark, monkeypatch):
+    from millrace.operators import sinks
+
+    monkeypatch.setattr(sinks, "_AT_ONCE", 3)
+    name = f"t_{uuid.uuid4().hex}"
+    m.write_table(frame(spark, *[(i, "a", i, f"p'{i}") for i in range(8)]), name, "overwrite", partition_by=["p"])
+    m.write_table(frame(spark, *[(i, "b", i, None) for i in range(7)]), name, "merge", keys=["k"])
+    assert content(spark, name) == [(i, "b", i, None) for i in range(7)] + [(7, "a", 7, "p'7")]
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 2
+
+
 def test_a_partition_whose_rows_all_leave(spark, target):
     m.write_table(frame(spark, (1, "a", 1, "x"), (2, "b", 2, "y"), (3, "c", 3, "z")), target, "overwrite", partition_by=["p"])
     m.write_table(frame(spark, (1, "A", 10, "y")), target, "merge", keys=["k"], partition_by=["p"])
@@ -269,15 +291,26 @@ def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
     assert content(spark, path, "k", "p")[2] == (2, "x")
 
 
-def test_more_partitions_than_can_be_named(spark, target, monkeypatch):
-    from millrace.functions import partitions
+def test_one_tuple_of_two_levels_rewrites_one_directory(spark, tmp_path):
+    path = str(tmp_path / "target")
+    rows = [(y * 100 + m, y, m, "old") for y in (2024, 2025) for m in (1, 2, 3)]
+    schema = "k int, y int, m int, v string"
+    m.write_table(frame(spark, *rows, schema=schema), path, "overwrite", partition_by=["y", "m"])
+    before = files(path)
+    m.write_table(frame(spark, (202402, 2024, 2, "new"), schema=schema), path, "merge", keys=["k"])
+    after = files(path)
+    assert {f for f in before if after.get(f) != before[f]} == {f for f in before if "/y=2024/m=2/" in f}
+    assert ("202402", "new") in {(str(k), v) for k, v in content(spark, path, "k", "v")}
+
 
-    monkeypatch.setattr(partitions, "_MAX_NAMED", 2)
-    m.write_table(frame(spark, *[(i, "a", i, p) for i, p in enumerate("wxyz")]), target, "overwrite", partition_by=["p"])
-    batch = frame(spark, (0, "b", 0, "x"), (1, "b", 1, "y"), (2, "b", 2, "z"), (9, "b", 9, None))
-    done = m.write_table(batch, target, "merge", keys=["k"], partition_by=["p"])
-    assert content(spark, target) == [(0, "b", 0, "x"), (1, "b", 1, "y"), (2, "b", 2, "z"), (3, "a", 3, "z"), (9, "b", 9, None)]
-    assert (done.inserted, done.updated, done.kept) == (1, 3, 1)
+def test_partitions_of_timestamps_are_left_alone(spark, target):
+    rows = spark.sql("SELECT int(id) AS k, 'a' AS v, timestamp '2024-01-01 10:00:00' + make_interval(0, 0, 0, id) AS t FROM range(3)")
+    m.write_table(rows, target, "overwrite", partition_by=["t"])
+    before = set(spark.read.parquet(target).inputFiles() if "/" in target else spark.table(target).inputFiles())
+    m.write_table(rows.where("k = 1").withColumn("v", F.lit("b")), target, "merge", keys=["k"])
+    found = m.read_target(spark, target)
+    assert len(before & set(found.inputFiles())) == 2
+    assert sorted(tuple(r) for r in found.select("k", "v").collect()) == [(0, "a"), (1, "b"), (2, "a")]
 
 
 def test_a_source_without_the_partition_column(spark, target):
@@ -310,12 +343,13 @@ def test_merge_on_nested_partitions_and_partition_in_key(spark, target):
     m.write_table(start, target, "overwrite", **layout)
     batch = frame(spark, (1, 2025, "a", "new"), (3, 2026, "c", "new"), schema=schema)
     m.write_table(batch, target, "merge", keys=["k", "y", "p"], **layout)
-    assert content(spark, target, "k", "y", "p", "v") == [
+    years = lambda: sorted((r.k, int(r.y), r.p, r.v) for r in m.read_target(spark, target).collect())
+    assert years() == [
         (1, 2024, "a", "old"), (1, 2025, "a", "new"), (2, 2025, "b", "old"), (3, 2026, "c", "new")
     ]
     move = frame(spark, (2, 2025, "c", "moved"), schema=schema)
     m.write_table(move, target, "merge", keys=["k"], **layout)
-    assert content(spark, target, "k", "y", "p", "v")[2] == (2, 2025, "c", "moved")
+    assert years()[2] == (2, 2025, "c", "moved")
 
 
 def test_a_target_key_may_repeat(spark, target):
@@ -346,7 +380,7 @@ def test_a_target_table_is_repointed_in_one_step(spark):
     held = spark.table(name)
     old = set(held.inputFiles())
     for v in ("b", "c"):
-        done = m.write_table(frame(spark, (1, v, 1, "x")), name, "merge", keys=["k"])
+        done = m.write_table(frame(spark, (1, v, 1, "x")), name, "merge", keys=["k"], keep_versions=2)
     assert content(spark, name) == [(1, "c", 1, "x")]
     assert held.collect()[0].v == "a"
     assert old.isdisjoint(spark.table(name).inputFiles())
@@ -365,6 +399,104 @@ def test_an_interrupted_publication_is_repeated_from_its_stage(spark, tmp_path):
     assert content(spark, path) == want
 
 
+def test_overwriting_a_merged_table_keeps_it(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    m.write_table(frame(spark, (1, "a", 1, "x")), name, "overwrite")
+    m.write_table(frame(spark, (2, "b", 2, "y")), name, "merge", keys=["k"])
+    m.write_table(frame(spark, (3, "c", 3, "z")), name, "overwrite")
+    assert content(spark, name) == [(3, "c", 3, "z")]
+    m.write_table(frame(spark, (4, "d"), schema="k int, other string"), name, "overwrite")
+    assert content(spark, name, "k", "other") == [(4, "d")]
+    m.write_table(frame(spark, (5, "e"), schema="k int, other string"), name, "append")
+    spark.sql(f"DROP TABLE {name}")
+    m.write_table(frame(spark, (6, "f", 6, "w")), name, "overwrite")
+    assert content(spark, name) == [(6, "f", 6, "w")]
+
+
+def test_a_failed_overwrite_leaves_the_target(spark, target):
+    m.write_table(frame(spark, (1, "a", 1, "x")), target, "overwrite")
+    bad = frame(spark, (2, "b", 2, "y")).withColumn("w", F.expr("int(raise_error('no'))"))
+    with pytest.raises(Exception, match="no"):
+        m.write_table(bad, target, "overwrite")
+    assert content(spark, target) == [(1, "a", 1, "x")]
+
+
+def test_partition_columns_of_a_target_are_looked_up(spark, target):
+    m.write_table(frame(spark, (1, "a", 1, "007"), (2, "b", 2, "008")), target, "overwrite", partition_by=["p"])
+    m.write_table(frame(spark, (3, "c", 3, "009")), target, "append")
+    m.write_table(frame(spark, (1, "A", 10, "007")), target, "merge", keys=["k"])
+    assert content(spark, target) == [(1, "A", 10, "007"), (2, "b", 2, "008"), (3, "c", 3, "009")]
+    for mode in ("append", "merge"):
+        with pytest.raises(ValueError, match="partitioned by"):
+            m.write_table(frame(spark, (4, "d", 4, "x")), target, mode, keys=["k"], partition_by=["w"])
+    m.write_table(frame(spark, (4, "d", 4, "001")), target, "overwrite")
+    assert content(spark, target) == [(4, "d", 4, "001")]
+    m.write_table(frame(spark, (5, "e", 5, "002")), target, "append", partition_by=["P"])
+    assert content(spark, target)[1] == (5, "e", 5, "002")
+
+
+@pytest.mark.parametrize("partition", ["", "PARTITIONED BY (p)"])
+def test_what_a_table_is_survives_loads(spark, partition):
+    name = f"t_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {name} (k int, v string, w int, p string) USING orc OPTIONS ('compression' = 'zlib') {partition} "
+        "COMMENT 'it''s mine' TBLPROPERTIES ('team' = 'me')"
+    )
+    m.write_table(frame(spark, (1, "a", 1, "x")), name)
+    m.write_table(frame(spark, (2, "b", 2, "x")), name, "merge", keys=["k"])
+    m.write_table(frame(spark, (3, "c", 3, "z")), name, "overwrite")
+    assert content(spark, name) == [(3, "c", 3, "z")]
+    m.write_table(frame(spark, (4, "d", "q"), schema="k int, other string, p string"), name, "overwrite")
+    assert content(spark, name, "k", "other", "p") == [(4, "d", "q")]
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert about["Provider"].lower() == "orc" and about["Comment"] == "it's mine" and "team=me" in about["Table Properties"]
+    assert "compression=zlib" in about["Storage Properties"]
+    with pytest.raises(ValueError, match="format orc"):
+        m.write_table(frame(spark, (4, "d", "q"), schema="k int, other string, p string"), name, format="parquet")
+
+
+def test_a_stated_number_of_versions_stays(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    m.write_table(frame(spark, (0, "a", 0, "x")), name, "overwrite")
+    warehouse = Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"))
+    for i in range(1, 4):
+        m.write_table(frame(spark, (i, "a", i, "x")), name, "merge", keys=["k"])
+        assert len(list(warehouse.glob(f"{name}*"))) == 2
+    assert len(m.remove_old_versions(spark, name, keep=0)) == 1
+    assert len(content(spark, name)) == 4
+
+
+def test_old_scratch_is_cleared(spark, monkeypatch):
+    from millrace import storage
+    from millrace.storage import path_exists, scratch_path
+
+    place = scratch_path(spark, "leftover")
+    frame(spark, (1, "a", 1, "x")).write.parquet(place)
+    m.clear_scratch(spark, older_than_hours=24)
+    assert path_exists(spark, place)
+    monkeypatch.setattr(storage, "scratch_root", lambda _: place)
+    assert m.clear_scratch(spark, older_than_hours=-1) >= 1  # changed up to an hour from now
+    assert not list(Path(place).glob("*.parquet"))
+
+
+def test_a_failed_date_stays_and_dates_are_normalised(spark, tmp_path):
+    zone = str(tmp_path / "zone")
+    m.write_run_date(frame(spark, (1, "a", 1, "x")), zone, "20240101")
+    assert [r.k for r in m.read_run_date(spark, zone, "20240101").collect()] == [1]
+    bad = frame(spark, (2, "b", 2, "y")).withColumn("w", F.expr("int(raise_error('no'))"))
+    with pytest.raises(Exception, match="no"):
+        m.write_run_date(bad, zone, "2024-01-01")
+    assert [r.k for r in m.read_run_date(spark, zone, "2024-01-01").collect()] == [1]
+    assert "run_date" in spark.read.parquet(zone).columns
+
+
+def test_a_target_is_read_with_a_schema(spark, target):
+    m.write_table(frame(spark, (1, "a", 1, "007")), target, "overwrite", partition_by=["p"])
+    assert m.read_target(spark, target).first().p == "007"
+    typed = m.read_target(spark, target, schema="k bigint, p string")
+    assert typed.dtypes == [("k", "bigint"), ("p", "string")] and typed.first().p == "007"
+
+
 def test_small_source_is_broadcast_and_target_not_shuffled(spark, tmp_path):
     path = str(tmp_path / "big")
     spark.range(100_000).selectExpr("id AS k", "string(id) AS v").write.parquet(path)
