@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import staged
+
 ALLOW, BLOCK = "allow", "block"
 _PAD, _END = "\x02", "\x03"
 _CHARACTERS = 256.0
@@ -68,7 +70,8 @@ def _smoothed(counts: DataFrame, needed: DataFrame, order: int) -> DataFrame:
     """The log ratio of the two models' probabilities for each needed gram.
 
     ``counts`` has (gram, yes, no). Each order's probabilities come from the order
-    below, for the distinct endings of the needed grams.
+    below, for the distinct endings of the needed grams, and are staged: five nested
+    levels in one plan would weigh on the driver.
     """
     total = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("yes", "no"))).first()
     both = total["yes"] > 0 and total["no"] > 0
@@ -99,20 +102,21 @@ def _smoothed(counts: DataFrame, needed: DataFrame, order: int) -> DataFrame:
             for k in ("yes", "no")
         }
         unseen = {k: F.when(F.col(f"n_{k}") > 0, p[k]).otherwise(F.col(f"p_{k}")) for k in p}
-        below = want.select("tail", unseen["yes"].alias("p_yes"), unseen["no"].alias("p_no"))
+        below = staged(want.select("tail", unseen["yes"].alias("p_yes"), unseen["no"].alias("p_no")), "probabilities")
     return below.select(F.col("tail").alias("gram"), F.log(F.col("p_yes") / F.col("p_no")).alias("ratio"))
 
 
 def score_urls(urls: DataFrame, labelled: DataFrame, order: int = 4) -> DataFrame:
     """(url, score) for each distinct url; ``labelled`` has (url, accepted)."""
-    counts = (
+    counts = staged(
         _grams(labelled.where("url IS NOT NULL"), order)
         .groupBy("gram")
-        .agg(F.count_if("accepted").alias("yes"), F.count_if(~F.col("accepted")).alias("no"))
+        .agg(F.count_if("accepted").alias("yes"), F.count_if(~F.col("accepted")).alias("no")),
+        "grams",
     )
     positions = _grams(urls.select("url").where("url IS NOT NULL").distinct(), order)
-    ratios = _smoothed(counts, positions.select("gram").distinct(), order)
-    return positions.join(ratios, "gram").groupBy("url").agg(F.avg("ratio").alias("score"))
+    ratios = _smoothed(counts, staged(positions.select("gram").distinct(), "needed"), order)
+    return staged(positions.join(ratios, "gram").groupBy("url").agg(F.avg("ratio").alias("score")), "scores")
 
 
 def best_threshold(scored: DataFrame) -> float:
@@ -150,7 +154,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], order: int = 4, folds: i
     ruled = own.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     known = ruled.where("rule IS NOT NULL AND url IS NOT NULL").select("url", F.col("rule").isin(allowed).alias("accepted"))
     held = F.crc32(F.col("url").cast("binary")) % folds == 0
-    scores = score_urls(ruled.select("url"), known.where(~held), order).hint("shuffle_hash")
+    scores = score_urls(ruled.select("url"), known.where(~held), order)
     scored = ruled.join(scores.withColumnRenamed("url", "scored_url"), F.col("url") == F.col("scored_url"), "left")
     threshold = best_threshold(known.where(held).join(scores, "url"))
     by_rule = F.when(F.col("rule").isin(allowed), ALLOW).otherwise(BLOCK)
