@@ -15,9 +15,17 @@ from pyspark.sql import functions as F
 
 from millrace.storage import scratch_path
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship(spark: SparkSession) -> None:
-    """Give every executor this library, once per Spark application, unless it was submitted with it."""
+    """Give every executor this library, once per Spark application.
+
+    Whole documents are longer than the rows Spark's default batches are meant for, so
+    batches for Python become smaller unless the session has a size of its own.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1000")
     context = spark.sparkContext
     if not hasattr(context, "_millrace_library"):
         root, folder = Path(__file__).resolve().parents[2], tempfile.TemporaryDirectory()
@@ -94,4 +102,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -700, 700)))
