@@ -19,7 +19,7 @@ _WORD_BYTE = np.zeros(256, np.bool_)
 _WORD_BYTE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 #: Bytes of text handled at once; a longer text is handled alone.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 _powers: dict[int, np.ndarray] = {}
 
@@ -28,7 +28,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = 1 << max(20, (n - 1).bit_length())
+        size = 1 << max(18, (n - 1).bit_length())
         have = np.ones(size, np.uint64)
         done = 1
         while done < size:

@@ -4,10 +4,10 @@ A text is the set of its hashed words and of their beginnings of ``STEMS`` bytes
 that an inflected form counts by its stem. Of these terms the ``features`` whose
 presence tells most about the label stay; the machine has a weight and ``factors`` numbers for
 each, so that pairs of terms count beyond their sum. It is trained in numpy by Adagrad
-on a bounded sample of labelled texts and broadcast (features * (factors + 2) numbers).
+on a bounded sample of labelled texts and broadcast (features * (factors + 2) numbers); the sample's terms are counted in Spark.
 
 Edge cases: a null or empty text, or one of unknown terms, gets the score of the bias
-alone; without labelled texts every score is 0.
+alone; without positive labels every score is 0, without negative ones 1.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh, labelled_sample, sigmoid, text_udf
+from millrace.llm.common import fresh, labelled_sample, sigmoid, staged, text_udf
 from millrace.llm.text import blocks, hash_words
 
 STEMS = (4, 5, 6)
@@ -52,15 +52,18 @@ def distinct_terms(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes[new], of[new]
 
 
-def telling_terms(hashes: np.ndarray, of: np.ndarray, y: np.ndarray, features: int, least: int = 3) -> np.ndarray:
-    """The terms in ``least`` texts or more with the largest z-score between the two labels, sorted."""
-    terms, at, n = np.unique(hashes, return_inverse=True, return_counts=True)
-    hits = np.bincount(at, weights=y[of], minlength=len(terms))
-    share = y.mean()
-    z = np.abs(hits - n * share) / np.sqrt(n * share * (1 - share) + 1e-9)
-    z[n < least] = 0
-    best = np.lexsort((terms, -z))[:features]
-    return np.sort(terms[best[z[best] > 0]])
+def telling_terms(rows: DataFrame, features: int, least: int = 3) -> np.ndarray:
+    """Of the terms in ``least`` texts or more, the ``features`` with the largest z-score between the labels, sorted.
+
+    ``rows`` has (y, terms), each term once a row; the counting is Spark's.
+    """
+    share = rows.agg(F.avg("y").alias("share")).first()["share"]
+    if not share or share == 1:
+        return np.zeros(0, np.uint64)
+    counts = rows.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("hits"))
+    z = F.abs(F.col("hits") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)))
+    best = counts.where(F.col("n") >= least).orderBy(z.desc(), "term").limit(features).collect()
+    return np.sort(np.array([r["term"] for r in best], np.int64).view(np.uint64))
 
 
 def raw_score(model: Machine, index: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,17 +77,13 @@ def raw_score(model: Machine, index: np.ndarray, of: np.ndarray, n: int) -> tupl
 
 
 def fit(
-    hashes: np.ndarray, of: np.ndarray, y: np.ndarray, features: int = 1024, factors: int = 6, epochs: int = 40, penalty: float = 2e-4
+    terms: np.ndarray, index: np.ndarray, of: np.ndarray, y: np.ndarray, factors: int = 6, epochs: int = 40, penalty: float = 2e-4
 ) -> Machine:
-    """A machine for the texts 0 .. len(y) - 1 with these distinct terms, grouped by text."""
+    """A machine for the texts 0 .. len(y) - 1, whose (feature, text) pairs are grouped by text."""
     rng = np.random.default_rng(7)
     if len(y) == 0 or y.min() == y.max():
-        bias = -30.0 if len(y) == 0 or y.max() == 0 else 30.0
+        bias = -1000.0 if len(y) == 0 or y.max() == 0 else 1000.0
         return Machine(np.zeros(0, np.uint64), bias, np.zeros(0), np.zeros((0, factors)))
-    terms = telling_terms(hashes, of, y, features)
-    at = np.searchsorted(terms, hashes).clip(max=max(len(terms) - 1, 0))
-    known = terms[at] == hashes if len(terms) else np.zeros(len(hashes), np.bool_)
-    index, of = at[known], of[known]
     share = y.mean()
     model = Machine(terms, float(np.log(share / (1 - share))), np.zeros(len(terms)), rng.normal(0, 0.05, (len(terms), factors)))
     bias, g_bias, g_w, g_v = model.bias, 1e-6, np.full(len(terms), 1e-6), np.full((len(terms), factors), 1e-6)
@@ -134,19 +133,32 @@ def scorer(model: Machine):
     return score
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 8_000) -> Machine:
+def train(docs: DataFrame, labels: DataFrame, sample: int = 8_000, features: int = 1024) -> Machine:
     """A machine fitted to at most ``sample`` documents with a label ``toxic``."""
 
     @F.pandas_udf("array<long>")
     def terms_of(texts: pd.Series) -> pd.Series:
-        hashes, of = distinct_terms([t or "" for t in texts])
-        cuts = np.searchsorted(of, np.arange(1, len(texts)))
-        return pd.Series(np.split(hashes.view(np.int64), cuts))
-
-    rows = labelled_sample(docs, labels, "toxic", sample).select(terms_of("text").alias("terms"), "y").toPandas()
-    n = rows["terms"].map(len).to_numpy(np.int64)
-    hashes = np.concatenate([*rows["terms"], np.zeros(0, np.int64)]).astype(np.int64).view(np.uint64)
-    return fit(hashes, np.repeat(np.arange(len(rows)), n), rows["y"].to_numpy(np.float64))
+        lists = []
+        for part in blocks(given := [t or "" for t in texts]):
+            hashes, of = distinct_terms(given[part])
+            lists += np.split(hashes.view(np.int64), np.searchsorted(of, np.arange(1, part.stop - part.start)))
+        return pd.Series(lists)
+
+    rows = staged(labelled_sample(docs, labels, "toxic", sample).select("y", terms_of("text").alias("terms")), "terms")
+    terms = telling_terms(rows, features)
+
+    @F.pandas_udf("array<int>")
+    def known(lists: pd.Series) -> pd.Series:
+        def one(x: np.ndarray) -> np.ndarray:
+            hashes = np.asarray(x, np.int64).view(np.uint64)
+            at = np.searchsorted(terms, hashes).clip(max=max(len(terms) - 1, 0))
+            return np.sort(at[terms[at] == hashes]) if len(terms) else at[:0]
+
+        return lists.map(one)
+
+    chosen = sorted((r["y"], r["index"]) for r in rows.select("y", known("terms").alias("index")).collect())
+    index = np.array([i for _, x in chosen for i in x], np.int64)
+    return fit(terms, index, np.repeat(np.arange(len(chosen)), [len(x) for _, x in chosen]), np.array([y for y, _ in chosen], float))
 
 
 def score_toxicity(docs: DataFrame, model: Machine) -> DataFrame:
