@@ -41,7 +41,7 @@ LENGTH, GRAM = 100, 32
 #: Spans of a gram that one group takes; and that a task sends of a gram.
 LIMIT, SENT = 2_000, 64
 _FLUSH = 8 << 20
-_PIECE = 1 << 19
+_PIECE, _BLOCK = 1 << 19, 1 << 18
 _LOWEST = -(1 << 63)
 _SETTLED, _TREE, _WINDOWS = 0, 1, 2
 _ENTRY = np.dtype(
@@ -104,13 +104,13 @@ def anchors(pieces: Sequence[bytes], length: int = LENGTH, gram: int = GRAM) ->
 
 
 def pieces_of(texts: Sequence[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
-    """Blocks of (text number, offset, bytes) with at most 2**20 bytes; long texts are cut so that no window is lost."""
+    """Blocks of (text number, offset, bytes) with less than 2**20 bytes; long texts are cut so that no window is lost."""
     held: tuple[list, list, list] = ([], [], [])
     size = 0
     for i, raw in enumerate(texts):
         for at in range(0, max(len(raw) - LENGTH + 1, 0), _PIECE):
             part = raw[at : at + _PIECE + LENGTH - 1]
-            if size + len(part) > 1 << _PLACES:
+            if size and size + len(part) > _BLOCK:
                 yield held
                 held, size = ([], [], []), 0
             for x, v in zip(held, (i, at, part), strict=True):
@@ -150,13 +150,13 @@ def _split(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return entries[~later], entries[later & ~again]
 
 
-def _deal(buckets: int):
+def _deal(buckets: int, most_sent: int):
     """Anchors of each task's texts, combined and dealt by gram; what is settled within the task goes along."""
 
     def send(entries: np.ndarray) -> Iterator[pd.DataFrame]:
         firsts, settled = _split(entries)
         _, at, n = np.unique(firsts["gram"], return_inverse=True, return_counts=True)
-        hot = n[at] > SENT
+        hot = n[at] > most_sent
         firsts["many"] = hot
         kept = ~hot | ~_same_as_before(firsts["gram"])
         yield from blobs(firsts[kept], -1)
@@ -193,30 +193,33 @@ def _deal(buckets: int):
     return run
 
 
-def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _settle(limit: int):
     """The fate of the anchors of each bucket, rows of which come one after the other."""
-    held, at = [], None
 
-    def settled() -> Iterator[pd.DataFrame]:
+    def settled(held: list[np.ndarray]) -> Iterator[pd.DataFrame]:
         firsts, later = _split(np.concatenate(held)) if held else (np.zeros(0, _ENTRY),) * 2
         yield _fates(later[~later["many"]], _SETTLED)
         _, of, n = np.unique(firsts["gram"], return_inverse=True, return_counts=True)
-        hot = (np.bincount(of, weights=firsts["many"], minlength=len(n)) > 0) | (n > LIMIT)
+        hot = (np.bincount(of, weights=firsts["many"], minlength=len(n)) > 0) | (n > limit)
         own = ~firsts["many"]  # the others were sent as they are
         yield _fates(firsts[own & hot[of]], _WINDOWS)
         yield _fates(firsts[own & ~hot[of] & (n[of] > 1)], _TREE)
 
-    for batch in batches:
-        for bucket, fate, entries in zip(batch["bucket"], batch["fate"], batch["entries"], strict=True):
-            if bucket != at:
-                yield from settled()
-                held, at = [], bucket
-            entries = np.frombuffer(entries, _ENTRY)
-            if fate < 0:
-                held.append(entries)
-            else:
-                yield _fates(entries, fate)
-    yield from settled()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, at = [], None
+        for batch in batches:
+            for bucket, fate, entries in zip(batch["bucket"], batch["fate"], batch["entries"], strict=True):
+                if bucket != at:
+                    yield from settled(held)
+                    held, at = [], bucket
+                entries = np.frombuffer(entries, _ENTRY)
+                if fate < 0:
+                    held.append(entries)
+                else:
+                    yield _fates(entries, fate)
+        yield from settled(held)
+
+    return run
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
@@ -264,6 +267,7 @@ def _grow(out: str):
         held, at, rows = [], None, []
 
         def found() -> None:
+            widest: dict[int, tuple[int, int]] = {}
             held.sort(key=lambda r: (r.doc_id, r.h, r.first))
             lefts = [r.bytes[: r.place - r.first][::-1] for r in held]
             rights = [r.bytes[r.place - r.first :] for r in held]
@@ -272,8 +276,11 @@ def _grow(out: str):
                 if out == "groups":
                     places = [(held[i].doc_id, held[i].h, held[i].place - left) for i in members]
                     rows.append((at, left + right, [p[0] for p in places], [p[1] for p in places], [p[2] for p in places]))
-                else:
-                    rows.extend((held[i].doc_id, held[i].h, held[i].place - left, held[i].place + right) for i in members[1:])
+                    continue
+                for i in members[1:]:  # all spans of an anchor overlap in it, so the widest sides say all
+                    before, after = widest.get(i, (0, 0))
+                    widest[i] = max(before, left), max(after, right)
+            rows.extend((held[i].doc_id, held[i].h, held[i].place - a, held[i].place + b) for i, (a, b) in widest.items())
 
         names = ("gram", "length", "doc_ids", "hs", "starts") if out == "groups" else ("doc_id", "h", "start", "stop")
         for batch in batches:
@@ -329,10 +336,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST)).alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
-def _fate(keyed: DataFrame) -> DataFrame:
+def _fate(keyed: DataFrame, limit: int, sent: int) -> DataFrame:
     n = _spread(keyed)
-    dealt = keyed.mapInPandas(_deal(16 * n), "bucket int, fate int, entries binary")
-    return staged(dealt.repartition(n, "bucket").sortWithinPartitions("bucket").mapInPandas(_settle, _FATE), "anchors")
+    dealt = keyed.mapInPandas(_deal(16 * n, sent), "bucket int, fate int, entries binary")
+    return staged(dealt.repartition(n, "bucket").sortWithinPartitions("bucket").mapInPandas(_settle(limit), _FATE), "anchors")
 
 
 def _spans_with_bytes(keyed: DataFrame, fates: DataFrame) -> DataFrame:
@@ -351,13 +358,13 @@ def repeat_groups(docs: DataFrame) -> DataFrame:
     """(gram, length, doc_ids, hs, starts): maximal repeats around anchors whose spans differ, with all occurrences
     of theirs; occurrences with equal spans are represented by the first."""
     keyed = _keyed(docs)
-    spans = _spans_with_bytes(keyed, _fate(keyed))
+    spans = _spans_with_bytes(keyed, _fate(keyed, LIMIT, SENT))
     return _by_gram(spans).mapInPandas(_grow("groups"), "gram long, length int, doc_ids array<long>, hs array<long>, starts array<int>")
 
 
-def removed_spans(keyed: DataFrame) -> DataFrame:
+def removed_spans(keyed: DataFrame, limit: int, sent: int) -> DataFrame:
     """(doc_id, h, start, stop) of the bytes to remove; spans may overlap."""
-    fates = _fate(keyed)
+    fates = _fate(keyed, limit, sent)
     settled = fates.where(F.col("fate") == _SETTLED).select("doc_id", "h", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
     spans = _spans_with_bytes(keyed, fates)
     grown = _by_gram(spans).mapInPandas(_grow("spans"), "doc_id long, h long, start int, stop int")
@@ -388,10 +395,10 @@ def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, limit: int = LIMIT, sent: int = SENT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each document."""
     keyed = _keyed(docs)
-    lists = removed_spans(keyed).groupBy("doc_id", "h").agg(F.collect_list("start").alias("start"), F.collect_list("stop").alias("stop"))
+    lists = removed_spans(keyed, limit, sent).groupBy("doc_id", "h").agg(F.collect_list("start").alias("start"), F.collect_list("stop").alias("stop"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     result = keyed.join(lists, ["doc_id", "h"], "left").mapInPandas(_remove, schema)
     doc_id = F.when(F.col("doc_id") != _LOWEST, F.col("doc_id")).cast(dict(docs.dtypes)["doc_id"])
