@@ -10,9 +10,10 @@ coordinate with the probability of the weighted Jaccard similarity.
 
 Exact copies share their representative, the one of smallest id. Representatives with
 equal bands fall into a bucket; each is compared with the bucket's first, exactly, by
-its cells. Components of the pairs that pass are the classes; then every bucket that
-still holds several classes compares one member of each with the first by another
-order, until a round joins nothing or ``rounds`` are over.
+its cells. Components of the pairs that pass are the classes. Buckets that still hold
+several classes then compare all members of different ones if they are at most
+``GROUP``, and larger ones in groups of that size dealt anew each round, until a
+round joins nothing or ``rounds`` are over.
 
 Edge cases: a null text, a text without words or a null id is alone; a text of fewer
 words than a shingle is one shingle; rows that share an id count as one document.
@@ -31,7 +32,7 @@ from millrace.llm.common import fresh, ship, staged
 from millrace.llm.graph import components
 from millrace.llm.text import blocks, hash_words, mix, shingles
 
-SIZE, BANDS, ROWS, SIMILARITY = 5, 20, 4, 0.8
+SIZE, BANDS, ROWS, SIMILARITY, GROUP = 5, 20, 4, 0.8, 16
 _LOW48 = np.uint64((1 << 48) - 1)
 _COPY, _DART = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -129,13 +130,15 @@ def similarity(a: bytes, b: bytes) -> float:
     return shared / max(len(p) + len(q) - shared, 1)
 
 
-def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: float = SIMILARITY, rounds: int = 3) -> DataFrame:
+def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: float = SIMILARITY, rounds: int = 4) -> DataFrame:
     """(doc_id, class_id, n_copies, n_links): the smallest id of the class, the exact copies of the row's
     text, and how many verified links the text's representative has; a row for each document."""
     ship(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
-    keyed = docs.select("doc_id", "text", F.when(F.col("doc_id").isNotNull(), F.md5("text")).alias("digest"))
-    signed = staged(keyed.mapInPandas(_sign(bands, rows), f"doc_id {kind}, digest string, bands array<long>"), "signatures")
+    # Ids pass through pandas as text, since a null among integers would turn them into doubles there.
+    keyed = docs.select(F.col("doc_id").cast("string"), "text", F.when(F.col("doc_id").isNotNull(), F.md5("text")).alias("digest"))
+    signed = staged(keyed.mapInPandas(_sign(bands, rows), "doc_id string, digest string, bands array<long>"), "signatures")
+    signed = signed.withColumn("doc_id", F.col("doc_id").cast(kind))
     reps = staged(
         signed.where("digest IS NOT NULL AND bands IS NOT NULL")
         .groupBy("digest")
@@ -148,24 +151,20 @@ def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: f
     involved = members.select(F.col("node").alias("rep")).distinct()
     texts = docs.select(F.col("doc_id").alias("rep"), "text").where("text IS NOT NULL").join(involved, "rep", "left_semi")
     cells = staged(texts.mapInPandas(_cells, f"node {kind}, cells binary").dropDuplicates(["node"]), "cells")
-    links, labels, tried = None, members.select("node", F.col("node").alias("label")).distinct(), None
+    labels = members.select("node", F.col("node").alias("label")).distinct()
+    links = tried = None
     for turn in range(rounds):
-        order = [F.col("node"), -F.xxhash64("node"), F.xxhash64("node")][turn % 3]
         held = members.join(labels, "node")
-        one = held.groupBy("bucket", "label").agg(F.min_by("node", F.struct(order, "node")).alias("node"))
-        first = held.groupBy("bucket").agg(F.min_by(F.struct("node", "label"), F.struct(order, "node")).alias("first"))
-        pairs = one.join(first, "bucket").where(F.col("label") != F.col("first.label"))
-        pairs = pairs.select(F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b")).distinct()
+        pairs = _with_first(held) if turn == 0 else _within_groups(held, turn)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         found = verified(pairs, cells, least)
-        passed = found.where("passes")
+        passed = found.where("passes").select("a", "b")
         if turn and passed.isEmpty():
             break
-        links = passed.select("a", "b") if links is None else links.union(passed.select("a", "b"))
+        links = passed if links is None else links.union(passed)
         tried = found.select("a", "b") if tried is None else tried.union(found.select("a", "b"))
-        joined = components(links)
-        alone = members.select("node").distinct().join(joined, "node", "left")
+        alone = members.select("node").distinct().join(components(links), "node", "left")
         labels = staged(alone.select("node", F.coalesce("label", "node").alias("label")), "classes")
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     of_rep = reps.select("digest", F.col("rep").alias("node"), "n_copies").join(labels, "node", "left").join(degree, "node", "left")
@@ -178,6 +177,24 @@ def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: f
     )
 
 
+def _with_first(held: DataFrame) -> DataFrame:
+    """Each member of a bucket with the smallest: as many pairs as members."""
+    first = held.groupBy("bucket").agg(F.min("node").alias("a"))
+    return held.join(first, "bucket").where(F.col("node") > F.col("a")).select("a", F.col("node").alias("b")).distinct()
+
+
+def _within_groups(held: DataFrame, turn: int) -> DataFrame:
+    """Members of different classes in groups of about GROUP: a small bucket is one group, a large one is
+    split by a hash that differs each turn. At most about GROUP / 2 pairs for each member."""
+    size = F.ceil(F.count(F.lit(1)) / GROUP).alias("parts")
+    mixed = held.groupBy("bucket").agg(size, F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    group = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("parts")).alias("part")
+    dealt = staged(held.join(mixed, "bucket").select("bucket", group, "node", "label"), "groups")
+    other = dealt.select("bucket", "part", F.col("node").alias("b"), F.col("label").alias("other"))
+    both = dealt.withColumnRenamed("node", "a").join(other, ["bucket", "part"])
+    return both.where("a < b AND label <> other").select("a", "b").distinct()
+
+
 def verified(pairs: DataFrame, cells: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) and whether their similarity is ``least`` or more."""
 
