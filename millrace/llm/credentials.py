@@ -107,9 +107,11 @@ def linked_parts(parts: DataFrame, scope: int) -> DataFrame:
 def _scanned(docs: DataFrame) -> DataFrame:
     """Each row's key, base and weak spans, without the text. The key is the row's content: equal rows, equal results."""
     span = "array<array<int>>"
-    columns = {"doc_id": dict(docs.dtypes)["doc_id"], "row": "long", "base": span, "weak": span, "n": "array<long>", "base_sha256": "string"}
-    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
-    return staged(rows.mapInPandas(_scan(list(columns)), ", ".join(f"{k} {v}" for k, v in columns.items())), "secrets")
+    # Ids pass through pandas as text, since a null among integers would turn them into doubles there.
+    columns = {"doc_id": "string", "row": "long", "base": span, "weak": span, "n": "array<long>", "base_sha256": "string"}
+    rows = docs.select(F.col("doc_id").cast("string"), "text", F.xxhash64("doc_id", "text").alias("row"))
+    found = staged(rows.mapInPandas(_scan(list(columns)), ", ".join(f"{k} {v}" for k, v in columns.items())), "secrets")
+    return found.withColumn("doc_id", F.col("doc_id").cast(dict(docs.dtypes)["doc_id"]))
 
 
 def _linked(found: DataFrame, scope: int) -> DataFrame:

@@ -286,12 +286,14 @@ def find_leaks(
     kind, id_kind = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     items = staged(benchmark.where("text IS NOT NULL").select("item_id", "text", answer.alias("answer")), "items")
+    # Ids pass through pandas as text, since a null among integers would turn them into doubles there.
+    texts = docs.select(F.col("doc_id").cast("string"), "text")
     found = None
     for rows in _chunks(items):
         chunk = Items(rows)
         if not len(chunk.vocabulary):
             continue
-        sequences = staged(docs.select("doc_id", "text").mapInPandas(_sequences(chunk.vocabulary), f"doc_id {kind}, words binary"), "words")
+        sequences = staged(texts.mapInPandas(_sequences(chunk.vocabulary), "doc_id string, words binary"), "words")
         counts = {r["slot"]: r["n"] for r in sequences.mapInPandas(_count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()}
         seen = np.array([counts.get(s, 0) for s in range(SLOTS)], np.float64)
         idf = inverse_frequencies(seen, counts.get(-1, 0), chunk)
@@ -308,9 +310,9 @@ def find_leaks(
         times = np.concatenate([t for _, t in own])
         sums += sketch(passage, slot, weights_of(times, slot, passage, idf, len(own)), len(own), random)
         space = directions(sums, random, RANK)
-        hits = sequences.mapInPandas(_retrieve(chunk, idf, space, cosine, share, least, weak), f"doc_id {kind}, {_HITS}")
+        hits = sequences.mapInPandas(_retrieve(chunk, idf, space, cosine, share, least, weak), f"doc_id string, {_HITS}")
         names = spark.createDataFrame(list(enumerate(chunk.ids)), f"item int, item_id {id_kind}")
-        hits = hits.join(F.broadcast(names), "item").select("doc_id", "item_id", "cosine", "lcs", "answer", "start")
+        hits = hits.join(F.broadcast(names), "item").select(F.col("doc_id").cast(kind), "item_id", "cosine", "lcs", "answer", "start")
         found = hits if found is None else found.union(hits)
     if found is None:
         return spark.createDataFrame([], f"doc_id {kind}, item_id {id_kind}, cosine double, lcs double, answer boolean, start int")

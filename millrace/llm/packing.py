@@ -148,8 +148,9 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 1024, closing: int = 0)
     """The pieces of all documents: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
-    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    schema = f"row long, doc_id {kind}, tokens long, bytes_per_id int, ids binary, at array<double>"
+    rows = docs.select(F.col("doc_id").cast("string"), "text", F.monotonically_increasing_id().alias("row"))
+    schema = "row long, doc_id string, tokens long, bytes_per_id int, ids binary, at array<double>"
+    # Ids pass through pandas as text, since a null among integers would turn them into doubles there.
     ids = staged(rows.mapInPandas(_tokenise(tokenizer, closing), schema), "ids")
     x = [F.col("at")[i] for i in range(DIMENSIONS)]
     spread = ids.agg(*(f(c).alias(f"{n}{i}") for i, c in enumerate(x) for n, f in (("m", F.avg), ("s", F.stddev_pop)))).first()
@@ -163,7 +164,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 1024, closing: int = 0)
     def key(*columns: pd.Series) -> pd.Series:
         return pd.Series(hilbert_key(np.column_stack([c.to_numpy(np.float64) for c in columns]).astype(np.int64)))
 
-    along = ids.select("row", "doc_id", "tokens", key(*cells).alias("key"))
+    along = ids.select("row", F.col("doc_id").cast(kind), "tokens", key(*cells).alias("key"))
     along = along.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "key", "doc_id", "row")
     along = along.sortWithinPartitions("key", "doc_id", "row").select("row", "tokens")
     placed = staged(along.mapInPandas(_place, "row long, part int, before long, tokens long"), "places")
@@ -172,5 +173,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 1024, closing: int = 0)
         first[r["part"]], total = total, total + r["n"]
     firsts = spark.createDataFrame(list(first.items()) or [(0, 0)], "part int, first long")
     places = placed.join(F.broadcast(firsts), "part").select("row", (F.col("before") + F.col("first")).alias("place"))
-    pieces = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return ids.select("row", "doc_id", "bytes_per_id", "ids").join(places, "row").drop("row").mapInPandas(_cut(length), pieces)
+    pieces = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    return ids.select("row", "doc_id", "bytes_per_id", "ids").join(places, "row").drop("row").mapInPandas(_cut(length), pieces).withColumn(
+        "doc_id", F.col("doc_id").cast(kind)
+    )

@@ -9,7 +9,8 @@ lists. Products are exact: in doubles where all sums stay below 2**53, else in i
 Edge cases: vectors that are null, empty or hold a null or non-finite component,
 or one beyond 2**31 after quantisation, take no part, nor does a null id; vectors
 meet only vectors of their own length; a query id that repeats asks once, with its
-smallest vector; repeated candidate rows each count. Equal scores: smaller id.
+smallest vector; repeated candidate rows each count. Equal scores: smaller id. A score
+is a long; sums beyond its range wrap.
 """
 
 from __future__ import annotations

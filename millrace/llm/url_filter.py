@@ -135,11 +135,11 @@ def best_threshold(scored: DataFrame) -> float:
     yes, no = sum(b["yes"] for b in bins), sum(b["no"] for b in bins)
     if not yes or not no:
         return 0.0
-    best, at, kept, passed = -1.0, 0.0, yes, no
+    best, at, kept, passed, below = -1.0, 0.0, yes, no, bins[0]["step"] - 1
     for b in bins:
         if (value := kept / yes + 1 - passed / no) > best:
-            best, at = value, b["step"] / _BINS
-        kept, passed = kept - b["yes"], passed - b["no"]
+            best, at = value, (below + 1 + b["step"]) / 2 / _BINS  # halfway between the scores to both sides
+        kept, passed, below = kept - b["yes"], passed - b["no"], b["step"]
     return at
 
 
