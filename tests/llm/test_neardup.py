@@ -1,0 +1,127 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+
+from millrace.llm import neardup as N
+from millrace.llm.common import table
+from millrace.llm.graph import components
+
+
+def weights(text):
+    words = re.findall(r"(?:[0-9a-z]|[^\x00-\x7f])+", (text or "").lower())
+    return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
+
+
+def jaccard(a, b):
+    both = sum((a & b).values())
+    return both / max(sum(a.values()) + sum(b.values()) - both, 1)
+
+
+def classes_by_brute_force(texts, least=0.8):
+    ids, held = list(texts), {i: weights(t) for i, t in texts.items()}
+    label = {i: i for i in ids}
+    for i in ids:
+        for j in ids:
+            if i < j and held[i] and (texts[i] == texts[j] or jaccard(held[i], held[j]) >= least) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    return label
+
+
+def test_signatures_agree_as_often_as_the_weights_overlap():
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(400)]
+    base = [rng.choice(words) for _ in range(300)] + ["again and again and again"] * 30
+    for share in (0.0, 0.02, 0.1, 0.3):
+        other = [rng.choice(words) if rng.random() < share else w for w in base]
+        texts = [" ".join(base), " ".join(other)]
+        cells, of = N.cells_of(texts)
+        s = N.signatures(cells, of, 2, 2048)
+        assert abs((s[0] == s[1]).mean() - jaccard(*map(weights, texts))) < 0.05
+
+
+def test_signatures_do_not_depend_on_the_batch_and_leave_no_gap():
+    texts = ["one", "", "a b c d e f", "x " * 3000, " ".join(map(str, range(2000)))]
+    cells, of = N.cells_of(texts)
+    together = N.signatures(cells, of, 5, 80)
+    for i, t in enumerate(texts):
+        c, o = N.cells_of([t])
+        assert (N.signatures(c, o, 1, 80)[0] == together[i]).all()
+    assert (together[[0, 2, 3, 4]] != 0).all() and (together[1] == 0).all()
+
+
+def test_components_against_brute_force(spark):
+    rng = random.Random(2)
+    edges = [(rng.randrange(120), rng.randrange(120)) for _ in range(70)] + [(i, i + 1) for i in range(200, 230)]
+    edges = [(a, b) for a, b in edges if a != b]
+    label = {i: i for e in edges for i in e}
+    for _ in range(len(label)):
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    found = components(spark.createDataFrame(edges, "a long, b long"))
+    assert {r.node: r.label for r in found.collect()} == label
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def changed(rng, text, n):
+    words = text.split()
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_classes_against_brute_force(spark):
+    rng = random.Random(3)
+    texts, words = {}, [f"w{i}" for i in range(3000)]
+    for g in range(25):
+        base = " ".join(rng.choices(words, k=rng.choice((8, 60, 200))))
+        chain = base
+        for _ in range(rng.randrange(1, 7)):
+            texts[len(texts)] = rng.choice((base, changed(rng, base, 2), chain))
+            chain = changed(rng, chain, 2)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.class_id for r in N.near_classes(docs).collect()}
+    assert found == classes_by_brute_force(texts)
+    kept = {r.doc_id for r in N.keep_one(docs).collect()}
+    assert kept == set(found.values())
+
+
+def test_a_large_group_and_passages_in_common(spark):
+    """Hundreds of near copies are one class; texts that only share a passage are not."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(3000)]
+    base, passage = (" ".join(rng.choices(words, k=150)) for _ in range(2))
+    rows = [(i, changed(rng, base, 1)) for i in range(400)]
+    rows += [(1000 + i, passage + " " + " ".join(rng.choices(words, k=100))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = {r.doc_id: r.class_id for r in N.near_classes(docs).collect()}
+    assert {found[i] for i in range(400)} == {0} and all(found[i] == i for i in found if i >= 1000)
+
+
+def test_documents_against_brute_force(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = N.near_classes(docs).collect()
+    assert {r.doc_id: r.class_id for r in found} == classes_by_brute_force(texts)
+    copies = Counter(texts.values())
+    assert all(r.n_copies == copies[texts[r.doc_id]] for r in found)
+
+
+def test_awkward_documents(spark, awkward, no_documents):
+    found = N.near_classes(awkward).collect()
+    assert len(found) == 11
+    assert {(r.doc_id, r.class_id) for r in found if r.doc_id in (1, 2)} == {(1, 1), (2, 1)}
+    assert all(r.class_id == r.doc_id and r.n_links == 0 for r in found if r.doc_id not in (1, 2))
+    kept = N.keep_one(awkward)
+    assert kept.columns == awkward.columns
+    assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(["1", "3", "4", "None", "None", "5", "6", "7", "9007199254740993"])
+    assert N.near_classes(no_documents).count() == N.keep_one(no_documents).count() == 0
+
+
+def test_similarity_counts_repeats():
+    a, b = "one two three four five six " * 3, "one two three four five six"
+    cells, of = N.cells_of([a, b])
+    held = [np.sort((cells[of == i] & np.uint64(0xFFFFFFFF)).astype(np.uint32)).tobytes() for i in (0, 1)]
+    assert N.similarity(*held) == jaccard(weights(a), weights(b)) == 2 / 14

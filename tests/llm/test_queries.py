@@ -1,0 +1,64 @@
+"""Every query of the package over the smallest tables, and the pipeline's decisions stage by stage."""
+
+import zlib
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from millrace.llm import credentials
+from millrace.llm.common import table
+from millrace.llm.queries import ORACLE_SQL, QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, name):
+    found = QUERIES[name](spark, SF)
+    rows = [tuple(r) for r in found.collect()]
+    assert rows
+    if name in ORACLE_SQL:
+        con = duckdb.connect()
+        for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+        want = con.execute(ORACLE_SQL[name])
+        at = [found.columns.index(c[0]) for c in want.description]
+        assert sorted(tuple(r[i] for i in at) for r in rows) == sorted(want.fetchall())
+
+
+@pytest.mark.parametrize(("name", "folds", "value"), [("op1_language", 3, 1), ("op4_toxicity", 5, 0), ("op9_quality", 5, 0)])
+def test_held_out_rows(spark, name, folds, value):
+    for r in QUERIES[name](spark, SF).collect():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % folds == value)
+
+
+def test_stages_are_five_and_in_order(spark):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontamination", "secrets", "packing"]
+
+
+def test_pipeline_stage_by_stage(spark):
+    docs = table(spark, SF, "documents")
+    benchmark = [r.text for r in table(spark, SF, "benchmark").collect()]
+    clean = {r.doc_id for r in table(spark, SF, "labels").where("toxic = 0").collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    frame, kept = docs, [set(texts)]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, SF)
+        assert frame.columns == docs.columns
+        frame = spark.createDataFrame(frame.collect(), docs.schema)
+        kept.append({r.doc_id for r in frame.collect()})
+    gone = [a - b for a, b in zip(kept, kept[1:])]
+    assert gone[0] and not gone[0] & clean
+    assert gone[1] and all(b <= a for a, b in zip(kept, kept[1:]))
+    assert gone[2] == {i for i in kept[2] if any(b in texts[i] for b in benchmark)}
+    assert not gone[3]
+    last = {r.doc_id: r.text for r in frame.collect()}
+    for i, text in last.items():
+        want = texts[i]
+        for start, _, stop in credentials.base_spans(want):
+            want = want[:start] + "*" * (stop - start) + want[stop:]
+        assert text == want
+    pieces = corpus_pipeline.STAGES[-1][1](spark, frame, SF).collect()
+    assert {r.doc_id for r in pieces} == kept[-1]
+    assert len(corpus_pipeline.run(spark, SF).collect()) == len(pieces)

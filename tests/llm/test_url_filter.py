@@ -1,0 +1,104 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+
+from millrace.llm import url_filter as U
+from millrace.llm.queries import URL_RULES
+
+URLS = [
+    ("http://a.example.net/en/1", "a.example.net", "/en/1", "example.net/en/"),
+    ("http://EXAMPLE.NET/de/1", "example.net", "/de/1", "net/"),
+    ("x://y://b.org/fr/?q", "y:", "//b.org/fr/", None),
+    ("https://b.org/fr/?q#t", "b.org", "/fr/", "org/fr/"),
+    ("https://b.org?/fr/", "b.org", "", None),
+    ("https://b.org#/fr/", "b.org", "", None),
+    ("//b.org/fr/", "", "", None),
+    ("http://notexample.com/de/", "notexample.com", "/de/", None),
+    ("http://m.example.com/de/\n?", "m.example.com", "/de/\n", "example.com/de/"),
+    ("http://planet/x", "planet", "/x", None),
+    ("http://net", "net", "", None),
+    ("http://ÄB.net/", "Äb.net", "/", "net/"),
+    ("", "", "", None),
+    (None, "", "", None),
+]
+
+
+def test_hosts_paths_and_rules(spark):
+    pages = spark.createDataFrame([(i, u[0], "h") for i, u in enumerate(URLS)], "page_id long, url string, host string")
+    found = {r.page_id: r for r in U.judge_urls(pages, URL_RULES).collect()}
+    for i, (_, host, path, rule) in enumerate(URLS):
+        assert (found[i].host, found[i].path, found[i].rule) == (host, path, rule)
+    verdicts = {None: None, "net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+    assert all(found[i].verdict == verdicts[u[3]] for i, u in enumerate(URLS) if u[3])
+    assert found[len(URLS) - 1].verdict == "block"
+
+
+def probabilities(urls, order):
+    """The model by its definition: Witten-Bell over contexts of 0 to ``order`` characters."""
+    grams = Counter()
+    for u in urls:
+        text = U._PAD * order + u + U._END
+        grams.update((text[i - m : i], text[i]) for i in range(order, len(text)) for m in range(order + 1))
+    totals, kinds = Counter(), Counter()
+    for (context, _), n in grams.items():
+        totals[context] += n
+        kinds[context] += 1
+
+    def p(context, c):
+        below = p(context[1:], c) if context else 1 / 256
+        if not totals[context]:
+            return below
+        return (grams[context, c] + kinds[context] * below) / (totals[context] + kinds[context])
+
+    return p
+
+
+def test_scores_follow_the_definition(spark):
+    rng = random.Random(4)
+    urls = ["".join(rng.choice("ab/.") for _ in range(rng.randrange(1, 15))) for _ in range(120)]
+    known = [(u, rng.random() < (0.8 if "ab" in u else 0.3)) for u in urls[:80]]
+    yes, no = (probabilities([u for u, ok in known if ok == side], 2) for side in (True, False))
+    frame = spark.createDataFrame([(u,) for u in urls], "url string")
+    found = {r.url: r.score for r in U.score_urls(frame, spark.createDataFrame(known, "url string, accepted boolean"), 2).collect()}
+    assert found.keys() == set(urls)
+    for u in found:
+        text = U._PAD * 2 + u + U._END
+        each = [math.log(yes(text[i - 2 : i], text[i]) / no(text[i - 2 : i], text[i])) for i in range(2, len(text))]
+        assert found[u] == pytest.approx(sum(each) / len(each), abs=1e-9)
+
+
+def test_the_threshold_separates_best(spark):
+    rng = random.Random(5)
+    rows = [(rng.gauss(0.5 if ok else -0.3, 0.4), ok) for ok in (rng.random() < 0.3 for _ in range(400))]
+    at = U.best_threshold(spark.createDataFrame(rows, "score double, accepted boolean"))
+
+    def worth(t):
+        return sum(s >= t for s, ok in rows if ok) / sum(ok for _, ok in rows) - sum(s >= t for s, ok in rows if not ok) / sum(not ok for _, ok in rows)
+
+    assert worth(at) == pytest.approx(max(worth(b / 100) for b in range(-300, 300)))
+    assert U.best_threshold(spark.createDataFrame([], "score double, accepted boolean")) == 0.0
+
+
+def test_ratios_tell_unruled_urls(spark):
+    """Pages like the allowed ones are allowed, and pages like the blocked ones are not."""
+    rng = random.Random(6)
+    rules = (U.Rule("allow", "good.org/"), U.Rule("block", "bad.org/"))
+    name = lambda kind: "".join(rng.choice("aeiou" if kind else "xqzkw") for _ in range(40))
+    rows = [(i, f"http://{'good' if i % 2 else 'bad'}.org/{name(i % 2)}") for i in range(200)]
+    rows += [(1000 + i, f"http://other.org/{name(i % 2)}") for i in range(40)] + [(5000, rows[0][1])] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(3)
+    found = U.judge_urls(pages, rules).collect()
+    assert len(found) == len(rows)
+    assert {(r.page_id % 2, r.verdict) for r in found if 1000 <= r.page_id < 5000} == {(1, "allow"), (0, "block")}
+
+
+def test_no_pages(spark):
+    assert U.judge_urls(spark.createDataFrame([], "page_id long, url string"), URL_RULES).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/"), (2, "http://b.org/fr/")], "page_id long, url string")
+    plan = U.judge_urls(pages, URL_RULES)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
