@@ -107,3 +107,11 @@ def test_gate(spark):
         m.enforce_reconciliation(bad, "t")
     assert isinstance(raised.value, RuntimeError)
     assert len(m.enforce_reconciliation(bad, "t", fail_on_error=False)) == 2
+
+
+def test_several_pairs_are_numbered_through(spark):
+    a, b = spark.createDataFrame([(1.0,), (2.0,)], "v double"), spark.createDataFrame([(1.0,)], "v double")
+    rows = m.reconciliation_reports([(a, a, [m.row_count(), m.aggregate("v")]), (a, b, [m.row_count()])]).collect()
+    assert sorted((r.check_no, r.passed) for r in rows) == [(1, True), (2, True), (3, False)]
+    with pytest.raises(ValueError):
+        m.reconciliation_reports([])

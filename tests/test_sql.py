@@ -86,6 +86,21 @@ def test_exact_step_counts(orders):
     assert dict(m.count_sql_steps(orders, steps).collect()) == {"known": 2, "none": 0}
 
 
+def test_step_counts_scan_the_source_once(spark, tmp_path):
+    spark.range(50).write.csv(str(tmp_path / "source"))
+    seen = spark.sparkContext.accumulator(0)
+    source = spark.read.schema("id bigint").csv(str(tmp_path / "source"))
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    steps = [("even", "SELECT * FROM src WHERE id % 2 = 0"), ("few", "SELECT * FROM even WHERE id < 10")]
+    counted = m.count_sql_steps(source.mapInPandas(count, "id bigint"), steps)
+    assert dict(counted.collect()) == {"even": 25, "few": 5} and seen.value == 50
+
+
 def test_forms_and_precedence(orders, tmp_path):
     file = tmp_path / "q.sql"
     file.write_text("SELECT 'file' AS via FROM src")
