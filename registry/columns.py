@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 import millrace as m
 from registry import query
-from registry.inputs import LOADED_AT, LOADED_AT_TEXT, RAW_ORDERS_SQL, raw_orders, second, table
+from registry.inputs import LOADED_AT, LOADED_AT_TEXT, RAW_ORDERS_SQL, day, raw_orders, second, table
 
 
 @query("""
-SELECT o_custkey AS o_orderkey, o_orderkey AS o_custkey, o_totalprice AS amount, o_orderstatus, o_orderpriority
+SELECT o_custkey AS o_orderkey, o_orderkey AS o_custkey, o_totalprice AS amount, o_orderstatus, o_orderpriority,
+       strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate
 FROM orders""")
 def rename_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two names swapped, one replaced, one absent."""
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
-    return m.rename_columns(
-        orders,
+    renamed = m.rename_columns(
+        table(spark, sf_dir, "orders"),
         {"o_orderkey": "o_custkey", "o_custkey": "o_orderkey", "o_totalprice": "amount", "absent": "x"},
     )
+    return renamed.withColumn("o_orderdate", day("o_orderdate"))
 
 
 @query("""
@@ -67,13 +68,13 @@ def filter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT o_orderkey, o_totalprice, '{LOADED_AT_TEXT}' AS _etl_loaded_at, '2024-01-02' AS _batch_id,
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+       o_orderpriority, '{LOADED_AT_TEXT}' AS _etl_loaded_at, '2024-01-02' AS _batch_id,
        'orders_csv' AS _source_system
 FROM orders""")
 def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    audited = m.add_audit_columns(orders, "2024-01-02", "orders_csv", LOADED_AT)
-    return audited.withColumn("_etl_loaded_at", second("_etl_loaded_at"))
+    audited = m.add_audit_columns(table(spark, sf_dir, "orders"), "2024-01-02", "orders_csv", LOADED_AT)
+    return audited.withColumns({"o_orderdate": day("o_orderdate"), "_etl_loaded_at": second("_etl_loaded_at")})
 
 
 @query("""

@@ -107,13 +107,16 @@ wanted AS (SELECT unnest(['o_orderkey', 'o_custkey', 'o_currency']) AS name),
 missing AS (SELECT name FROM wanted WHERE name NOT IN (SELECT column_name FROM own))
 SELECT 'schema_check' AS check_name, count(*) = 0 AS passed, CAST(count(*) AS DOUBLE) AS observed,
        CAST(0 AS DOUBLE) AS threshold, string_agg(name, ',' ORDER BY name) AS missing_columns
-FROM missing"""
+FROM missing
+UNION ALL
+SELECT 'value_range:o_totalprice', count(*) FILTER (o_totalprice < 2000) = 0,
+       CAST(count(*) FILTER (o_totalprice < 2000) AS DOUBLE), 0, NULL FROM orders"""
 
 
 @query(SCHEMA_SQL)
 def dq_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    check = m.has_columns(["o_orderkey", "o_custkey", "o_currency"])
-    return _verdicts(m.quality_report(table(spark, sf_dir, "orders"), [check]), "missing_columns")
+    checks = [m.has_columns(["o_orderkey", "o_custkey", "o_currency"]), m.value_range("o_totalprice", min_value=2000)]
+    return _verdicts(m.quality_report(table(spark, sf_dir, "orders"), checks), "missing_columns")
 
 
 @query(f"""

@@ -67,15 +67,14 @@ def scan_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, o_orderstatus FROM orders""")
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+       o_orderstatus FROM orders""")
 def scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A glob below the partition directories, with ``basePath`` keeping their column."""
     path = scratch_path(spark, "orders_by_status")
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus"
-    )
-    m.write_table(orders, path, partition_by=["o_orderstatus"])
-    return m.read_files(spark, f"{path}/o_orderstatus=*/*.parquet", "parquet", options={"basePath": path})
+    m.write_table(table(spark, sf_dir, "orders"), path, partition_by=["o_orderstatus"])
+    found = m.read_files(spark, f"{path}/o_orderstatus=*/*.parquet", "parquet", options={"basePath": path})
+    return found.withColumn("o_orderdate", day("o_orderdate"))
 
 
 @query("SELECT 'orders' AS source_id, count(*) AS n_rows, 6 AS n_columns FROM orders")
