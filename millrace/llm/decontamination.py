@@ -242,7 +242,10 @@ def _retrieve(items: Items, idf: np.ndarray, space: np.ndarray, cosine: float, s
             q, row = np.nonzero(query @ windows[at : at + 4096].T >= cosine)
             row += at
             # Words with repetition bound distinct ones from above, and are counted without sorting.
-            many = np.flatnonzero(has[q[:, None], view[starts[row]]].sum(axis=1) >= need[q])
+            many, cuts = np.zeros(len(q), np.bool_), np.searchsorted(q, np.arange(len(usable) + 1))
+            for i in np.flatnonzero(np.diff(cuts)):
+                own = slice(cuts[i], cuts[i + 1])
+                many[own] = has[i].take(view[starts[row[own]]]).sum(axis=1) >= need[i]
             row, q = row[many], q[many]
             inside = np.where(starts[row][:, None] + np.arange(WIDTH) < ends[row][:, None], view[starts[row]], OTHER)
             inside.sort(axis=1)
