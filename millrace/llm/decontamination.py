@@ -20,6 +20,7 @@ per row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -302,8 +303,10 @@ def find_leaks(
         idf = inverse_frequencies(seen, counts.get(-1, 0), chunk)
         of_use = words_of_use(idf)
         random = np.random.default_rng(17).normal(size=(SLOTS, RANK + EXTRA)).astype(np.float32)
-        parts = sequences.mapInPandas(_sketch(idf, random, 16), "cell int, sums binary")
-        halfway = parts.repartition(16, "cell").mapInPandas(_add(random.shape), "cell int, sums binary")
+        tasks = max(200, 3 * spark.sparkContext.defaultParallelism)  # each sends one matrix, however much it read
+        cells = math.isqrt(tasks)
+        parts = sequences.coalesce(tasks).mapInPandas(_sketch(idf, random, cells), "cell int, sums binary")
+        halfway = parts.repartition(cells, "cell").mapInPandas(_add(random.shape), "cell int, sums binary")
         sums = np.zeros(random.shape)
         for r in halfway.coalesce(1).mapInPandas(_add(random.shape), "cell int, sums binary").collect():
             sums += np.frombuffer(r["sums"], np.float32).reshape(random.shape)
