@@ -15,14 +15,14 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.literals import sql_literal
 from millrace.functions.names import Columns, is_path, name_key, qualified_name, quoted, quoted_table
 from millrace.functions.partitions import in_partitions, partition_tuples
-from millrace.operators.merge import ACTION, conform, matched_keys, merge_frames, repeated_key
+from millrace.operators.merge import ACTION, MERGE_ACTIONS, conform, matched_keys, merge_frames, repeated_key
 from millrace.operators.observe import count_rows
 from millrace.sources.tables import iso_day, read_target
 from millrace.storage import (
@@ -164,27 +164,33 @@ def publish_stage(
     partition_by: Sequence[str],
     cluster_by: Sequence[str] = (),
     format: str = "parquet",
+    schema: T.StructType | None = None,
 ) -> None:
     """Put staged rows in place of the target partitions they belong to; remove those that lost all rows.
 
     Safe to repeat with the same stage until the next load.
     """
-    staged = lay_out(spark.read.parquet(f"{stage}/rows").drop(ACTION), partition_by, cluster_by)
+    rows = spark.read.schema(schema) if schema else spark.read
+    staged = lay_out(rows.parquet(f"{stage}/rows").drop(ACTION), partition_by, cluster_by)
     if is_path(target):
         writer = staged.write.format(format).mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*partition_by).save(target)
     else:
         with _dynamic_inserts(spark):
             _insert(staged, target, overwrite=True)
+    if not path_exists(spark, f"{stage}/emptied"):
+        return
     emptied = spark.read.parquet(f"{stage}/emptied")
+    if emptied.isEmpty():
+        return
     if is_path(target):
         files = _read_path(spark, target, format).selectExpr(*map(quoted, partition_by), "_metadata.file_path AS _file")
         lost = in_partitions(files, emptied).selectExpr("regexp_replace(_file, '/[^/]*$', '') AS _directory").distinct()
         directories = (_plain_path(spark, r[0]) for r in lost.toLocalIterator())
         remove_paths(spark, directories)
         return
-    rows = emptied.select(*[F.col(quoted(c)).cast("string") for c in partition_by]).toLocalIterator()
-    while some := list(islice(rows, _AT_ONCE)):
+    specs_of = emptied.select(*[F.col(quoted(c)).cast("string") for c in partition_by]).toLocalIterator()
+    while some := list(islice(specs_of, _AT_ONCE)):
         specs = [", ".join(f"{quoted(c)} = {_partition_value(v)}" for c, v in zip(partition_by, r)) for r in some]
         parts = ", ".join(f"PARTITION ({spec})" for spec in specs)
         spark.sql(f"ALTER TABLE {quoted_table(target)} DROP IF EXISTS {parts}")
@@ -328,28 +334,45 @@ def _merge(
     hits.write.parquet(place)
     hits = spark.read.schema(hits.schema).parquet(place)
     found = hits.select(*map(quoted, keys)).distinct()
-    updates = hits.count() if set(df.columns) - set(keys) else 0
-    inserts = df.count() - found.count()
-
     if partition_by:
-        stage, old = _publish_touched(df, current, target, keys, hits, found, partition_by, cluster_by, format, inserts)
+        return _merge_partitions(df, current, target, keys, hits, found, partition_by, cluster_by, format)
+
+    merged, seen = _count_actions(merge_frames(current, df, keys, found), f"merge {target}")
+    merged = lay_out(merged.drop(ACTION), (), cluster_by)
+    if is_path(target):
+        stage, new = None, beside(target, "new")
+        merged.write.format(format).save(new)
+        written = spark.read.format(format)
     else:
-        old = current.count()
-        merged = lay_out(merge_frames(current, df, keys, found).drop(ACTION), (), cluster_by)
-        if is_path(target):
-            stage, new = None, beside(target, "new")
-            merged.write.format(format).save(new)
-            _require_total(spark.read.format(format).schema(merged.schema).load(new), old + inserts, target)
-            replace_directory(spark, new, target)
-        else:
-            stage = _write_version(merged, target, ())
-            written = spark.read.format(_provider(spark, target)).options(**_storage_options(spark, target))
-            _require_total(written.schema(merged.schema).load(stage), old + inserts, target)
-            _point(spark, target, stage, keep_versions)
-    return LoadResult(target, "merge", inserts + updates, inserts, updates, old - updates, stage)
-
-
-def _publish_touched(
+        stage = new = _write_version(merged, target, ())
+        written = spark.read.format(_provider(spark, target)).options(**_storage_options(spark, target))
+    counts = _checked(target, current.count(), seen.get, written.schema(merged.schema).load(new).count(), hits, df, found)
+    if is_path(target):
+        replace_directory(spark, new, target)
+    else:
+        _point(spark, target, stage, keep_versions)
+    return _merge_result(target, counts, stage)
+
+
+def _count_actions(merged: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    seen = Observation(name)
+    return merged.observe(seen, *[F.expr(f"count_if({ACTION} = '{a}') AS {a}") for a in MERGE_ACTIONS]), seen
+
+
+def _checked(
+    target: str, old: int, seen: dict, written: int, hits: DataFrame, df: DataFrame, found: DataFrame
+) -> dict[str, int]:
+    """What a merge did, as observed under its write; counted anew should a repeated task have been observed twice."""
+    counts = {action: seen.get(action, 0) for action in MERGE_ACTIONS}
+    if sum(counts.values()) != written:
+        matched = hits.count()
+        counts = {"update": matched, "keep": old - matched, "insert": df.count() - found.count()}
+    if counts["keep"] + counts["update"] != old or sum(counts.values()) != written:
+        raise RuntimeError(f"merge made {written} rows of {old} and {counts['insert']} new ones; {target} was not changed")
+    return counts
+
+
+def _merge_partitions(
     df: DataFrame,
     current: DataFrame,
     target: str,
@@ -359,13 +382,11 @@ def _publish_touched(
     partition_by: Sequence[str],
     cluster_by: Sequence[str],
     format: str,
-    inserts: int,
-) -> tuple[str, int]:
+) -> LoadResult:
     """Stage the merged rows of the partitions that rows arrive in or are hit in, then replace just those.
 
     Files cannot be overwritten while they are read, hence the staged copy. It is
-    also what an interrupted publication is repeated from. Returns the stage and
-    how many rows the partitions held.
+    also what an interrupted publication is repeated from.
     """
     spark = df.sparkSession
     kinds = {f.name: f.dataType.simpleString() for f in current.schema}
@@ -375,19 +396,29 @@ def _publish_touched(
     before = hits.select(*map(quoted, partition_by))
     touched = _kept(partition_tuples(before, arriving), f"{_label(target)}_etl_touched")
     old = in_partitions(current, touched)
-    held = old.count()
 
     stage = scratch_path(spark, f"{_label(target)}_etl_stage")
-    merged = merge_frames(old, df, keys, found)
+    counted, seen = count_rows(old, f"merge {target}")
+    merged = merge_frames(counted, df, keys, found)
     merged.write.parquet(f"{stage}/rows")
     staged = spark.read.schema(merged.schema).parquet(f"{stage}/rows")
-    _require_total(staged, held + inserts, target)
-    # A partition all of whose rows moved elsewhere gets no row to be replaced with.
-    emptied = before.distinct().subtract(staged.select(*map(quoted, partition_by)).distinct())
-    partition_tuples(emptied).write.parquet(f"{stage}/emptied")
+    counts = dict.fromkeys(MERGE_ACTIONS, 0) | dict(staged.groupBy(ACTION).count().collect())
+    # A repeated task is observed twice, so only a count of its own condemns a merge.
+    remained = counts["keep"] + counts["update"]
+    if remained != seen.get.get("rows", 0) and remained != (held := old.count()):
+        raise RuntimeError(f"merge kept {remained} of {held} rows; {target} was not changed")
+    if not set(partition_by) <= set(keys):
+        # A partition all of whose rows moved elsewhere gets no row to be replaced with.
+        emptied = before.distinct().subtract(staged.select(*map(quoted, partition_by)).distinct())
+        partition_tuples(emptied).write.parquet(f"{stage}/emptied")
     log.info("merge into %s staged at %s", target, stage)
-    publish_stage(spark, stage, target, partition_by, cluster_by, format)
-    return stage, held
+    publish_stage(spark, stage, target, partition_by, cluster_by, format, merged.schema)
+    return _merge_result(target, counts, stage)
+
+
+def _merge_result(target: str, counts: dict[str, int], stage: str | None) -> LoadResult:
+    inserted, updated, kept = (counts[a] for a in ("insert", "update", "keep"))
+    return LoadResult(target, "merge", inserted + updated, inserted, updated, kept, stage)
 
 
 def _pinned(df: DataFrame, target: str, at_rest: bool) -> DataFrame:
@@ -408,12 +439,6 @@ def _refuse_repeated_keys(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"merge source repeats the key {repeated}")
 
 
-def _require_total(written: DataFrame, expected: int, target: str) -> None:
-    found = written.count()
-    if found != expected:
-        raise RuntimeError(f"merge made {found} rows of {expected} for {target}; nothing was changed")
-
-
 def _native_merge(df: DataFrame, target: str, keys: Sequence[str]) -> None:
     """Hand the merge to a table format with row-level operations of its own."""
     source = df.alias("source")
