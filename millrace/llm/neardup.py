@@ -10,10 +10,9 @@ coordinate with the probability of the weighted Jaccard similarity.
 
 Exact copies share their representative, the one of smallest id. Representatives with
 equal bands fall into a bucket; each is compared with the bucket's first, exactly, by
-its cells. Components of the pairs that pass are the classes. Buckets that still hold
-several classes then compare all members of different ones if they are at most
-``GROUP``, and larger ones in groups of that size dealt anew each round, until a
-round joins nothing or ``rounds`` are over.
+its cells. Components of the pairs that pass are the classes. Members of different
+classes that are still in one bucket are then compared in groups of bounded size (see
+``_within_groups``), until a round joins nothing or ``rounds`` are over.
 
 Edge cases: a null text, a text without words or a null id is alone; a text of fewer
 words than a shingle is one shingle; rows that share an id count as one document.
@@ -32,7 +31,7 @@ from millrace.llm.common import fresh, ship, staged
 from millrace.llm.graph import components
 from millrace.llm.text import blocks, hash_words, mix, shingles
 
-SIZE, BANDS, ROWS, SIMILARITY, GROUP = 5, 20, 4, 0.8, 16
+SIZE, BANDS, ROWS, SIMILARITY, GROUP = 5, 20, 4, 0.8, 6
 _LOW48 = np.uint64((1 << 48) - 1)
 _COPY, _DART = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -130,7 +129,7 @@ def similarity(a: bytes, b: bytes) -> float:
     return shared / max(len(p) + len(q) - shared, 1)
 
 
-def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: float = SIMILARITY, rounds: int = 4) -> DataFrame:
+def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: float = SIMILARITY, rounds: int = 3) -> DataFrame:
     """(doc_id, class_id, n_copies, n_links): the smallest id of the class, the exact copies of the row's
     text, and how many verified links the text's representative has; a row for each document."""
     ship(docs.sparkSession)
@@ -155,7 +154,7 @@ def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: f
     links = tried = None
     for turn in range(rounds):
         held = members.join(labels, "node")
-        pairs = _with_first(held) if turn == 0 else _within_groups(held, turn)
+        pairs = _with_first(held) if turn == 0 else _within_groups(held, reps.select(F.col("rep").alias("node"), "bands"), turn)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         found = verified(pairs, cells, least)
@@ -183,16 +182,25 @@ def _with_first(held: DataFrame) -> DataFrame:
     return held.join(first, "bucket").where(F.col("node") > F.col("a")).select("a", F.col("node").alias("b")).distinct()
 
 
-def _within_groups(held: DataFrame, turn: int) -> DataFrame:
-    """Members of different classes in groups of about GROUP: a small bucket is one group, a large one is
-    split by a hash that differs each turn. At most about GROUP / 2 pairs for each member."""
-    size = F.ceil(F.count(F.lit(1)) / GROUP).alias("parts")
+def _within_groups(held: DataFrame, bands: DataFrame, turn: int) -> DataFrame:
+    """Pairs of members of different classes within groups of about GROUP members, more each turn,
+    as classes grow together and fewer are left.
+
+    A bucket of at most as many members is one group and gives all its pairs. A larger one is
+    split by a hash that differs each turn; similar texts meet in several buckets and so have
+    several chances. Of its pairs those count that share three bands, as similar texts
+    nearly always do and texts that only share a passage seldom.
+    """
+    size = F.ceil(F.count(F.lit(1)) / (GROUP * turn)).alias("parts")
     mixed = held.groupBy("bucket").agg(size, F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    group = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("parts")).alias("part")
-    dealt = staged(held.join(mixed, "bucket").select("bucket", group, "node", "label"), "groups")
-    other = dealt.select("bucket", "part", F.col("node").alias("b"), F.col("label").alias("other"))
-    both = dealt.withColumnRenamed("node", "a").join(other, ["bucket", "part"])
-    return both.where("a < b AND label <> other").select("a", "b").distinct()
+    part = F.pmod(F.xxhash64("node", "bucket", F.lit(turn)), F.col("parts")).alias("part")
+    inside = held.join(mixed, "bucket").select("bucket", part, "node", "label", F.when(F.col("parts") > 1, 3).otherwise(1).alias("least"))
+    dealt = staged(inside.join(bands, "node"), "groups")
+    left = dealt.select("bucket", "part", F.col("node").alias("a"), F.col("label").alias("one"), F.col("bands").alias("mine"), "least")
+    right = dealt.select("bucket", "part", F.col("node").alias("b"), F.col("label").alias("other"), F.col("bands").alias("theirs"))
+    same = (left["bucket"] == right["bucket"]) & (left["part"] == right["part"]) & (F.col("a") < F.col("b"))
+    apart = (F.col("one") != F.col("other")) & (F.size(F.array_intersect("mine", "theirs")) >= F.col("least"))
+    return left.join(right, same & apart).select("a", "b").distinct()
 
 
 def verified(pairs: DataFrame, cells: DataFrame, least: float) -> DataFrame:
