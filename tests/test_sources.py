@@ -147,7 +147,7 @@ class _Session:
         return self.settings.get(key, default)
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_root(_Session(spark_master="spark://host:7077"))
-    assert scratch_root(_Session(spark_master="local[2]"))
+def test_scratch_is_shared():
+    named = _Session(spark_checkpoint_dir="hdfs://a/b/", spark_sql_warehouse_dir="file:/w")
+    assert scratch_root(named) == "hdfs://a/b"
+    assert scratch_root(_Session(spark_sql_warehouse_dir="file:/w/")) == "file:/w/_millrace_scratch"
