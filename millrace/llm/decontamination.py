@@ -298,7 +298,8 @@ def find_leaks(
         if not len(chunk.vocabulary):
             continue
         sequences = staged(texts.mapInPandas(_sequences(chunk.vocabulary), "doc_id string, words binary"), "words")
-        counts = {r["slot"]: r["n"] for r in sequences.mapInPandas(_count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()}
+        counted = sequences.mapInPandas(_count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+        counts = {r["slot"]: r["n"] for r in counted.collect()}
         seen = np.array([counts.get(s, 0) for s in range(SLOTS)], np.float64)
         idf = inverse_frequencies(seen, counts.get(-1, 0), chunk)
         of_use = words_of_use(idf)

@@ -167,7 +167,7 @@ def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: f
         labels = staged(alone.select("node", F.coalesce("label", "node").alias("label")), "classes")
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     of_rep = reps.select("digest", F.col("rep").alias("node"), "n_copies").join(labels, "node", "left").join(degree, "node", "left")
-    of_text = of_rep.select("digest", F.coalesce("label", "node").alias("class_id"), "n_copies", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    of_text = of_rep.select("digest", F.coalesce("label", "node").alias("class_id"), "n_copies", "n_links")
     return signed.select("doc_id", "digest").join(of_text, "digest", "left").select(
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),

@@ -317,7 +317,9 @@ def _hash_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A row for each window of the spans; of equal ones in a batch the first, with the others as settled spans."""
     for batch in batches:
         rows = [
-            (r.doc_id, r.h, r.first + i, r.bytes[i : i + LENGTH]) for r in batch.itertuples(index=False) for i in range(len(r.bytes) - LENGTH + 1)
+            (r.doc_id, r.h, r.first + i, r.bytes[i : i + LENGTH])
+            for r in batch.itertuples(index=False)
+            for i in range(len(r.bytes) - LENGTH + 1)
         ]
         rows.sort(key=lambda x: (x[3], x[:3]))
         keys = [hashlib.blake2b(x[3], digest_size=16).digest() for x in rows]
@@ -333,7 +335,8 @@ def _spread(df: DataFrame) -> int:
 def _keyed(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST)).alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST))
+    return docs.select(doc_id.alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
 def _fate(keyed: DataFrame, limit: int, sent: int) -> DataFrame:
@@ -365,7 +368,8 @@ def repeat_groups(docs: DataFrame) -> DataFrame:
 def removed_spans(keyed: DataFrame, limit: int, sent: int) -> DataFrame:
     """(doc_id, h, start, stop) of the bytes to remove; spans may overlap."""
     fates = _fate(keyed, limit, sent)
-    settled = fates.where(F.col("fate") == _SETTLED).select("doc_id", "h", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
+    span = (F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
+    settled = fates.where(F.col("fate") == _SETTLED).select("doc_id", "h", *span)
     spans = _spans_with_bytes(keyed, fates)
     grown = _by_gram(spans).mapInPandas(_grow("spans"), "doc_id long, h long, start int, stop int")
     hashed = spans.where(F.col("fate") == _WINDOWS).mapInPandas(_hash_windows, "doc_id long, h long, start int, key binary")
@@ -398,7 +402,8 @@ def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def remove_repeats(docs: DataFrame, limit: int = LIMIT, sent: int = SENT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each document."""
     keyed = _keyed(docs)
-    lists = removed_spans(keyed, limit, sent).groupBy("doc_id", "h").agg(F.collect_list("start").alias("start"), F.collect_list("stop").alias("stop"))
+    both = (F.collect_list(c).alias(c) for c in ("start", "stop"))
+    lists = removed_spans(keyed, limit, sent).groupBy("doc_id", "h").agg(*both)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     result = keyed.join(lists, ["doc_id", "h"], "left").mapInPandas(_remove, schema)
     doc_id = F.when(F.col("doc_id") != _LOWEST, F.col("doc_id")).cast(dict(docs.dtypes)["doc_id"])
