@@ -199,7 +199,7 @@ def publish_stage(
 def remove_old_versions(spark: SparkSession, table: str, keep: int = 1) -> list[str]:
     """Remove former versions of a table's files but the ``keep`` newest; returns their directories."""
     table = qualified_name(spark, table)
-    current = _detail(spark, table, "Location").rstrip("/")
+    current = _location(spark, table)
     base = current.split(_VERSION)[0]
     parent, _, name = base.rpartition("/")
     mine = [
@@ -271,7 +271,7 @@ def _point(spark: SparkSession, table: str, location: str, keep_versions: int) -
 
 def _write_version(df: DataFrame, table: str, partition_by: Sequence[str]) -> str:
     spark = df.sparkSession
-    base = _detail(spark, table, "Location").split(_VERSION)[0].rstrip("/")
+    base = _location(spark, table).split(_VERSION)[0].rstrip("/")
     location = f"{base}{_VERSION}{uuid.uuid4().hex}"
     writer = df.write.format(_provider(spark, table)).options(**_storage_options(spark, table))
     (writer.partitionBy(*partition_by) if partition_by else writer).save(location)
@@ -515,7 +515,19 @@ def _detail(spark: SparkSession, table: str, field: str) -> str:
 
 
 def _provider(spark: SparkSession, table: str) -> str:
-    return _detail(spark, table, "Provider").lower()
+    if not _in_session_catalog(table):
+        return _detail(spark, table, "Provider").lower()
+    found = _metadata(spark, table).provider()
+    return found.get().lower() if found.isDefined() else ""
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    return _metadata(spark, table).location().toString().rstrip("/")
+
+
+def _in_session_catalog(table: str) -> bool:
+    """Whether the session's own catalog has the table, which then tells of it without a job."""
+    return table.count(".") < 2 or table.split(".")[0].strip("`") == "spark_catalog"
 
 
 def _is_plain_files(spark: SparkSession, table: str) -> bool:
