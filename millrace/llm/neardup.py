@@ -10,9 +10,10 @@ coordinate with the probability of the weighted Jaccard similarity.
 
 Exact copies share their representative, the one of smallest id. Representatives with
 equal bands fall into a bucket; each is compared with the bucket's first, exactly, by
-its cells. Components of the pairs that pass are the classes. Members of different
-classes that are still in one bucket are then compared in groups of bounded size (see
-``_within_groups``), until a round joins nothing or ``rounds`` are over.
+its cells. Components of the pairs that pass are the classes. Where members of a bucket
+are still in different classes, a small bucket gives all its pairs; the members of the
+larger ones meet by their rarest cells (see ``_by_rare_cells``), which finds every pair
+of them that is similar enough. Components of all that pass are the classes in the end.
 
 Edge cases: a null text, a text without words or a null id is alone; a text of fewer
 words than a shingle is one shingle; rows that share an id count as one document.
@@ -32,6 +33,11 @@ from millrace.llm.graph import components
 from millrace.llm.text import blocks, hash_words, mix, shingles
 
 SIZE, BANDS, ROWS, SIMILARITY, GROUP = 5, 20, 4, 0.8, 6
+#: Counters of the sketch that orders cells by how many texts have them; texts of a cell that are one block.
+_SLOTS, _BLOCK = 1 << 20, 1_024
+_EPSILON = 1e-9
+#: Links that a task reduces to a forest, about.
+_EDGES = 1 << 16
 _LOW48 = np.uint64((1 << 48) - 1)
 _COPY, _DART = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -117,7 +123,7 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             cells, of = cells_of(texts[part])
             low = (cells & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             cuts = np.searchsorted(of, np.arange(part.stop - part.start + 1))
-            held = [low[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            held = [np.unique(low[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pd.DataFrame({"node": batch["rep"].iloc[part].array, "cells": held})
 
 
@@ -129,7 +135,7 @@ def similarity(a: bytes, b: bytes) -> float:
     return shared / max(len(p) + len(q) - shared, 1)
 
 
-def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: float = SIMILARITY, rounds: int = 3) -> DataFrame:
+def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, n_copies, n_links): the smallest id of the class, the exact copies of the row's
     text, and how many verified links the text's representative has; a row for each document."""
     ship(docs.sparkSession)
@@ -150,21 +156,18 @@ def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: f
     involved = members.select(F.col("node").alias("rep")).distinct()
     texts = docs.select(F.col("doc_id").alias("rep"), "text").where("text IS NOT NULL").join(involved, "rep", "left_semi")
     cells = staged(texts.mapInPandas(_cells, f"node {kind}, cells binary").dropDuplicates(["node"]), "cells")
-    labels = members.select("node", F.col("node").alias("label")).distinct()
-    links = tried = None
-    for turn in range(rounds):
-        held = members.join(labels, "node")
-        pairs = _with_first(held) if turn == 0 else _within_groups(held, reps.select(F.col("rep").alias("node"), "bands"), turn)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        found = verified(pairs, cells, least)
-        passed = found.where("passes").select("a", "b")
-        if turn and passed.isEmpty():
-            break
-        links = passed if links is None else links.union(passed)
-        tried = found.select("a", "b") if tried is None else tried.union(found.select("a", "b"))
-        alone = members.select("node").distinct().join(components(links), "node", "left")
-        labels = staged(alone.select("node", F.coalesce("label", "node").alias("label")), "classes")
+    nodes = involved.withColumnRenamed("rep", "node")
+    tried = verified(_with_first(members), cells, least)
+    links = tried.where("passes").select("a", "b")
+    labels = _labels(nodes, links)
+    few, large = _mixed(members, labels)
+    rare = _rarest_cells(cells.join(large, "node", "left_semi"), least)
+    for step in (lambda: few.union(_with_hub(labels, rare, least)), lambda: _by_rare_cells(labels, rare, least)):
+        found = verified(step().distinct().join(tried, ["a", "b"], "left_anti"), cells, least)
+        tried, more = tried.union(found), found.where("passes").select("a", "b")
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = _labels(nodes, links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     of_rep = reps.select("digest", F.col("rep").alias("node"), "n_copies").join(labels, "node", "left").join(degree, "node", "left")
     of_text = of_rep.select("digest", F.coalesce("label", "node").alias("class_id"), "n_copies", "n_links")
@@ -176,31 +179,128 @@ def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: f
     )
 
 
-def _with_first(held: DataFrame) -> DataFrame:
-    """Each member of a bucket with the smallest: as many pairs as members."""
-    first = held.groupBy("bucket").agg(F.min("node").alias("a"))
-    return held.join(first, "bucket").where(F.col("node") > F.col("a")).select("a", F.col("node").alias("b")).distinct()
+def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    forest = links.coalesce(links.count() // _EDGES + 1).mapInPandas(_forest, links.schema)
+    alone = nodes.join(components(forest), "node", "left")
+    return staged(alone.select("node", F.coalesce("label", "node").alias("label")), "classes")
+
 
+def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The links of a task without those whose ends earlier ones connect: the components stay the same."""
+    above: dict = {}
 
-def _within_groups(held: DataFrame, bands: DataFrame, turn: int) -> DataFrame:
-    """Pairs of members of different classes within groups of about GROUP members, more each turn,
-    as classes grow together and fewer are left.
+    def root(x):
+        while (up := above.setdefault(x, x)) != x:
+            above[x] = x = above[up]
+        return x
+
+    for batch in batches:
+        joins = []
+        for a, b in zip(batch["a"], batch["b"], strict=True):
+            a, b = root(a), root(b)
+            above[a] = b
+            joins.append(a != b)
+        yield batch[joins]
 
-    A bucket of at most as many members is one group and gives all its pairs. A larger one is
-    split by a hash that differs each turn; similar texts meet in several buckets and so have
-    several chances. Of its pairs those count that share three bands, as similar texts
-    nearly always do and texts that only share a passage seldom.
+
+def _with_first(members: DataFrame) -> DataFrame:
+    """Each member of a bucket with the smallest: as many pairs as members."""
+    first = members.groupBy("bucket").agg(F.min("node").alias("a"))
+    return members.join(first, "bucket").where(F.col("node") > F.col("a")).select("a", F.col("node").alias("b")).distinct()
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the buckets with members of different classes: the pairs (a, b) apart of those with at most GROUP members,
+    and the members (node) of the others."""
+    held = members.join(labels, "node")
+    ends = (F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = held.groupBy("bucket").agg((F.count(F.lit(1)) > GROUP).alias("large"), *ends).where("low < high")
+    inside = staged(held.join(mixed.select("bucket", "large"), "bucket"), "mixed")
+    few = inside.where("NOT large")
+    left = few.select("bucket", F.col("node").alias("a"), F.col("label").alias("one"))
+    right = few.select("bucket", F.col("node").alias("b"), F.col("label").alias("other"))
+    pairs = left.join(right, "bucket").where("a < b AND one <> other").select("a", "b")
+    return pairs, inside.where("large").select("node").distinct()
+
+
+def _rarest_cells(texts: DataFrame, least: float) -> DataFrame:
+    """(node, cell, place, n, short): of each of the texts (node, cells) the rarest cells, in the order of all cells."""
+    texts = staged(texts, "apart")
+    counts = np.zeros(_SLOTS, np.int64)
+    seen = texts.select("cells").mapInPandas(_count_cells, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts[seen["slot"].to_numpy()] = seen["n"].to_numpy()
+    rare = _rarest(texts.sparkSession.sparkContext.broadcast(counts), least)
+    kind = dict(texts.dtypes)["node"]
+    return staged(texts.mapInPandas(rare, f"node {kind}, cell long, place int, n int, short boolean"), "rarest")
+
+
+def _shared(labels: DataFrame, rare: DataFrame) -> DataFrame:
+    """The rare cells that texts of different labels have, with the first text of each and its number of blocks."""
+    rows = rare.join(labels, "node")
+    parts = F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("parts")
+    hub = F.min(F.struct("node", "label", "n")).alias("hub")
+    mixed = rows.groupBy("cell").agg(parts, hub, F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return rows.join(mixed.select("cell", "parts", "hub"), "cell")
+
+
+def _with_hub(labels: DataFrame, rare: DataFrame, least: float) -> DataFrame:
+    """Each text of a rare cell with the cell's first, if lengths allow: what these join, later steps need not compare."""
+    sizes = F.least("n", "hub.n") >= least * F.greatest("n", "hub.n") - _EPSILON
+    apart = _shared(labels, rare).where((F.col("label") != F.col("hub.label")) & sizes)
+    return apart.select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+
+
+def _by_rare_cells(labels: DataFrame, rare: DataFrame, least: float) -> DataFrame:
+    """Pairs of texts of different labels, among them all of similarity ``least`` or more.
+
+    All cells are in one order, the rarest first. A pair that passes has ``least`` of the longer text's
+    cells in common and 2 * least / (1 + least) of the shorter's, so its first common cell is among the first
+    cells of both, but for as many as each can lack, and after it both still have enough. A cell of many texts
+    is dealt by blocks of the longer ones.
     """
-    size = F.ceil(F.count(F.lit(1)) / (GROUP * turn)).alias("parts")
-    mixed = held.groupBy("bucket").agg(size, F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    part = F.pmod(F.xxhash64("node", "bucket", F.lit(turn)), F.col("parts")).alias("part")
-    inside = held.join(mixed, "bucket").select("bucket", part, "node", "label", F.when(F.col("parts") > 1, 3).otherwise(1).alias("least"))
-    dealt = staged(inside.join(bands, "node"), "groups")
-    left = dealt.select("bucket", "part", F.col("node").alias("a"), F.col("label").alias("one"), F.col("bands").alias("mine"), "least")
-    right = dealt.select("bucket", "part", F.col("node").alias("b"), F.col("label").alias("other"), F.col("bands").alias("theirs"))
-    same = (left["bucket"] == right["bucket"]) & (left["part"] == right["part"]) & (F.col("a") < F.col("b"))
-    apart = (F.col("one") != F.col("other")) & (F.size(F.array_intersect("mine", "theirs")) >= F.col("least"))
-    return left.join(right, same & apart).select("a", "b").distinct()
+    inside = _shared(labels, rare)
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
+    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    long = inside.select("cell", part, *(F.col(c).alias(f"long_{c}") for c in ("node", "label", "place", "n")))
+    short = inside.where("short").select("cell", each, "node", "label", "place", "n")
+    ordered = F.struct("n", "node") < F.struct("long_n", "long_node")
+    sizes = F.col("n") >= least * F.col("long_n") - _EPSILON
+    rest = F.least(F.col("n") - F.col("place"), F.col("long_n") - F.col("long_place"))
+    enough = rest >= least / (1 + least) * (F.col("n") + F.col("long_n")) - _EPSILON
+    pairs = long.join(short, ["cell", "part"]).where((F.col("label") != F.col("long_label")) & ordered & sizes & enough)
+    return pairs.select(F.least("node", "long_node").alias("a"), F.greatest("node", "long_node").alias("b")).distinct()
+
+
+def _count_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """In how many texts of the task a cell of each slot is."""
+    counts = np.zeros(_SLOTS, np.int64)
+    for batch in batches:
+        for cells in batch["cells"]:
+            np.add.at(counts, np.frombuffer(cells, np.uint32) % _SLOTS, 1)
+    at = np.flatnonzero(counts)
+    yield pd.DataFrame({"slot": at.astype(np.int32), "n": counts[at]})
+
+
+def _rarest(counts, least: float):
+    """A row for each of a text's first cells in the order of their counts, and whether it is one of the fewer
+    that a text no longer than the other needs."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                some = batch.iloc[at : at + 256]
+                held = [np.frombuffer(c, np.uint32) for c in some["cells"]]
+                size = np.array([len(c) for c in held], np.int32)
+                first, fewer = (size - np.ceil(x * size - _EPSILON).astype(np.int32) + 1 for x in (least, 2 * least / (1 + least)))
+                ordered = [c[np.lexsort((c, counts.value[c % _SLOTS]))][:k] for c, k in zip(held, first, strict=True)]
+                taken = np.array([len(c) for c in ordered])
+                of = np.repeat(np.arange(len(some)), taken)
+                place = (np.arange(len(of)) - np.repeat(np.cumsum(taken) - taken, taken)).astype(np.int32)
+                cell = np.concatenate(ordered).astype(np.int64)
+                node = some["node"].array.take(of)
+                yield pd.DataFrame({"node": node, "cell": cell, "place": place, "n": size[of], "short": place < fewer[of]})
+
+    return run
 
 
 def verified(pairs: DataFrame, cells: DataFrame, least: float) -> DataFrame:

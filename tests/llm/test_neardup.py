@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 
 from millrace.llm import neardup as N
 from millrace.llm.common import table
@@ -100,6 +101,53 @@ def test_a_large_group_and_passages_in_common(spark):
     assert {found[i] for i in range(400)} == {0} and all(found[i] == i for i in found if i >= 1000)
 
 
+def template_family():
+    """Pairs of texts of one template with three fillings each, of which a pair shares one: it is just similar enough."""
+    rng = random.Random(6)
+    base, rows = [f"t{i}" for i in range(150)], []
+    for g in range(150):
+        shared, same, here, there = rng.sample(range(5, 150, 5), 4)
+        for i, moved in enumerate((here, there)):
+            words = list(base)
+            words[shared], words[same], words[moved] = f"shared{g}", f"own{g}x{i}", f"moved{g}x{i}"
+            rows.append((len(rows), " ".join(words)))
+    return rows
+
+
+def test_a_template_family_against_brute_force(spark):
+    """Its buckets hold hundreds of texts of many classes."""
+    rows = template_family()
+    want = classes_by_brute_force(dict(rows))
+    assert 100 < len(set(want.values())) <= 150
+    found = N.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id: r.class_id for r in found} == want
+
+
+def test_rare_cells_meet_in_every_pair_that_passes(spark, monkeypatch):
+    """Also if the cells of many texts are dealt by blocks."""
+    monkeypatch.setattr(N, "_BLOCK", 7)
+    texts = dict(template_family()[:120])
+    cells, of = N.cells_of(list(texts.values()))
+    held = [np.unique((cells[of == i] & np.uint64(0xFFFFFFFF)).astype(np.uint32)).tobytes() for i in texts]
+    frame = spark.createDataFrame([(i, bytearray(c)) for i, c in enumerate(held)], "node long, cells binary").repartition(3)
+    labels = frame.select("node", (frame["node"] % 50).alias("label"))
+    found = {tuple(r) for r in N._by_rare_cells(labels, N._rarest_cells(frame, 0.8), 0.8).collect()}
+    all_pairs = [(a, b) for a in texts for b in texts if a < b and a % 50 != b % 50]
+    want = {(a, b) for a, b in all_pairs if N.similarity(held[a], held[b]) >= 0.8}
+    assert want and want <= found < set(all_pairs)
+
+
+def test_a_forest_connects_what_the_links_do():
+    rng = random.Random(7)
+    links = pd.DataFrame([sorted(rng.sample(range(40), 2)) for _ in range(300)] + [[50, 51], [50, 51]], columns=["a", "b"])
+    kept = pd.concat(N._forest(iter([links[:100], links[100:]])))
+    label = {i: i for i in {*links.a, *links.b}}
+    for a, b in zip(kept.a, kept.b):
+        assert label[a] != label[b]
+        label = {k: label[a] if v == label[b] else v for k, v in label.items()}
+    assert all(label[a] == label[b] for a, b in zip(links.a, links.b))
+
+
 def test_documents_against_brute_force(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     texts = {r.doc_id: r.text for r in docs.collect()}
