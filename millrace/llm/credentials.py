@@ -32,11 +32,11 @@ _ACCESS, _HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"(?<![0-9a-f])[0-9a-f]
 _ASSIGN_LEAST, _ACCESS_LEAST = 8, 16
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-#: Weak kinds: what part of a credential each is, and its pattern.
+#: Weak kinds: what part of a credential each is, and its pattern. They have least lengths only, and take whole runs.
 WEAK = {
-    "account": ("identifier", re.compile(r"\b(?:user|login|account|client_id)\b[\"']?\x20?[:=]\x20?[\"']?[\w.@-]{3,64}", re.ASCII)),
-    "key": ("secret", re.compile(r"(?<![\w+/=-])(?=[\w+/]{0,63}[0-9])(?=[\w+/]{0,63}[A-Za-z])[\w+/]{20,64}={0,2}(?![\w+/=-])", re.ASCII)),
-    "endpoint": ("endpoint", re.compile(r"\b(?:https?|jdbc:\w+|postgres|mysql|amqp|redis|s3)://[^\s\"'<>|]{4,200}", re.ASCII)),
+    "account": ("identifier", re.compile(r"\b(?:user|login|account|client_id)\b[\"']?\x20?[:=]\x20?[\"']?[\w.@-]{3,}+", re.ASCII)),
+    "key": ("secret", re.compile(r"(?<![\w+/-])(?=[A-Za-z_+/]*+[0-9])(?=[0-9_+/]*+[A-Za-z])[\w+/]{20,}+={0,2}+(?![\w+/=-])", re.ASCII)),
+    "endpoint": ("endpoint", re.compile(r"\b(?:https?|jdbc:\w+|postgres|mysql|amqp|redis|s3)://[^\s\"'<>|]{4,}+", re.ASCII)),
 }
 KINDS = (*BASE, *WEAK)
 _PART_OF = {"assign": "secret", "access": "identifier", "hex": "secret"} | {k: part for k, (part, _) in WEAK.items()}

@@ -59,6 +59,25 @@ def test_weak_parts_count_only_together(spark):
     assert found[1].base_sha256 == hashlib.sha256(b"").hexdigest() and found[5].n_access == 1
 
 
+def test_weak_parts_of_any_length_are_masked_whole(spark):
+    account, key = "login: " + "n" * 80, "Zx81kQ+/" * 10 + "Zx81kQ=="
+    long = f"{account} {key} https://example.com/" + "s1g" * 160
+    env = "user=deploy-bot\nAWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY1\ns3://bucket/path"
+    docs = spark.createDataFrame([(1, long), (2, env)], "doc_id long, text string")
+    assert len(key) == 88 and len(long) > 650
+    masked = {r.doc_id: r.text for r in C.mask_secrets(docs).collect()}
+    assert masked[1] == re.sub(r"\S", "*", long[len(account) :]).join(["*" * len(account), ""])
+    assert masked[2] == "*" * 15 + "\nAWS_SECRET_ACCESS_KEY=" + "*" * 41 + "\n" + "*" * 16
+
+
+def test_long_runs_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    C.weak_spans("a" * 500_000 + " " + "1/" * 250_000 + " " + "=" * 500_000 + " " + "a1" * 250_000 + "-")
+    assert time.perf_counter() - start < 5
+
+
 def test_links_against_brute_force(spark):
     import random
 
