@@ -17,6 +17,7 @@ from millrace.operators.columns import (
 from millrace.operators.dedup import drop_duplicates
 from millrace.operators.merge import merge_frames
 from millrace.operators.observe import count_rows
+from millrace.operators.ordered import number_rows, running_totals, tiles
 from millrace.operators.recipe import Recipe
 from millrace.operators.sinks import LoadResult, publish_stage, remove_old_versions, write_run_date, write_table
 from millrace.operators.sql import (
@@ -76,6 +77,7 @@ __all__ = [
     "merge_frames",
     "no_nulls",
     "not_empty",
+    "number_rows",
     "publish_stage",
     "quality_report",
     "quality_reports",
@@ -91,6 +93,8 @@ __all__ = [
     "run_sql",
     "run_sql_file",
     "run_sql_steps",
+    "running_totals",
+    "tiles",
     "transform_sql",
     "unique",
     "value_range",

@@ -1,0 +1,84 @@
+"""Row numbers, running sums and tiles over whole tables against Python, with hot, null and equal keys."""
+
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import millrace as m
+from millrace.operators import ordered
+
+SCHEMA = "g string, k int, v long, id int"
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(5)
+    groups = ["hot"] * 5 + ["a", "b", None]
+    return [(rng.choice(groups), rng.choice([None, *range(40)]), rng.choice([None, rng.randrange(100)]), i) for i in range(900)]
+
+
+@pytest.fixture(scope="module")
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+def in_order(rows, within):
+    groups = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[3])):
+        groups[r[0] if within else None].append(r)
+    return groups
+
+
+@pytest.mark.parametrize("within", [(), ("g",)])
+@pytest.mark.parametrize("fan", [2, 512])
+def test_numbers_and_sums(frame, rows, within, fan, monkeypatch):
+    monkeypatch.setattr(ordered, "FAN", fan)
+    numbered = m.number_rows(frame, ["k", "id"], within, "at", "all", partitions=13)
+    summed = m.running_totals(frame, ["k", "id"], {"sum_v": "v", "n": F.lit(1)}, within, partitions=13)
+    want_at, want_sum = set(), set()
+    for group in in_order(rows, within).values():
+        total = 0
+        for at, r in enumerate(group):
+            total += r[2] or 0
+            want_at.add((*r, at, len(group)))
+            want_sum.add((*r, total, at + 1))
+    assert {tuple(r) for r in numbered.collect()} == want_at
+    assert {tuple(r) for r in summed.collect()} == want_sum
+    assert numbered.columns == ["g", "k", "v", "id", "at", "all"]
+
+
+@pytest.mark.parametrize("n", [1, 4, 7, 2000])
+def test_tiles_as_ntile(spark, frame, n):
+    frame.createOrReplaceTempView("tiled")
+    want = spark.sql(f"SELECT *, ntile({n}) OVER (PARTITION BY g ORDER BY k, id) AS tile FROM tiled")
+    assert {tuple(r) for r in m.tiles(frame, ["k", "id"], n, ["g"]).collect()} == {tuple(r) for r in want.collect()}
+
+
+def test_descending_and_equal_keys(spark):
+    same = spark.createDataFrame([(1, 7)] * 300, "k int, v int").repartition(4)
+    found = [r.at for r in m.number_rows(same, [F.desc("k")], position="at").collect()]
+    assert sorted(found) == list(range(300))
+    assert sorted(r.s for r in m.running_totals(same, ["k"], {"s": "v"}).collect()) == [7 * (i + 1) for i in range(300)]
+
+
+def test_a_hot_group_is_dealt_to_many_partitions(frame):
+    dealt = ordered.deal_by_range(frame, ["g", "k"], "part", "row", 16)
+    assert dealt.where("g = 'hot'").select("part").distinct().count() >= 8
+    equal = ordered.deal_by_range(frame.select(F.lit(1).alias("one")), ["one"], "part", "row", 16)
+    assert equal.select("part").distinct().count() >= 8
+
+
+def test_no_single_partition(frame):
+    for df in (m.number_rows(frame, ["k", "id"]), m.running_totals(frame, ["k", "id"], {"s": "v"}), m.tiles(frame, ["k"], 3)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_empty_replaced_and_wrong(spark, frame):
+    assert m.number_rows(frame.limit(0), ["k"], total="all").collect() == []
+    assert m.running_totals(frame.limit(0), ["k"], {"s": "v"}).collect() == []
+    assert m.number_rows(frame, ["k", "id"], position="v").columns == ["g", "k", "id", "v"]
+    with pytest.raises(ValueError):
+        m.tiles(frame, ["k"], 0)
