@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import credentials, decontamination, language, neardup, packing, quality, repeats, topk, toxicity, url_filter
+from millrace.llm import (
+    credentials,
+    decontamination,
+    language,
+    manifest,
+    neardup,
+    packing,
+    quality,
+    repeats,
+    topk,
+    toxicity,
+    url_filter,
+)
 from millrace.llm.common import fold_is, table
 
 QUERIES = {}
@@ -101,3 +113,8 @@ def _graded(scored: DataFrame, threshold: float) -> DataFrame:
 @query
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))

@@ -1,0 +1,118 @@
+"""Merkle manifests against the definition, computed row by row, with small trees of several rounds."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from millrace.llm import manifest as M
+
+COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def field(v):
+    return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+
+def leaf_of(row):
+    return h(*map(field, row))
+
+
+def levels_of(leaves, fanout):
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        at = levels[-1]
+        levels.append([h(*at[i : i + fanout]) for i in range(0, len(at), fanout)])
+    return levels
+
+
+def way(levels, place, fanout):
+    """The runs on the way up: (siblings before, siblings after)."""
+    out = []
+    for level in levels[:-1]:
+        start = place // fanout * fanout
+        run = level[start : start + fanout]
+        out.append((run[: place - start], run[place - start + 1 :]))
+        place //= fanout
+    return out
+
+
+def by_brute_force(rows, fanout=16):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[1], []).append(r)
+    trees = {}
+    for source, group in groups.items():
+        group.sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf_of(r)))
+        trees[source] = levels_of([leaf_of(r) for r in group], fanout)
+    order = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    top = levels_of([trees[s][-1][0] for s in order], fanout)
+    found = []
+    for at, source in enumerate(order):
+        for place, r in enumerate(groups[source]):
+            path = way(trees[source], place, fanout) + way(top, at, fanout)
+            tampered = r
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0 and r[4] is not None:
+                tampered = (*r[:4], "".join(c.lower() if "A" <= c <= "Z" else c for c in r[4]))
+            digest = leaf_of(tampered)
+            for before, after in path:
+                digest = h(*before, digest, *after)
+            proof = h(*(x for before, after in path for x in before + after))
+            root = top[-1][0]
+            found.append((r[0], leaf_of(r), trees[source][-1][0], root, proof, digest, digest == root))
+    return found
+
+
+def same(found, want):
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, found), key=key) == sorted(want, key=key)
+
+
+def documents(n, sources, seed=1):
+    rng = random.Random(seed)
+    ids = rng.sample(range(-n, 10 * n), n)
+    return [(i, rng.choice(sources), rng.choice(["en", None]), rng.choice([None, i]), rng.choice([None, "", "Text É", f"low {i}", f"UP {i}"])) for i in ids]
+
+
+@pytest.mark.parametrize(("fanout", "depth"), [(16, 4), (2, 2), (5, 1)])
+def test_against_brute_force(spark, fanout, depth):
+    sources = ["hot"] * 6 + ["a", "b", "é", None, *(f"s{i}" for i in range(9))]
+    rows = documents(300, sources) + [(10**9, "single", None, 1, "One Text")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(5)
+    same(M.manifest(docs, M.Shape(fanout, depth)).collect(), by_brute_force(rows, fanout))
+
+
+def test_awkward_rows(spark, awkward, no_documents):
+    rows = [tuple(r[c] for c in COLUMNS) for r in awkward.collect()]
+    same(M.manifest(awkward).collect(), by_brute_force(rows))
+    assert M.manifest(no_documents).collect() == []
+    one = awkward.where("doc_id = 4")
+    (only,) = M.manifest(one).collect()
+    assert only.leaf == only.subroot == only.root == only.folded_root and only.proof_sha256 == h()
+
+
+def test_trees_of_several_rounds(spark):
+    """66,000 equal-shaped rows: one source of two rounds beside small ones."""
+    n = 66_000
+    docs = spark.range(n).selectExpr(
+        "id AS doc_id", "CASE WHEN id % 100 = 3 THEN 'b' WHEN id = 5 THEN NULL ELSE 'a' END AS source", "'en' AS lang",
+        "id AS n_chars", "concat('Text ', id) AS text")
+    docs = docs.union(spark.range(n, n + 1_000).selectExpr("id", "'a'", "'en'", "id", "concat('Text ', id)"))
+    rows = [(i, ("b" if i % 100 == 3 else None if i == 5 else "a") if i < n else "a", "en", i, f"Text {i}") for i in range(n + 1_000)]
+    assert sum(r[1] == "a" for r in rows) > M.FANOUT**M.DEPTH
+    found = M.manifest(docs).collect()
+    assert len(found) == n + 1_000
+    same(found, by_brute_force(rows))
+
+
+def test_tampering_is_found(spark):
+    rows = [(i, "s", "en", 1, "Upper" if i % 2 else "lower") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    for r in M.manifest(docs).collect():
+        touched = zlib.crc32(str(r.doc_id).encode()) % 5 == 0 and r.doc_id % 2 == 1
+        assert r.verified != touched
