@@ -15,6 +15,7 @@ from millrace.llm import (
     packing,
     quality,
     repeats,
+    rules,
     topk,
     toxicity,
     url_filter,
@@ -115,6 +116,11 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(table(spark, sf_dir, "documents"))
