@@ -14,6 +14,7 @@ from millrace.llm import (
     neardup,
     packing,
     quality,
+    ranked,
     repeats,
     rules,
     topk,
@@ -116,6 +117,34 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+ORACLE_SQL["op11_ranked"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+    FROM documents
+), sizes AS (SELECT r, doc_id, len(t) AS n FROM d WHERE len(t) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM sizes),
+tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+w AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term, docs
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), scores AS (
+    SELECT item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))))::BIGINT AS score
+    FROM asked JOIN w USING (term) JOIN tf USING (term) JOIN sizes USING (r), total GROUP BY item_id, doc_id, r
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
 @query
 def op12_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge_texts(table(spark, sf_dir, "documents"))
