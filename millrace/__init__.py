@@ -5,6 +5,7 @@ is always the frame's own. Nothing here runs a Spark job unless its docstring
 says so.
 """
 
+from millrace.operators.asof import join_asof
 from millrace.operators.columns import (
     add_audit_columns,
     cast_columns,
@@ -15,6 +16,7 @@ from millrace.operators.columns import (
     rename_columns,
 )
 from millrace.operators.dedup import drop_duplicates
+from millrace.operators.intervals import join_overlapping
 from millrace.operators.merge import merge_frames
 from millrace.operators.observe import count_rows
 from millrace.operators.ordered import number_rows, running_totals, tiles
@@ -74,6 +76,8 @@ __all__ = [
     "filter_rows",
     "flatten_column",
     "has_columns",
+    "join_asof",
+    "join_overlapping",
     "merge_frames",
     "no_nulls",
     "not_empty",
