@@ -15,8 +15,11 @@ a run of windows, whose bytes are its span.
    are sorted, their common prefixes scanned with a stack into intervals, and each
    interval's left sides in the same way; an interval whose left sides or right sides
    differ is a maximal repeat. ``repeat_groups`` returns these with all occurrences.
-3. Grams with more than ``LIMIT`` spans would be too much for one group. Their windows
-   are hashed, combined in every task and dealt by hash; of equal windows the first stays.
+3. Grams with more than ``LIMIT`` spans would be too much for one group. Two spans that share
+   a window agree in at least half of its bytes beside the gram on the left or on the right,
+   so their spans are dealt by either half; groups that are still too large by half of
+   the bytes left over, and so on. A step at most doubles the rows of groups that were too
+   large, and each group ends in the interval tree, or holds copies of a single window.
 
 Edge cases: a null text has no bytes; texts shorter than LENGTH lose none; rows of one
 id and text are one document and get the same result each; texts that share an id are
@@ -38,12 +41,12 @@ from millrace.llm.common import ship, staged
 from millrace.llm.text import mix, powers
 
 LENGTH, GRAM = 100, 32
-#: Spans of a gram that one group takes; and that a task sends of a gram.
-LIMIT, SENT = 2_000, 64
+#: Spans of a gram that one group takes; that a task sends of a gram; and anchors held before they are combined.
+LIMIT, SENT, HELD = 2_000, 64, 1 << 20
 _FLUSH = 8 << 20
 _PIECE, _BLOCK = 1 << 19, 1 << 18
 _LOWEST = -(1 << 63)
-_SETTLED, _TREE, _WINDOWS = 0, 1, 2
+_SETTLED, _TREE, _HOT = 0, 1, 2
 _ENTRY = np.dtype(
     [("gram", "<u8"), ("span", "<u8"), ("doc_id", "<i8"), ("h", "<i8"), ("first", "<i4"), ("run", "u1"), ("lead", "u1"), ("many", "?")]
 )
@@ -161,7 +164,7 @@ def _deal(buckets: int, most_sent: int):
         kept = ~hot | ~_same_as_before(firsts["gram"])
         yield from blobs(firsts[kept], -1)
         yield from blobs(settled, _SETTLED)
-        yield from blobs(firsts[hot], _WINDOWS)
+        yield from blobs(firsts[hot], _HOT)
 
     def blobs(entries: np.ndarray, fate: int) -> Iterator[pd.DataFrame]:
         bucket = (mix(entries["gram"]) % np.uint64(buckets)).astype(np.int32)
@@ -193,31 +196,42 @@ def _deal(buckets: int, most_sent: int):
     return run
 
 
-def _settle(limit: int):
-    """The fate of the anchors of each bucket, rows of which come one after the other."""
+def _settle(limit: int, most_held: int):
+    """The fate of the anchors of each bucket, rows of which come one after the other.
 
-    def settled(held: list[np.ndarray]) -> Iterator[pd.DataFrame]:
-        firsts, later = _split(np.concatenate(held)) if held else (np.zeros(0, _ENTRY),) * 2
+    What is held is combined as it grows: of a hot gram only a mark stays, the spans go on.
+    """
+
+    def settled(held: list[np.ndarray], ended: bool) -> Iterator[pd.DataFrame]:
+        entries = np.concatenate(held) if held else np.zeros(0, _ENTRY)
+        firsts, later = _split(entries)
         yield _fates(later[~later["many"]], _SETTLED)
-        _, of, n = np.unique(firsts["gram"], return_inverse=True, return_counts=True)
-        hot = (np.bincount(of, weights=firsts["many"], minlength=len(n)) > 0) | (n > limit)
+        grams, of, n = np.unique(firsts["gram"], return_inverse=True, return_counts=True)
+        hot = np.isin(grams, entries["gram"][entries["many"]]) | (n > limit)
         own = ~firsts["many"]  # the others were sent as they are
-        yield _fates(firsts[own & hot[of]], _WINDOWS)
-        yield _fates(firsts[own & ~hot[of] & (n[of] > 1)], _TREE)
+        yield _fates(firsts[own & hot[of]], _HOT)
+        if ended:
+            yield _fates(firsts[own & ~hot[of] & (n[of] > 1)], _TREE)
+            return
+        firsts["many"] |= hot[of]
+        held[:] = [firsts[~hot[of] | ~_same_as_before(firsts["gram"])]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, at = [], None
+        held, at, most = [], None, most_held
         for batch in batches:
             for bucket, fate, entries in zip(batch["bucket"], batch["fate"], batch["entries"], strict=True):
                 if bucket != at:
-                    yield from settled(held)
-                    held, at = [], bucket
+                    yield from settled(held, True)
+                    held, at, most = [], bucket, most_held
                 entries = np.frombuffer(entries, _ENTRY)
                 if fate < 0:
                     held.append(entries)
                 else:
                     yield _fates(entries, fate)
-        yield from settled(held)
+                if sum(map(len, held)) > most:
+                    yield from settled(held, False)
+                    most = max(most_held, 2 * len(held[0]))
+        yield from settled(held, True)
 
     return run
 
@@ -313,21 +327,6 @@ def _fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.concat(parts)
 
 
-def _hash_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for each window of the spans; of equal ones in a batch the first, with the others as settled spans."""
-    for batch in batches:
-        rows = [
-            (r.doc_id, r.h, r.first + i, r.bytes[i : i + LENGTH])
-            for r in batch.itertuples(index=False)
-            for i in range(len(r.bytes) - LENGTH + 1)
-        ]
-        rows.sort(key=lambda x: (x[3], x[:3]))
-        keys = [hashlib.blake2b(x[3], digest_size=16).digest() for x in rows]
-        first = [i == 0 or keys[i] != keys[i - 1] for i in range(len(rows))]
-        frame = pd.DataFrame([x[:3] for x in rows], columns=["doc_id", "h", "start"])
-        yield frame.assign(key=[k if new else None for k, new in zip(keys, first, strict=True)])
-
-
 def _spread(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -339,10 +338,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(doc_id.alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
-def _fate(keyed: DataFrame, limit: int, sent: int) -> DataFrame:
+def _fate(keyed: DataFrame, limit: int, sent: int, held: int = HELD) -> DataFrame:
     n = _spread(keyed)
     dealt = keyed.mapInPandas(_deal(16 * n, sent), "bucket int, fate int, entries binary")
-    return staged(dealt.repartition(n, "bucket").sortWithinPartitions("bucket").mapInPandas(_settle(limit), _FATE), "anchors")
+    return staged(dealt.repartition(n, "bucket").sortWithinPartitions("bucket").mapInPandas(_settle(limit, held), _FATE), "anchors")
 
 
 def _spans_with_bytes(keyed: DataFrame, fates: DataFrame) -> DataFrame:
@@ -352,33 +351,83 @@ def _spans_with_bytes(keyed: DataFrame, fates: DataFrame) -> DataFrame:
     return staged(texts.mapInPandas(_fetch, "gram long, doc_id long, h long, first int, place int, fate int, bytes binary"), "spans")
 
 
-def _by_gram(spans: DataFrame) -> DataFrame:
-    trees = spans.where(F.col("fate") == _TREE).drop("fate").distinct()
-    return trees.repartition(_spread(spans), "gram").sortWithinPartitions("gram")
+def _trees(spans: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Groups for the interval tree, each named by ``gram`` and of bounded size, and spans to remove without it."""
+    columns = ["gram", "doc_id", "h", "first", "place", "bytes"]
+    trees = spans.where(F.col("fate") == _TREE).select(columns).distinct()
+    hot = spans.where(F.col("fate") == _HOT).select(columns)
+    none = hot.limit(0).select("doc_id", "h", F.col("first").alias("start"), F.col("place").alias("stop"))
+    if hot.isEmpty():
+        return trees, none
+    lead, where = F.col("place") - F.col("first"), F.struct("doc_id", "h", "first")
+    keyed = hot.withColumns({"span": F.xxhash64("bytes"), "lead": lead, "where": where})
+    least = keyed.groupBy("gram", "span", "lead").agg(F.min("where").alias("least"))
+    met = staged(keyed.join(least, ["gram", "span", "lead"]), "hot-spans").drop("span")
+    settled = none.union(met.where("where > least").select("doc_id", "h", "first", F.col("first") + F.length("bytes")))
+    rows = met.where("where = least").select(*columns, "lead").distinct()
+    rows = rows.withColumns({"key": F.col("gram"), "left": F.lit(0), "right": F.lit(0)})
+    while True:
+        rows = staged(rows, "hot-halves")
+        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        rows = staged(rows.join(sizes, "key"), "hot-groups")
+        trees = trees.union(rows.where(F.col("n") <= limit).withColumn("gram", F.col("key")).select(columns))
+        large = rows.where(F.col("n") > limit)
+        if large.isEmpty():
+            return trees, settled
+        whole = large.where(F.col("left") + F.col("right") == LENGTH - GRAM)
+        settled = settled.union(_copies_of_a_window(whole))
+        rows = _halves(large.where(F.col("left") + F.col("right") < LENGTH - GRAM))
+
+
+def _copies_of_a_window(rows: DataFrame) -> DataFrame:
+    """Spans to remove: in groups that agree in a whole window, that window, but for its first occurrence."""
+    where = F.struct("doc_id", "h", (F.col("place") - F.col("left")).alias("start"))
+    least = rows.groupBy("key").agg(F.min(where).alias("least"))
+    later = rows.join(least, "key").where(where > F.col("least"))
+    start = F.col("place") - F.col("left")
+    return later.select("doc_id", "h", start.alias("start"), (start + LENGTH).alias("stop"))
+
+
+def _halves(rows: DataFrame) -> DataFrame:
+    """Each span by half of the bytes left over on the left, and by half of them on the right.
+
+    Of two spans with ``left`` and ``right`` bytes beside the gram in common, any window in
+    common takes ``half`` more on the left, or else at least the rest and one more on the right.
+    """
+    rest = F.lit(LENGTH - GRAM) - F.col("left") - F.col("right")
+    half = F.ceil(rest / 2).cast("int")
+    sides = F.array(
+        F.struct((F.col("left") + half).alias("left"), F.col("right").alias("right")),
+        F.struct(F.col("left").alias("left"), (F.col("right") + rest - half + 1).alias("right")),
+    )
+    split = rows.drop("key", "n").withColumn("side", F.explode(sides)).withColumns({c: F.col("side")[c] for c in ("left", "right")})
+    tail = F.length("bytes") - F.col("lead") - GRAM  # bytes after the gram
+    fits = split.where((F.col("left") <= F.col("lead")) & (F.col("right") <= tail)).drop("side")
+    common = F.substring("bytes", F.col("lead") - F.col("left") + 1, F.col("left") + GRAM + F.col("right"))
+    return fits.withColumn("key", F.xxhash64("gram", "left", "right", common))
+
+
+def _by_gram(trees: DataFrame) -> DataFrame:
+    return trees.repartition(_spread(trees), "gram").sortWithinPartitions("gram")
 
 
-def repeat_groups(docs: DataFrame) -> DataFrame:
+def repeat_groups(docs: DataFrame, limit: int = LIMIT, sent: int = SENT) -> DataFrame:
     """(gram, length, doc_ids, hs, starts): maximal repeats around anchors whose spans differ, with all occurrences
     of theirs; occurrences with equal spans are represented by the first."""
     keyed = _keyed(docs)
-    spans = _spans_with_bytes(keyed, _fate(keyed, LIMIT, SENT))
-    return _by_gram(spans).mapInPandas(_grow("groups"), "gram long, length int, doc_ids array<long>, hs array<long>, starts array<int>")
+    spans = _spans_with_bytes(keyed, _fate(keyed, limit, sent))
+    trees, _ = _trees(spans, limit)
+    return _by_gram(trees).mapInPandas(_grow("groups"), "gram long, length int, doc_ids array<long>, hs array<long>, starts array<int>")
 
 
-def removed_spans(keyed: DataFrame, limit: int, sent: int) -> DataFrame:
+def removed_spans(keyed: DataFrame, limit: int, sent: int, held: int) -> DataFrame:
     """(doc_id, h, start, stop) of the bytes to remove; spans may overlap."""
-    fates = _fate(keyed, limit, sent)
+    fates = _fate(keyed, limit, sent, held)
     span = (F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
     settled = fates.where(F.col("fate") == _SETTLED).select("doc_id", "h", *span)
-    spans = _spans_with_bytes(keyed, fates)
-    grown = _by_gram(spans).mapInPandas(_grow("spans"), "doc_id long, h long, start int, stop int")
-    hashed = spans.where(F.col("fate") == _WINDOWS).mapInPandas(_hash_windows, "doc_id long, h long, start int, key binary")
-    hashed = staged(hashed, "windows")
-    first = hashed.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "h", "start")).alias("first"))
-    place = ["doc_id", "h", "start"]
-    later = hashed.join(first, "key").where(F.struct(*place) > F.col("first")).select(place)
-    windows = later.union(hashed.where("key IS NULL").select(place))
-    return settled.union(grown).union(windows.withColumn("stop", F.col("start") + LENGTH))
+    trees, more = _trees(_spans_with_bytes(keyed, fates), limit)
+    grown = _by_gram(trees).mapInPandas(_grow("spans"), "doc_id long, h long, start int, stop int")
+    return settled.union(grown).union(more)
 
 
 def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -399,11 +448,11 @@ def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def remove_repeats(docs: DataFrame, limit: int = LIMIT, sent: int = SENT) -> DataFrame:
+def remove_repeats(docs: DataFrame, limit: int = LIMIT, sent: int = SENT, held: int = HELD) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each document."""
     keyed = _keyed(docs)
     both = (F.collect_list(c).alias(c) for c in ("start", "stop"))
-    lists = removed_spans(keyed, limit, sent).groupBy("doc_id", "h").agg(*both)
+    lists = removed_spans(keyed, limit, sent, held).groupBy("doc_id", "h").agg(*both)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     result = keyed.join(lists, ["doc_id", "h"], "left").mapInPandas(_remove, schema)
     doc_id = F.when(F.col("doc_id") != _LOWEST, F.col("doc_id")).cast(dict(docs.dtypes)["doc_id"])

@@ -40,11 +40,32 @@ def test_made_up_texts_against_brute_force(spark):
     assert removed(docs) == by_brute_force(rows)
 
 
-def test_hot_grams_by_windows_give_the_same(spark):
+def test_hot_grams_by_halves_give_the_same(spark):
     rows = made_up(random.Random(6), 60)
     docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(4)
     want = by_brute_force(rows)
-    assert removed(docs, limit=2) == removed(docs, sent=1) == removed(docs, limit=0, sent=3) == want
+    assert removed(docs, limit=2) == removed(docs, sent=1) == removed(docs, limit=0, sent=3) == removed(docs, limit=3, held=5) == want
+
+
+def test_a_passage_in_many_surroundings(spark):
+    """Its edges are hot grams; spans are halved until they tell the surroundings apart."""
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage, ends = word(130), [word(20) for _ in range(3)]
+    rows = [(i, word(90) + rng.choice(ends) + passage + rng.choice(ends) + word(90)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(4)
+    assert removed(docs, limit=5) == removed(docs) == by_brute_force(rows)
+
+
+def test_halves_at_most_double(spark):
+    rows = spark.range(40).selectExpr(
+        "1L AS gram", "id AS doc_id", "0L AS h", "0 AS first", "68 AS place", "unhex(repeat('61', 168)) AS bytes", "68 AS lead",
+        "1L AS key", "0 AS left", "0 AS right", "40L AS n")
+    for step in range(8):
+        before = rows.count()
+        rows = R._halves(rows.where("left + right < 68")).selectExpr("*", "40L AS n").cache()
+        assert rows.count() <= 2 * before
+    assert rows.where("left + right < 68").isEmpty()
 
 
 def test_documents_against_brute_force(spark):
