@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,8 +10,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.names import Columns, quoted
 
-_RANK = "_dedup_rank"
-
 
 def drop_duplicates(
     df: DataFrame,
@@ -32,4 +31,5 @@ def drop_duplicates(
         return df.dropDuplicates(keys)
     order = [quoted(o) if isinstance(o, str) else o for o in order_by]
     window = Window.partitionBy(*map(quoted, keys)).orderBy(*order)
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
+    rank = f"_{uuid.uuid4().hex[:12]}"  # a name that no column has
+    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)
