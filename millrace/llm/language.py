@@ -22,12 +22,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import text_udf
+from millrace.llm.common import fresh, ship, text_udf
 from millrace.llm.text import blocks
 
 UNKNOWN = "und"
 WINDOW, LANES = 128, 4096
-_LETTER = re.compile(r"[^\W\d_]")
+_PLAIN = re.compile("[A-Za-z]")
 
 
 @dataclass
@@ -199,7 +199,8 @@ def fit(windows: Sequence[bytes], languages: Sequence[str], width: int = 64, hid
 def train(docs: DataFrame, sample: int = 1_500, width: int = 64, per_text: int = 4) -> Network:
     """A network learned from ``per_text`` windows of each of at most ``sample`` documents with text, lang and id.
 
-    They are those of the smallest hashed ids; their ids are few enough to broadcast.
+    They are those of the smallest hashed ids, which are few enough to broadcast; of an id that
+    repeats one row counts.
     """
     known = docs.select("doc_id", "text", "lang").where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
     ids = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -208,14 +209,21 @@ def train(docs: DataFrame, sample: int = 1_500, width: int = 64, per_text: int =
     def spread(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: spread_windows(t, width, per_text))
 
-    rows = known.join(F.broadcast(ids), "doc_id").select("lang", spread("text").alias("windows")).collect()
+    chosen = known.join(F.broadcast(ids), "doc_id")
+    one = F.min_by(F.struct("lang", "text"), F.struct(F.xxhash64("text"), "lang")).alias("one")
+    rows = chosen.groupBy("doc_id").agg(one).select("one.lang", spread("one.text").alias("windows")).collect()
     rows.sort(key=lambda r: (r["windows"], r["lang"]))
     return fit([bytes(r["windows"]) for r in rows], [r["lang"] for r in rows], width)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter; digits, fractions, number forms and signs are none."""
+    return bool(_PLAIN.search(text)) or any(map(str.isalpha, text))
+
+
 def predictor(net: Network):
     def predict(texts: Sequence[str]) -> pd.DataFrame:
-        lettered = np.array([bool(_LETTER.search(t)) for t in texts], np.bool_) & bool(net.languages)
+        lettered = np.array([has_letter(t) for t in texts], np.bool_) & bool(net.languages)
         language, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
         if lettered.any():
             chosen = np.flatnonzero(lettered)
@@ -229,6 +237,8 @@ def predictor(net: Network):
 
 def identify_language(docs: DataFrame, net: Network) -> DataFrame:
     """The documents with columns ``lang_pred`` and ``score``, which replace those of that name."""
+    ship(docs.sparkSession)
     both = text_udf(docs.sparkSession, predictor, net, "lang_pred string, score double")("text")
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.select(*kept, both.alias("_predicted")).select(*kept, "_predicted.*")
+    found = fresh(*kept)
+    return docs.select(*kept, both.alias(found)).select(*kept, f"{found}.*")

@@ -64,3 +64,25 @@ def test_awkward_documents(spark, awkward, no_documents):
     assert L.identify_language(no_documents, net).count() == 0
     nothing = L.train(no_documents)
     assert {r.lang_pred for r in L.identify_language(awkward, nothing).collect()} == {"und"}
+
+
+def test_no_letters_no_language(spark):
+    rows = [(1, "½ ²"), (2, "ⅷ"), (3, "12 #_ ٣"), (4, "é"), (5, "日"), (6, "²a")]
+    assert [L.has_letter(t) for _, t in rows] == [False, False, False, True, True, True]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _predicted string")
+    net = L.new_network(["de", "en"], 4)
+    found = {r.doc_id: r for r in L.identify_language(docs, net).collect()}
+    assert [found[i].lang_pred == "und" for i in range(1, 7)] == [True, True, True, False, False, False]
+    assert found[1]["_predicted"] == "x" and found[1].score == 0
+
+
+def test_a_repeated_id_is_learned_from_once(spark):
+    rows = [(1, "ein Satz", "de")] * 50 + [(2, "a line", "en")]
+    seen = []
+    fit = L.fit
+    try:
+        L.fit = lambda windows, languages, *a, **b: seen.append(list(languages)) or fit(windows, languages, *a, **b)
+        L.train(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3))
+    finally:
+        L.fit = fit
+    assert sorted(seen[0]) == ["de", "en"]
