@@ -4,13 +4,14 @@ Queries are dealt into tiles of about ``TILE``, candidates into branches of abou
 ``BRANCH`` rows, and every tile meets every branch in a group of its own. The group
 multiplies the tile with ``SHARD`` candidates at a time, selects each query's best k
 of the shard and merges them into the branch's lists; a window merges the branches'
-lists. Products are exact: in doubles where all sums stay below 2**53, else in int64.
-
-Edge cases: vectors that are null, empty or hold a null or non-finite component,
-or one beyond 2**31 after quantisation, take no part, nor does a null id; vectors
-meet only vectors of their own length; a query id that repeats asks once, with its
-smallest vector; repeated candidate rows each count. Equal scores: smaller id. A score
-is a long; sums beyond its range wrap.
+lists. Products are exact: in doubles where all sums stay below 2**53, in int64 where
+they stay below 2**63, and for the vectors beyond that in whole numbers of any size.
+
+Edge cases: vectors that are null, empty or hold a null or non-finite component
+take no part, nor does a null id; vectors meet only vectors of their own length; a query
+id that repeats asks once, with its smallest vector; repeated candidate rows each
+count. Equal scores: smaller id. A component that is no long once multiplied, or a score
+that is none, raises.
 """
 
 from __future__ import annotations
@@ -23,25 +24,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.llm.common import ship
+
 TILE, SHARD, BRANCH = 1024, 2048, 16384
 _FOUND = "query_id long, vec_id long, score long"
 
 
 def quantised(df: DataFrame, scale: int = 64) -> DataFrame:
     """(vec_id, v): floor(scale * x) of every component, without vectors that can't be used."""
-    v = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
-    usable = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double") * scale) <= 2.0**31, F.lit(False)))
+    too_large = F.raise_error(F.lit(f"a component times {scale} is beyond 64 bits")).cast("long")
+    v = F.transform("embedding", lambda x: F.when(F.abs(x.cast("double") * scale) < 2.0**63, F.floor(x.cast("double") * scale)).otherwise(too_large))
+    usable = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
     return df.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & usable).select(
         F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")
     )
 
 
 def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Integer inner products, exact."""
-    most = max(1, int(np.abs(queries).max(initial=0))) * max(1, int(np.abs(vectors).max(initial=0))) * queries.shape[1]
-    if most < 2**53:
+    """Integer inner products, exact; raises if one is beyond 64 bits."""
+    dim = queries.shape[1]
+    q, v = (np.abs(x.astype(np.float64)).max(axis=1, initial=0) + 1 for x in (queries, vectors))
+    if q.max(initial=1) * v.max(initial=1) * dim < 2**53:
         return (queries.astype(np.float64) @ vectors.astype(np.float64).T).astype(np.int64)
-    return queries @ vectors.T
+    found = queries @ vectors.T  # wraps where the sums below go beyond 64 bits
+    doubtful = q[:, None] * v[None, :] * dim >= 2.0**63
+    for row in np.flatnonzero(doubtful.any(axis=1)):
+        col = np.flatnonzero(doubtful[row])
+        exact = vectors[col].astype(object) @ queries[row].astype(object)
+        if max(map(abs, exact)) >= 1 << 63:
+            raise OverflowError("an inner product is beyond 64 bits")
+        found[row, col] = exact.astype(np.int64)
+    return found
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,6 +105,7 @@ def _merge(a: tuple, b: tuple, k: int) -> tuple:
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) of (vec_id, v) frames; see the module's text for edge cases."""
+    ship(queries.sparkSession)
     asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     tiles = max(1, math.ceil(asked.count() / TILE))
     branches = max(1, math.ceil(candidates.count() / BRANCH))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from millrace.llm import topk as K
 from millrace.llm.common import ship
@@ -49,6 +50,15 @@ def test_large_components_stay_exact(spark):
     assert searched(spark, rows, 4) == by_brute_force(rows, 4)
 
 
+def test_components_and_sums_beyond_doubles(spark):
+    rows = [(20, [1.0, 2.0]), (1, [4e7, 1.0]), (2, [1.0, 1.0]), (4, [1e15, -5e14 + 1]), (60, [0.5, 1.0]), (7, [-(2.0**50), 2.0**49])]
+    assert searched(spark, rows, 5) == by_brute_force(rows, 5)
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        searched(spark, [(3, [1e15]), (1, [1e15])], 3)
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        searched(spark, [(3, [1e300]), (1, [1.0])], 3)
+
+
 def test_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (3, [1.0, 2.0]), (3, [1.0, 2.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, None), (7, []), (None, [1.0, 1.0]),
