@@ -97,27 +97,17 @@ def build_sessions(
     _run(grouped.writeStream.foreachBatch(write), f"{folders.root}/checkpoint-sessions")
 
 
-def close_sessions(
-    spark: SparkSession,
-    folders: SessionFolders,
-    schema: T.StructType,
-    time: str,
-    delay: str,
-    gap: str,
-    by: Sequence[str],
-    measures: Sequence[Column],
-) -> None:
-    """End the input: write the sessions still open. Events that come after this are late by any measure.
+def end_of_input(spark: SparkSession, folders: SessionFolders, schema: T.StructType, time: str, reach: str) -> None:
+    """State that no more events will come: a marker, a row with nothing but a time, carries the watermark ``reach`` beyond all.
 
-    A marker that belongs to no session carries the watermark past all of them.
+    Events that come after this are late by any measure.
     """
     latest = read_target(spark, folders.marks).agg(F.max("seen").alias(time))
-    beyond = F.col(time) + F.expr(f"INTERVAL {delay}") + 2 * F.expr(f"INTERVAL {gap}")
+    beyond = F.col(time) + F.expr(f"INTERVAL {reach}")
     nothing = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name != time}
     marker = latest.withColumns({time: beyond.cast(schema[time].dataType), **nothing, _ENDED: F.lit(True)})
     last = read_target(spark, folders.accepted).agg(F.max(F.col(BATCH).cast("long"))).first()[0] or 0
     replace_batch(marker.select(*schema.names, _ENDED), folders.accepted, _AFTER_ALL + last + 1)
-    build_sessions(spark, folders, schema, time, delay, gap, by, measures)
 
 
 def _marked(spark: SparkSession, folders: SessionFolders, number: int) -> bool:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 import millrace as m
 from millrace.storage import scratch_path
 from millrace.streaming.intake import read_new_files, take_in
-from millrace.streaming.sessions import SessionFolders, accept_in_time, build_sessions, close_sessions
+from millrace.streaming.sessions import SessionFolders, accept_in_time, build_sessions, end_of_input
+from millrace.streaming.stages import follow_stages, stages_in_batch
 from registry import query
 from registry.inputs import second, table
 from registry.sinks import COLUMNS, DAY_SQL
@@ -57,20 +58,26 @@ LATE_SQL = f"NOT {FIRST} AND ts < (SELECT max(ts) FROM events WHERE {FIRST}) - I
 ACCEPTED_SQL = f"SELECT * FROM events WHERE NOT ({LATE_SQL})"
 
 
-def _delivered(spark: SparkSession, sf_dir: str) -> tuple[SessionFolders, DataFrame]:
-    """Both deliveries taken in, and their sessions but those still open."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", F.expr("CAST(round(value * 100) AS BIGINT)").alias("cents"))
+def _delivered(spark: SparkSession, sf_dir: str, sessions: bool) -> tuple[SessionFolders, DataFrame]:
+    """Both deliveries taken in, and the sessions known to be over after each."""
+    cents = F.expr("CAST(round(value * 100) AS BIGINT)").alias("cents")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", cents)
     place = scratch_path(spark, "sessions")
     folders = SessionFolders(f"{place}/job")
     first = F.expr(FIRST.replace("TIMESTAMP", "TIMESTAMP_NTZ"))
     for part in (events.where(first), events.where(~first)):
-        part.coalesce(1).write.mode("append").parquet(f"{place}/in")
+        part.write.mode("append").parquet(f"{place}/in")
         new = spark.readStream.schema(events.schema).parquet(f"{place}/in")
         accept_in_time(new, folders, "ts", DELAY)
-        build_sessions(spark, folders, events.schema, "ts", DELAY, GAP, ["user_id"], _measures())
+        if sessions:
+            _build(spark, folders, events)
     return folders, events
 
 
+def _build(spark: SparkSession, folders: SessionFolders, events: DataFrame) -> None:
+    build_sessions(spark, folders, events.schema, "ts", DELAY, GAP, ["user_id"], _measures())
+
+
 def _measures() -> list:
     return [F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"), F.min("event_id").alias("first_event")]
 
@@ -84,8 +91,9 @@ SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start, strftim
 FROM numbered GROUP BY user_id, session""")
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of all events but those that came more than two days behind what had been seen before."""
-    folders, events = _delivered(spark, sf_dir)
-    close_sessions(spark, folders, events.schema, "ts", DELAY, GAP, ["user_id"], _measures())
+    folders, events = _delivered(spark, sf_dir, True)
+    end_of_input(spark, folders, events.schema, "ts", "9 days")
+    _build(spark, folders, events)
     found = m.read_target(spark, folders.sessions).drop("_intake_batch")
     return found.withColumns({c: second(c) for c in ("session_start", "session_end")})
 
@@ -93,5 +101,36 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT event_id, user_id, CAST(round(value * 100) AS BIGINT) AS cents FROM events WHERE {LATE_SQL}")
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The late rows themselves, which no session counts."""
-    folders, _ = _delivered(spark, sf_dir)
+    folders, _ = _delivered(spark, sf_dir, False)
     return m.read_target(spark, folders.late).select("event_id", "user_id", "cents")
+
+
+HOURS = 6
+STAGES_SQL = f"""
+WITH following AS (
+    SELECT user_id AS key, event_type AS stage, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_type) AS next FROM ({{source}})
+)
+SELECT key, stage, strftime(ts, '%Y-%m-%d %H:%M:%S') AS entered,
+       strftime(CASE WHEN next <= ts + INTERVAL '{HOURS}' HOUR THEN next ELSE ts + INTERVAL '{HOURS}' HOUR END, '%Y-%m-%d %H:%M:%S') AS "left",
+       CASE WHEN next <= ts + INTERVAL '{HOURS}' HOUR THEN 'moved' ELSE 'timed out' END AS outcome
+FROM following"""
+
+
+@query(STAGES_SQL.format(source=ACCEPTED_SQL))
+def stream_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every stage a user was in, from state with timers; it runs in Python workers."""
+    folders, events = _delivered(spark, sf_dir, False)
+    end_of_input(spark, folders, events.schema, "ts", "9 days")
+    result = f"{folders.root}/stages"
+    follow_stages(
+        spark, folders.accepted, events.schema, result, f"{folders.root}/checkpoint-stages", "user_id", "event_type", "ts", DELAY, HOURS * 3600
+    )
+    found = m.read_target(spark, result).drop("_intake_batch")
+    return found.withColumns({c: second(c) for c in ("entered", "left")})
+
+
+@query(STAGES_SQL.format(source="events"))
+def stages_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of all events in one batch, by a window."""
+    found = stages_in_batch(table(spark, sf_dir, "events"), "user_id", "event_type", "ts", HOURS * 3600)
+    return found.withColumns({c: second(c) for c in ("entered", "left")})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import millrace as m
-from millrace.streaming import sessions
+from millrace.streaming import sessions, stages
 from millrace.streaming.intake import read_new_files, take_in
 
 SCHEMA = "id int, v string, at int"
@@ -121,7 +121,8 @@ def test_sessions_across_deliveries_and_late_rows(spark, tmp_path):
     step(spark, root, folders)
     events(spark, root, [("a", at(12), 1), ("b", at(19), 2), ("a", at(20), 1)])  # before 30 - 10: late, but for the last
     step(spark, root, folders)
-    sessions.close_sessions(spark, folders, EVENT, "at", "10 minutes", "5 minutes", ["k"], [F.count("*").alias("n")])
+    sessions.end_of_input(spark, folders, EVENT, "at", "20 minutes")
+    step(spark, root, folders)
     assert sessions_of(spark, folders) == [(None, 1, 5), ("a", 3, 13), ("a", 1, 5), ("a", 1, 5), ("b", 2, 7)]
     late = m.read_target(spark, folders.late).collect()
     assert sorted((r.k, r.v) for r in late) == [("a", 1), ("b", 1), ("b", 2)]
@@ -151,3 +152,21 @@ def test_a_repeated_batch_is_split_as_before(spark, tmp_path, monkeypatch):
     assert [r["at"] for r in m.read_target(spark, folders.late).collect()] == [at(49)]
     assert m.read_target(spark, folders.accepted).count() == 4
 
+
+
+def test_stages_as_in_batch(spark, tmp_path):
+    """Events in any order within the delay; the last ones are over once a marker has passed."""
+    root = str(tmp_path)
+    folders = sessions.SessionFolders(f"{root}/job")
+    first = [("a", at(0), 1), ("a", at(9), 3), ("a", at(3), 2), ("b", at(1), 1), (None, at(2), 1)]
+    then = [("a", at(8), 9), ("b", at(20), 2), ("c", at(25), 1), ("a", at(8), 4)]
+    for rows in (first, then):
+        events(spark, root, rows)
+        new = spark.readStream.schema(EVENT).parquet(f"{root}/in")
+        sessions.accept_in_time(new, folders, "at", "10 minutes")
+    sessions.end_of_input(spark, folders, EVENT, "at", "1 hour")
+    stages.follow_stages(spark, folders.accepted, EVENT, f"{root}/stages", f"{root}/checkpoint", "k", "v", "at", "10 minutes", 300)
+    found = m.read_target(spark, f"{root}/stages").drop("_intake_batch")
+    want = stages.stages_in_batch(spark.createDataFrame(first + then, EVENT), "k", "v", "at", 300)
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, found.select(*want.columns).collect())) == sorted(map(key, want.collect()))
