@@ -16,6 +16,7 @@ from millrace.operators.columns import (
     rename_columns,
 )
 from millrace.operators.dedup import drop_duplicates
+from millrace.operators.documents import flatten_document
 from millrace.operators.intervals import join_overlapping
 from millrace.operators.merge import merge_frames
 from millrace.operators.observe import count_rows
@@ -29,6 +30,7 @@ from millrace.operators.sql import (
     run_sql_steps,
     transform_sql,
 )
+from millrace.plans.differences import find_differences, write_digests
 from millrace.plans.quality import (
     QualityGateError,
     allowed_values,
@@ -74,7 +76,9 @@ __all__ = [
     "enforce_reconciliation",
     "fill_nulls",
     "filter_rows",
+    "find_differences",
     "flatten_column",
+    "flatten_document",
     "has_columns",
     "join_asof",
     "join_overlapping",
@@ -102,6 +106,7 @@ __all__ = [
     "transform_sql",
     "unique",
     "value_range",
+    "write_digests",
     "write_run_date",
     "write_table",
 ]

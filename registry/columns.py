@@ -115,3 +115,22 @@ def transform_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         .audit(batch_id="20240101", loaded_at=LOADED_AT)
     )
     return recipe.apply(raw.unionByName(raw)).withColumn("_etl_loaded_at", second("_etl_loaded_at"))
+
+
+#: Documents of three shapes: ``k`` is a number in some and text in others, the rest is in some only.
+MIXED = (
+    "CASE event_id % 3 WHEN 0 THEN props "
+    "WHEN 1 THEN concat('{{\"k\":\"', event_type, '\",\"at\":{{\"user\":', CAST(user_id AS {text}), ',\"big\":true}}}}') "
+    "ELSE concat('{{\"only\":', CAST(event_id AS {text}), '.5,\"k\":[1,\"x\"]}}') END"
+)
+
+
+@query(f"""
+WITH mixed AS (SELECT event_id, {MIXED.format(text="VARCHAR")} AS doc FROM events)
+SELECT event_id, CAST(doc->>'$.at.user' AS BIGINT) AS doc_at_user, CAST(doc->>'$.at.big' AS BOOLEAN) AS doc_at_big, doc->>'$.k' AS doc_k,
+       CAST(doc->>'$.only' AS DOUBLE) AS doc_only
+FROM mixed""")
+def flatten_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that nobody named, of documents whose types do not agree."""
+    mixed = table(spark, sf_dir, "events").select("event_id", F.expr(MIXED.format(text="STRING")).alias("doc"))
+    return m.flatten_document(mixed, "doc")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import millrace as m
+from millrace.storage import scratch_path
 from registry import query
 from registry.inputs import table
 
@@ -124,3 +125,29 @@ def recon_suite_two_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     orders = (*sides(spark, sf_dir), [m.row_count(0.05), m.aggregate("o_totalprice")])
     return _rounded(m.reconciliation_reports([orders, (customers, customers.where("c_acctbal >= 0"), [m.row_count()])]))
+
+
+#: What went wrong on the way to the target: some lines lost, some with another price, some twice.
+LOST, DEAR, TWICE = "l_orderkey % 997 = 5", "l_orderkey % 991 = 7", "l_orderkey % 983 = 11"
+LINES = "l_orderkey, l_linenumber, l_partkey, l_extendedprice"
+COPY_SQL = f"""
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN {DEAR} THEN l_extendedprice + 1 ELSE l_extendedprice END AS l_extendedprice
+FROM {{lines}} WHERE NOT ({LOST})
+UNION ALL SELECT {LINES} FROM {{lines}} WHERE {TWICE}
+UNION ALL SELECT -l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM {{lines}} WHERE {TWICE}"""
+
+
+@query(f"""
+WITH s AS (SELECT l_orderkey, l_linenumber, count(*) AS n, list_sort(list((l_partkey, l_extendedprice))) AS held FROM lineitem GROUP BY ALL),
+t AS (SELECT l_orderkey, l_linenumber, count(*) AS n, list_sort(list((l_partkey, l_extendedprice))) AS held FROM ({COPY_SQL.format(lines="lineitem")}) GROUP BY ALL)
+SELECT CASE WHEN t.n IS NULL THEN 'missing' WHEN s.n IS NULL THEN 'extra' ELSE 'changed' END AS difference,
+       coalesce(s.l_orderkey, t.l_orderkey) AS l_orderkey, coalesce(s.l_linenumber, t.l_linenumber) AS l_linenumber,
+       coalesce(s.n, 0) AS source_rows, coalesce(t.n, 0) AS target_rows
+FROM s FULL JOIN t ON s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber WHERE s.held IS DISTINCT FROM t.held""")
+def recon_drill_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of every line that differs, from digest tables of both sides."""
+    lines, place = table(spark, sf_dir, "lineitem").select(*LINES.split(", ")), scratch_path(spark, "digests")
+    keys = ["l_orderkey", "l_linenumber"]
+    m.write_digests(lines, f"{place}/source", keys, bits=6)
+    m.write_digests(m.run_sql(lines, COPY_SQL.format(lines="src")), f"{place}/target", keys, bits=6)
+    return m.find_differences(spark, f"{place}/source", f"{place}/target", f"{place}/unequal")

@@ -1,0 +1,64 @@
+"""Documents of unknown and mixed keys, against what is known of each."""
+
+import pytest
+from pyspark.sql import types as T
+
+import millrace as m
+from millrace.operators.documents import document_schema, flatten_document
+
+ROWS = [
+    (1, '{"k": 1, "a b": 2.5, "deep": {"x": 1, "tags": ["p", "q"]}}'),
+    (2, '{"k": "text", "deep": {"x": 1.5}, "on": true}'),
+    (3, "no json"),
+    (4, None),
+    (5, "[1, 2]"),
+    (6, '{"k": {"n": 1}, "none": null, "big": 123456789012345678901234567890}'),
+    (7, "{}"),
+]
+
+
+def test_json_of_mixed_types(spark):
+    df = spark.createDataFrame(ROWS, "id int, doc string").repartition(3)
+    found = flatten_document(df, "doc")
+    assert {f.name: f.dataType.simpleString() for f in found.schema} == {
+        "id": "int", "doc_a b": "double", "doc_big": "decimal(30,0)", "doc_deep_tags": "array<string>", "doc_deep_x": "double",
+        "doc_k": "string", "doc_none": "string", "doc_on": "boolean"}
+    rows = {r.id: r.asDict() for r in found.collect()}
+    assert [rows[i]["doc_k"] for i in range(1, 8)] == ["1", "text", None, None, None, '{"n":1}', None]
+    assert [rows[i]["doc_deep_x"] for i in (1, 2)] == [1.0, 1.5] and rows[1]["doc_deep_tags"] == ["p", "q"]
+    assert rows[6]["doc_big"] == 123456789012345678901234567890 and rows[2]["doc_on"] is True
+
+
+def test_maps_structs_and_names(spark):
+    df = spark.sql("SELECT 1 AS id, map('a', 1, 'b', 2) AS m, named_struct('p', named_struct('q', 'z')) AS s UNION ALL SELECT 2, map('c', 3), NULL")
+    found = flatten_document(flatten_document(df, "m", prefix=""), "S", separator=".").orderBy("id")
+    assert found.columns == ["id", "a", "b", "c", "s.p.q"]
+    assert [tuple(r) for r in found.collect()] == [(1, 1, 2, None, "z"), (2, None, None, 3, None)]
+    assert "m" in flatten_document(df, "m", keep=True).columns
+
+
+def test_awkward_keys(spark):
+    df = spark.createDataFrame([('{"`": 1, "a.b": 2, "VARIANT": 3, "it\'s": 4, "": 5}',)], "doc string")
+    (row,) = flatten_document(df, "doc").collect()
+    assert sorted(row.asDict().items()) == [("doc_", 5), ("doc_VARIANT", 3), ("doc_`", 1), ("doc_a.b", 2), ("doc_it's", 4)]
+
+
+def test_nothing_to_flatten_and_refusals(spark):
+    df = spark.createDataFrame(ROWS, "id int, doc string")
+    assert flatten_document(df.where("id IN (3, 4, 5, 7)"), "doc").columns == ["id"]
+    assert flatten_document(df.limit(0), "doc").columns == ["id"] and document_schema(df.limit(0), "doc") == T.StructType()
+    with pytest.raises(ValueError, match="holds no documents"):
+        flatten_document(df, "id")
+    with pytest.raises(ValueError, match="different leaves"):
+        flatten_document(df, "doc", most=3)
+    with pytest.raises(ValueError, match="several columns"):
+        flatten_document(df.withColumnRenamed("id", "DOC_K"), "doc")
+    with pytest.raises(ValueError, match="among the columns"):
+        flatten_document(df, "other")
+
+
+def test_no_python_and_one_narrow_scan(spark, tmp_path):
+    spark.createDataFrame(ROWS, "id int, doc string").write.parquet(str(tmp_path / "d"))
+    found = m.flatten_document(spark.read.parquet(str(tmp_path / "d")), "doc").select("doc_k")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan and "ReadSchema: struct<doc:string>" in plan
