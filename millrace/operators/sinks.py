@@ -15,6 +15,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import islice
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +32,7 @@ from millrace.storage import (
     partition_columns,
     path_exists,
     remove_paths,
+    rename_copies,
     replace_directory,
     scratch_path,
 )
@@ -42,6 +44,8 @@ WRITE_MODES = ("append", "overwrite", "merge")
 
 _VERSION = "__version_"
 _AT_ONCE = 500
+#: Fixed value: the directory of rows without a value in a partition column.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -130,10 +134,19 @@ def write_run_date(df: DataFrame, zone: str, run_date: str, format: str = "parqu
     Other dates stay as they are, so a run can be repeated, also with nothing to
     write; one that fails leaves the date as it was. The partition's directory is
     written directly: ``partitionBy`` would sort every task's rows by a constant
-    first.
+    first. Where moving a directory copies it, Spark's committer puts the files in
+    place instead (dynamic partition overwrite).
     """
-    place = f"{zone.rstrip('/')}/run_date={iso_day(run_date)}"
+    spark, place = df.sparkSession, f"{zone.rstrip('/')}/run_date={iso_day(run_date)}"
     counted, seen = count_rows(df.drop("run_date"), f"zone {place}")
+    if rename_copies(spark, zone):
+        dated = counted.withColumn("run_date", F.lit(iso_day(run_date)))
+        writer = dated.write.format(format).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("run_date").save(zone)
+        rows = seen.get.get("rows", 0)
+        if not rows:  # nothing to commit replaces nothing
+            df.drop("run_date").limit(0).write.format(format).mode("overwrite").save(place)
+        return rows
     new = beside(place, "new")
     counted.write.format(format).save(new)
     replace_directory(df.sparkSession, new, place)
@@ -219,15 +232,34 @@ def _append(df: DataFrame, target: str, partition_by: Sequence[str], format: str
     if not is_path(target):
         _insert(df, target)
         return
-    writer = df.write.format(format).mode("append")
+    writer = _fitting(df, target, format).write.format(format).mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
 
 
+def _fitting(df: DataFrame, path: str, format: str) -> DataFrame:
+    """The frame in the columns and types of a dataset: the same names, safely widened types, or an error.
+
+    What does not fit is not written, since files that disagree make the whole dataset unreadable.
+    """
+    current = _read_path(df.sparkSession, path, format)
+    own, given = Columns(current), Columns(df)
+    unknown, lacking = [c for c in given.names if own.find(c) is None], [c for c in own.names if given.find(c) is None]
+    if unknown or lacking:
+        raise ValueError(f"{path} was not appended to: it lacks the columns {unknown}, and the frame lacks {lacking}")
+    try:
+        return df.to(current.schema)
+    except AnalysisException as error:
+        raise ValueError(f"{path} was not appended to: {error}") from error
+
+
 def _overwrite_path(df: DataFrame, path: str, partition_by: Sequence[str], format: str) -> None:
-    new = beside(path, "new")
+    spark, new = df.sparkSession, beside(path, "new")
     writer = df.write.format(format)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(new)
-    replace_directory(df.sparkSession, new, path)
+    if partition_by and not partition_columns(spark, new):  # no rows: an empty file keeps layout and schema
+        place = "/".join(f"{c}={_NO_VALUE}" for c in partition_by)
+        df.drop(*partition_by).limit(0).write.format(format).save(f"{new}/{place}")
+    replace_directory(spark, new, path)
 
 
 def _insert(df: DataFrame, table: str, overwrite: bool = False) -> None:
@@ -330,7 +362,7 @@ def _merge(
     # The only pass over all the target's keys; everything below knows from here what is hit.
     partition_by = Columns(current).require(partition_by)
     place = scratch_path(spark, f"{_label(target)}_etl_hits")
-    hits = matched_keys(current, df, keys, partition_by)
+    hits = matched_keys(_within_reach(current, df, keys, partition_by, target), df, keys, partition_by)
     hits.write.parquet(place)
     hits = spark.read.schema(hits.schema).parquet(place)
     found = hits.select(*map(quoted, keys)).distinct()
@@ -354,6 +386,15 @@ def _merge(
     return _merge_result(target, counts, stage)
 
 
+def _within_reach(current: DataFrame, df: DataFrame, keys: Sequence[str], partition_by: Sequence[str], target: str) -> DataFrame:
+    """The target's rows in which a key of the batch can be: where partition columns are keys, only its own partitions are read."""
+    shared = [c for c in partition_by if c in keys]
+    if not shared:
+        return current
+    tuples = partition_tuples(df.select(*map(quoted, shared)).dropna())
+    return in_partitions(current, _kept(tuples, f"{_label(target)}_etl_reach"))
+
+
 def _count_actions(merged: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     seen = Observation(name)
     return merged.observe(seen, *[F.expr(f"count_if({ACTION} = '{a}') AS {a}") for a in MERGE_ACTIONS]), seen

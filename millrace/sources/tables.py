@@ -7,9 +7,9 @@ from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, NullType, StructField, StructType
 
-from millrace.functions.names import is_path, qualified_name
+from millrace.functions.names import is_path, qualified_name, quoted
 
 
 def read_run_date(
@@ -48,7 +48,9 @@ def read_target(
     if schema is not None:
         return spark.read.format(format).schema(schema).load(target)
     with partition_values_as_text(spark):
-        return spark.read.format(format).load(target)
+        found = spark.read.format(format).load(target)
+    untyped = [f.name for f in found.schema if isinstance(f.dataType, NullType)]  # no partition has a value
+    return found.withColumns({c: found[quoted(c)].cast("string") for c in untyped}) if untyped else found
 
 
 @contextmanager

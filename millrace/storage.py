@@ -6,13 +6,18 @@ Spark can read and write.
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 _SCRATCH = "_millrace_scratch"
+#: Schemes of stores that rename a directory by copying what is in it.
+COPYING_SCHEMES = ("s3", "s3a", "s3n", "gs", "wasb", "wasbs", "oss", "cosn", "obs", "swift")
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -58,8 +63,19 @@ def beside(path: str, label: str) -> str:
     return f"{path.rstrip('/').rpartition('/')[0]}/.{label}-{uuid.uuid4().hex}"
 
 
+def rename_copies(spark: SparkSession, path: str) -> bool:
+    """Whether the path's store renames a directory file by file, by copying."""
+    return _files(spark, _path(spark, path)).getUri().getScheme() in COPYING_SCHEMES
+
+
 def replace_directory(spark: SparkSession, new: str, path: str) -> None:
-    """Put the directory ``new`` in the place of ``path``, which is removed only after that."""
+    """Put the directory ``new`` in the place of ``path``, which is removed only after that.
+
+    One step on file systems that have a rename. On object stores it copies, and readers
+    may find nothing in between; tables, partitioned paths and run dates do without.
+    """
+    if rename_copies(spark, path):
+        log.warning("%s is on a store without a rename of its own: its files are copied, and readers may miss them meanwhile", path)
     source, target, old = (_path(spark, p) for p in (new, path, beside(path, "old")))
     files = _files(spark, target)
     replaced = files.exists(target)

@@ -63,6 +63,20 @@ def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_days(m.read_target(spark, target))
 
 
+@query(f"SELECT {DAY_SQL} FROM orders")
+def load_append_after_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty overwrite leaves layout and schema, so what is appended is partitioned as before."""
+    target = scratch_path(spark, "orders_emptied")
+    orders = table(spark, sf_dir, "orders").select(*COLUMNS.split(", "))
+    m.write_table(orders, target, "overwrite", partition_by=["o_orderstatus"])
+    m.write_table(orders.limit(0), target, "overwrite")
+    m.write_table(orders, target, "append", cluster_by=["o_custkey"])
+    found = m.read_target(spark, target)
+    if not found.where("_metadata.file_path NOT LIKE '%/o_orderstatus=%'").isEmpty():
+        raise RuntimeError(f"{target} lost its layout")
+    return _with_days(found)
+
+
 @query(f"SELECT {DAY_SQL} FROM orders")
 def load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "orders_overwrite")

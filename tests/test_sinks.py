@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import millrace as m
+from millrace import storage
 from millrace.functions.names import qualified_name
+from millrace.operators import sinks
 from millrace.operators.merge import ACTION, repeated_key
 from millrace.operators.sinks import lay_out, publish_stage
 
@@ -36,6 +38,71 @@ def files(path):
 # ---- append and overwrite -------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("wrong", ["k int, v int, w int, p string", "k int, v string, w int, p string, extra int", "k int, v string, w int", "k string, v string, w int, p string"])
+def test_append_refuses_other_columns_and_types(spark, tmp_path, wrong):
+    target = str(tmp_path / "target")
+    m.write_table(frame(spark, (1, "a", 1, "x")), target)
+    kinds = {"int": 5, "string": "s"}
+    row = tuple(kinds[c.split()[1]] for c in wrong.split(", "))
+    other = frame(spark, row, schema=wrong)
+    if wrong.startswith("k int, v int"):
+        m.write_table(other, target)  # a number is safely widened to text
+        assert content(spark, target) == [(1, "a", 1, "x"), (5, "5", 5, "s")]
+        return
+    with pytest.raises(ValueError, match="not appended"):
+        m.write_table(other, target)
+    assert content(spark, target) == [(1, "a", 1, "x")]
+
+
+def test_append_widens_and_reorders(spark, tmp_path):
+    target = str(tmp_path / "target")
+    m.write_table(frame(spark, (1, 1.0), schema="k long, v double"), target)
+    m.write_table(frame(spark, (2.5, 2), schema="V float, K int"), target)
+    assert content(spark, target, "k", "v") == [(1, 1.0), (2, 2.5)]
+
+
+def test_an_empty_overwrite_keeps_layout_and_schema(spark, tmp_path):
+    target = str(tmp_path / "target")
+    m.write_table(frame(spark, (1, "a", 1, "x")), target, "overwrite", partition_by=["p", "w"])
+    m.write_table(frame(spark, (1, "a", 1, "x")).limit(0), target, "overwrite", partition_by=["p", "w"])
+    assert content(spark, target) == []
+    assert m.read_target(spark, target).schema["k"].dataType.simpleString() == "int"
+    m.write_table(frame(spark, (2, "b", 2, "y")), target, "append")
+    assert (Path(target) / "p=y" / "w=2").is_dir() and content(spark, target, "k", "v") == [(2, "b")]
+    with pytest.raises(ValueError, match="not appended"):
+        m.write_table(frame(spark, ("z", "b", 2, "y"), schema="k string, v string, w int, p string"), target)
+
+
+def test_a_key_that_is_a_partition_column_prunes_the_key_pass(spark, tmp_path, monkeypatch):
+    target, seen = str(tmp_path / "target"), []
+    rows = [(i, "a", i, f"p{i % 5}") for i in range(50)]
+    m.write_table(frame(spark, *rows), target, "overwrite", partition_by=["p"])
+    found = sinks.matched_keys
+
+    def watch(current, df, keys, partitions):
+        seen.append(current._jdf.queryExecution().executedPlan().toString())
+        return found(current, df, keys, partitions)
+
+    monkeypatch.setattr(sinks, "matched_keys", watch)
+    done = m.write_table(frame(spark, (1, "b", 1, "p1"), (60, "c", 60, "p2"), (7, "n", 7, None)), target, "merge", keys=["p", "k"])
+    assert "dynamicpruning" in seen[0] and (done.updated, done.inserted) == (1, 2)
+    want = sorted([(i, "b" if i == 1 else "a", i, p) for i, _, _, p in rows] + [(60, "c", 60, "p2"), (7, "n", 7, None)], key=repr)
+    assert content(spark, target) == want
+
+
+def test_run_dates_without_a_rename(spark, tmp_path, monkeypatch):
+    """A store that copies on rename, as which the local one is passed off here."""
+    monkeypatch.setattr(storage, "COPYING_SCHEMES", ("file",))
+    zone = str(tmp_path / "zone")
+    assert m.write_run_date(frame(spark, (1, "a", 1, "x")), zone, "2024-01-01") == 1
+    assert m.write_run_date(frame(spark, (2, "b", 1, "x"), (3, "c", 1, "x")), zone, "2024-01-02") == 2
+    assert m.write_run_date(frame(spark, (4, "d", 1, "x")), zone, "2024-01-02") == 1
+    assert [r.k for r in m.read_run_date(spark, zone, "2024-01-02").collect()] == [4]
+    assert m.write_run_date(frame(spark, (4, "d", 1, "x")).limit(0), zone, "2024-01-02") == 0
+    assert m.read_run_date(spark, zone, "2024-01-02").collect() == []
+    assert [r.k for r in m.read_run_date(spark, zone, "2024-01-01").collect()] == [1]
+
+
 def test_append_and_overwrite(spark, target):
     a, b = frame(spark, (1, "a", 1, "x")), frame(spark, (2, "b", 2, "y"))
     assert m.write_table(a, target, "overwrite").rows == 1
