@@ -22,7 +22,8 @@ from millrace.operators.merge import merge_frames
 from millrace.operators.observe import count_rows
 from millrace.operators.ordered import number_rows, running_totals, tiles
 from millrace.operators.recipe import Recipe
-from millrace.operators.sinks import LoadResult, publish_stage, remove_old_versions, write_run_date, write_table
+from millrace.operators.rejects import find_problems, read_good, read_rejects, write_split
+from millrace.operators.sinks import LoadResult, lay_out_by_curve, publish_stage, remove_old_versions, write_run_date, write_table
 from millrace.operators.sql import (
     count_sql_steps,
     run_sql,
@@ -31,6 +32,7 @@ from millrace.operators.sql import (
     transform_sql,
 )
 from millrace.plans.differences import find_differences, write_digests
+from millrace.plans.profiles import merge_profiles, profile, read_profiles
 from millrace.plans.quality import (
     QualityGateError,
     allowed_values,
@@ -77,20 +79,27 @@ __all__ = [
     "fill_nulls",
     "filter_rows",
     "find_differences",
+    "find_problems",
     "flatten_column",
     "flatten_document",
     "has_columns",
     "join_asof",
     "join_overlapping",
+    "lay_out_by_curve",
     "merge_frames",
+    "merge_profiles",
     "no_nulls",
     "not_empty",
     "number_rows",
+    "profile",
     "publish_stage",
     "quality_report",
     "quality_reports",
     "read_files",
+    "read_good",
     "read_jdbc",
+    "read_profiles",
+    "read_rejects",
     "read_run_date",
     "read_target",
     "reconciliation_report",
@@ -108,5 +117,6 @@ __all__ = [
     "value_range",
     "write_digests",
     "write_run_date",
+    "write_split",
     "write_table",
 ]

@@ -33,6 +33,6 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[QueryFun
 
 
 def load_all() -> dict[str, Query]:
-    from registry import columns, dedup, ordered, quality, reconcile, runs, scans, sinks, sql, streams  # noqa: F401
+    from registry import columns, dedup, intake, ordered, quality, reconcile, runs, scans, sinks, sql, streams  # noqa: F401
 
     return QUERIES

@@ -102,6 +102,15 @@ def load_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_days(m.read_target(spark, target))
 
 
+@query(f"SELECT {DAY_SQL} FROM orders")
+def load_by_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that a filter on the customer skips as well as one on the price; tests read the footers."""
+    target = scratch_path(spark, "orders_curve")
+    orders = table(spark, sf_dir, "orders").select(*COLUMNS.split(", "))
+    m.write_table(m.lay_out_by_curve(orders, ["o_custkey", "o_totalprice"]), target, "overwrite")
+    return _with_days(m.read_target(spark, target))
+
+
 @query(MERGED_SQL)
 def load_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "orders_merge")
