@@ -272,6 +272,7 @@ def manifest(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     changed = leaf_hash(fields | {"text": lower_ascii("text")})
     tampered = F.when(fold_is("doc_id", 5, 0) & (lower_ascii("text") != F.col("text")), changed)
     hashed = raw.select("doc_id", F.col("source").alias("tree"), leaf.alias("digest"), tampered.alias("tampered"))
+    hashed = staged(hashed, "manifest-hashed")  # ranges are sampled and dealt without reading texts again
     placed = staged(number_rows(hashed, ["doc_id", "digest"], ["tree"], "place", "leaves"), "manifest-leaves")
     rounds, subroots = grow(placed, shape)
     named = staged(subroots.withColumnRenamed("tree", "source"), "manifest-subroots")
