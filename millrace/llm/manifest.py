@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import fold_is, ship, staged
 from millrace.operators.ordered import number_rows
 
-FANOUT, DEPTH = 16, 4
+FANOUT, DEPTH = 16, 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 #: Nodes: their tree and its number of leaves, their level and place in it.
