@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from millrace.llm import decontamination as D
 from millrace.llm.common import table
@@ -78,6 +79,53 @@ def test_leaks_against_brute_force(spark):
     assert not [d for d, _ in found if d < 1000]
 
 
+@pytest.mark.parametrize("foreign", [True, False])
+def test_stretched_items_against_brute_force(spark, foreign):
+    """0 to 5 other words after each word of an item, of its own vocabulary or of none, and a tenth of its words left out."""
+    rng, say, _, docs = world(8)
+    items = [(i, say(rng.choice((30, 60, 90)))) for i in range(20)]
+    other = (lambda: "zz" + say(1)) if foreign else (lambda: say(1))
+    for gaps in range(6):
+        for i, text in items:
+            stretched = " ".join(" ".join([w, *(other() for _ in range(gaps))]) for w in text.split() if rng.random() > 0.1)
+            docs.append((1000 * (gaps + 1) + i, f"{say(rng.randrange(200))} {stretched} {say(rng.randrange(200))}"))
+    found = {(r.doc_id, r.item_id) for r in D.find_leaks(*frames(spark, docs, items)).collect()}
+    whole = {(d, i): lcs(asked.split(), text.split()) / len(asked.split()) for d, text in docs if d >= 1000 for i, asked in items if d % 1000 == i}
+    want = {pair for pair, part in whole.items() if part >= 0.75}
+    for gaps in range(6):
+        mine = {p for p in want if p[0] // 1000 == gaps + 1}
+        assert len(mine) >= 18 and len(mine & found) >= 0.9 * len(mine)
+    assert not [p for p in found if p[0] < 1000]
+
+
+def test_words_have_numbers_of_their_own():
+    rows = [{"item_id": i, "text": " ".join(f"w{j}" for j in range(i * 50, i * 50 + 60)), "answer": None} for i in range(2000)]
+    items = D.Items(rows)
+    assert len(items.vocabulary) == 100_010 == items.other
+    assert len(np.unique(np.concatenate(items.words))) == 100_010
+
+
+def test_what_must_be_there(monkeypatch):
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        words, idf = rng.integers(0, 40, rng.integers(1, 30)), rng.random(D.SLOTS)
+        asked = D.Asked.of(words, words[-2:], idf, 0.75)
+        text = np.array([w for w in words if rng.random() < 0.85] + rng.integers(0, 60, 20).tolist())
+        if D.common_length(words, text) >= 0.75 * len(words):
+            assert np.isin(text, asked.rare).sum() >= asked.need
+    places = D.Places(np.array([3, 1, 2, 1, 2, 9, 1, 2, 3]), 9)
+    assert places.of(np.array([1, 3])).tolist() == [0, 1, 3, 6, 8] and places.of_sequence(np.array([1, 2])).tolist() == [1, 3, 6]
+    assert places.of_sequence(np.array([2, 3, 3])).tolist() == []
+
+
+def test_rows_without_id_are_judged(spark):
+    rng, say, items, docs = world(9)
+    text = f"{say(30)} {items[3][1]} {say(10)}"
+    docs = [(None, text), (7, text), (7, say(50)), (None, say(40)), (None, None)]
+    kept = D.drop_leaks(*frames(spark, docs, items)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id) == [docs[2]] and len(kept) == 3
+
+
 def test_an_answer_word_for_word_counts_with_half_of_the_rest(spark):
     rng, say, items, docs = world(6)
     item = "which of the seven wide rivers floods the plain before the harvest moon"
