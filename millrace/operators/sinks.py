@@ -45,6 +45,8 @@ WRITE_MODES = ("append", "overwrite", "merge")
 
 _VERSION = "__version_"
 _AT_ONCE = 500
+#: Kinds of keys whose ranges text can carry exactly.
+_RANGED = (T.IntegralType, T.DecimalType, T.StringType, T.DateType, T.TimestampNTZType)
 #: Fixed value: the directory of rows without a value in a partition column.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -405,12 +407,26 @@ def _merge(
 
 
 def _within_reach(current: DataFrame, df: DataFrame, keys: Sequence[str], partition_by: Sequence[str], target: str) -> DataFrame:
-    """The target's rows in which a key of the batch can be: where partition columns are keys, only its own partitions are read."""
+    """The target's rows in which a key of the batch can be, read through what prunes: its partitions and its ranges of keys.
+
+    Where partition columns are keys, only the batch's own partitions are read. Least and
+    greatest key reach the scan as filters, so files and row groups whose footers tell
+    that they lie outside are skipped: the narrower the batch and the better the target is clustered
+    by its keys, the less is read.
+    """
     shared = [c for c in partition_by if c in keys]
-    if not shared:
+    if shared:
+        tuples = partition_tuples(df.select(*map(quoted, shared)).dropna())
+        current = in_partitions(current, _kept(tuples, f"{_label(target)}_etl_reach"))
+    ranged = [c for c in keys if c not in shared and isinstance(current.schema[c].dataType, _RANGED)]
+    if not ranged:
         return current
-    tuples = partition_tuples(df.select(*map(quoted, shared)).dropna())
-    return in_partitions(current, _kept(tuples, f"{_label(target)}_etl_reach"))
+    ends = [F.expr(f"CAST({f}({quoted(c)}) AS STRING)") for c in ranged for f in ("min", "max")]
+    found = df.agg(*ends).first()
+    for i, c in enumerate(ranged):
+        low, high = (F.lit(v).cast(current.schema[c].dataType) for v in found[2 * i : 2 * i + 2])
+        current = current.where(F.col(quoted(c)).between(low, high))
+    return current
 
 
 def _count_actions(merged: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -90,6 +90,25 @@ def test_a_key_that_is_a_partition_column_prunes_the_key_pass(spark, tmp_path, m
     assert content(spark, target) == want
 
 
+def test_a_narrow_batch_reads_few_of_the_keys(spark, target, monkeypatch):
+    seen, found = [], sinks.matched_keys
+
+    def watch(current, df, keys, partitions):
+        hits = found(current, df, keys, partitions)
+        seen.append((hits._jdf.queryExecution().executedPlan().toString(), current.count()))
+        return hits
+
+    monkeypatch.setattr(sinks, "matched_keys", watch)
+    rows = [(i, "a", i, f"p{i % 3}") for i in range(300)]
+    m.write_table(frame(spark, *rows), target, "overwrite", cluster_by=["k"])
+    done = m.write_table(frame(spark, (40, "b", 1, "p1"), (45, "c", 2, "p0"), (None, "n", 3, "p0")), target, "merge", keys=["k", "p"])
+    plan, read = seen[0]
+    assert "GreaterThanOrEqual(k,40)" in plan and "LessThanOrEqual(k,45)" in plan and read == 4
+    assert (done.updated, done.inserted, done.kept) == (2, 1, 298)
+    empty = m.write_table(frame(spark, (1, "a", 1, "x")).limit(0), target, "merge", keys=["k"])
+    assert (empty.updated, empty.inserted, empty.kept) == (0, 0, 301)
+
+
 def test_run_dates_without_a_rename(spark, tmp_path, monkeypatch):
     """A store that copies on rename, as which the local one is passed off here."""
     monkeypatch.setattr(storage, "COPYING_SCHEMES", ("file",))
