@@ -136,8 +136,8 @@ def similarity(a: bytes, b: bytes) -> float:
 
 
 def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, n_copies, n_links): the smallest id of the class, the exact copies of the row's
-    text, and how many verified links the text's representative has; a row for each document."""
+    """(doc_id, class_id, n_copies): the smallest id of the class and the exact copies of the row's text;
+    a row for each document."""
     ship(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
     # Ids pass through pandas as text, since a null among integers would turn them into doubles there.
@@ -168,14 +168,12 @@ def near_classes(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: f
         if not more.isEmpty():
             links = links.union(more)
             labels = _labels(nodes, links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    of_rep = reps.select("digest", F.col("rep").alias("node"), "n_copies").join(labels, "node", "left").join(degree, "node", "left")
-    of_text = of_rep.select("digest", F.coalesce("label", "node").alias("class_id"), "n_copies", "n_links")
+    of_rep = reps.select("digest", F.col("rep").alias("node"), "n_copies").join(labels, "node", "left")
+    of_text = of_rep.select("digest", F.coalesce("label", "node").alias("class_id"), "n_copies")
     return signed.select("doc_id", "digest").join(of_text, "digest", "left").select(
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("n_copies", F.lit(1).cast("long")).alias("n_copies"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )
 
 
