@@ -3,6 +3,13 @@
 Every stage takes (spark, docs, sf_dir) and returns a frame, which is written as
 Parquet and read again as the next one's docs. All but the last return the columns of
 ``documents``.
+
+Defined results, which every stage keeps: a table without rows gives none. Null and empty texts
+are scored like others by the first stage, are nobody's near copies, hold no leak and no
+secret, and are packed as documents of one token. Rows without an id are scored, judged for leaks,
+masked and packed; only as near copies they are not compared, so each stays. Of exact
+copies one row stays; equal rows of one id are copies. Further columns pass through all
+but the last stage.
 """
 
 from __future__ import annotations
