@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.ordered import deal_by_range
 
+
 class _Grid(NamedTuple):
     """What was measured: the least and greatest finite bound, and the levels of either side."""
 

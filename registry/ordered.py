@@ -111,7 +111,10 @@ def running_sum_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.number_rows(summed, ["ts", "event_id"], ["k"]).drop("ts", "cents")
 
 
-@query("SELECT l_orderkey, l_partkey, l_quantity, ntile(100) OVER (ORDER BY l_extendedprice, l_orderkey, l_partkey, l_linenumber, l_suppkey, l_quantity) AS tile FROM lineitem")
+@query("""
+SELECT l_orderkey, l_partkey, l_quantity,
+       ntile(100) OVER (ORDER BY l_extendedprice, l_orderkey, l_partkey, l_linenumber, l_suppkey, l_quantity) AS tile
+FROM lineitem""")
 def global_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hundredths of all lines by price."""
     by = ["l_extendedprice", "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_quantity"]

@@ -26,7 +26,10 @@ def skipped(path, column, low, high):
 @pytest.fixture
 def frame(spark):
     return spark.range(20_000).select(
-        F.col("id"), (F.hash("id") % 1000).alias("a"), F.exp((F.xxhash64("id") % 1000) / 300).alias("b"), F.concat(F.lit("k"), F.lpad(F.pmod(F.hash(F.col("id") + 7), F.lit(500)), 3, "0")).alias("t")
+        F.col("id"),
+        (F.hash("id") % 1000).alias("a"),
+        F.exp((F.xxhash64("id") % 1000) / 300).alias("b"),
+        F.concat(F.lit("k"), F.lpad(F.pmod(F.hash(F.col("id") + 7), F.lit(500)), 3, "0")).alias("t"),
     )
 
 

@@ -38,7 +38,15 @@ def files(path):
 # ---- append and overwrite -------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("wrong", ["k int, v int, w int, p string", "k int, v string, w int, p string, extra int", "k int, v string, w int", "k string, v string, w int, p string"])
+@pytest.mark.parametrize(
+    "wrong",
+    [
+        "k int, v int, w int, p string",
+        "k int, v string, w int, p string, extra int",
+        "k int, v string, w int",
+        "k string, v string, w int, p string",
+    ],
+)
 def test_append_refuses_other_columns_and_types(spark, tmp_path, wrong):
     target = str(tmp_path / "target")
     m.write_table(frame(spark, (1, "a", 1, "x")), target)
