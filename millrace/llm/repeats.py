@@ -14,7 +14,8 @@ a run of windows, whose bytes are its span.
 2. Their bytes are fetched and grouped by gram: the suffixes that start at the anchor
    are sorted, their common prefixes scanned with a stack into intervals, and each
    interval's left sides in the same way; an interval whose left sides or right sides
-   differ is a maximal repeat. ``repeat_groups`` returns these with all occurrences.
+   differ is a maximal repeat. (``repeat_groups`` follows repeats beyond the spans, and
+   returns whole ones with all their occurrences.)
 3. Grams with more than ``LIMIT`` spans would be too much for one group. Two spans that share
    a window agree in at least half of its bytes beside the gram on the left or on the right,
    so their spans are dealt by either half; groups that are still too large by half of
@@ -52,6 +53,7 @@ _ENTRY = np.dtype(
 )
 _FATE = "doc_id long, h long, gram long, first int, last int, place int, fate int"
 _BASE = 0xA24BAED4963EE407
+_SPAN = ("doc_id", "h", "start", "stop")
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _PLACES = 20
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -274,41 +276,31 @@ def maximal_repeats(lefts: Sequence[bytes], rights: Sequence[bytes], length: int
             yield left, right, members[c:d]
 
 
-def _grow(out: str):
-    """Maximal repeats of each gram, rows of which come one after the other: as groups, or as spans to remove."""
+def _grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Spans to remove by the maximal repeats of each gram, rows of which come one after the other."""
+    held, at, rows = [], None, []
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, at, rows = [], None, []
-
-        def found() -> None:
-            widest: dict[int, tuple[int, int]] = {}
-            held.sort(key=lambda r: (r.doc_id, r.h, r.first))
-            lefts = [r.bytes[: r.place - r.first][::-1] for r in held]
-            rights = [r.bytes[r.place - r.first :] for r in held]
-            for left, right, members in maximal_repeats(lefts, rights):
-                members = sorted(members)
-                if out == "groups":
-                    places = [(held[i].doc_id, held[i].h, held[i].place - left) for i in members]
-                    rows.append((at, left + right, [p[0] for p in places], [p[1] for p in places], [p[2] for p in places]))
-                    continue
-                for i in members[1:]:  # all spans of an anchor overlap in it, so the widest sides say all
-                    before, after = widest.get(i, (0, 0))
-                    widest[i] = max(before, left), max(after, right)
-            rows.extend((held[i].doc_id, held[i].h, held[i].place - a, held[i].place + b) for i, (a, b) in widest.items())
-
-        names = ("gram", "length", "doc_ids", "hs", "starts") if out == "groups" else ("doc_id", "h", "start", "stop")
-        for batch in batches:
-            for r in batch.itertuples(index=False):
-                if r.gram != at:
-                    found()
-                    held, at = [], r.gram
-                held.append(r)
-            yield pd.DataFrame(rows, columns=names)
-            rows.clear()
-        found()
-        yield pd.DataFrame(rows, columns=names)
+    def found() -> None:
+        widest: dict[int, tuple[int, int]] = {}
+        held.sort(key=lambda r: (r.doc_id, r.h, r.first))
+        lefts = [r.bytes[: r.place - r.first][::-1] for r in held]
+        rights = [r.bytes[r.place - r.first :] for r in held]
+        for left, right, members in maximal_repeats(lefts, rights):
+            for i in sorted(members)[1:]:  # all spans of an anchor overlap in it, so the widest sides say all
+                before, after = widest.get(i, (0, 0))
+                widest[i] = max(before, left), max(after, right)
+        rows.extend((held[i].doc_id, held[i].h, held[i].place - a, held[i].place + b) for i, (a, b) in widest.items())
 
-    return run
+    for batch in batches:
+        for r in batch.itertuples(index=False):
+            if r.gram != at:
+                found()
+                held, at = [], r.gram
+            held.append(r)
+        yield pd.DataFrame(rows, columns=_SPAN)
+        rows.clear()
+    found()
+    yield pd.DataFrame(rows, columns=_SPAN)
 
 
 def _fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -411,22 +403,13 @@ def _by_gram(trees: DataFrame) -> DataFrame:
     return trees.repartition(_spread(trees), "gram").sortWithinPartitions("gram")
 
 
-def repeat_groups(docs: DataFrame, limit: int = LIMIT, sent: int = SENT) -> DataFrame:
-    """(gram, length, doc_ids, hs, starts): maximal repeats around anchors whose spans differ, with all occurrences
-    of theirs; occurrences with equal spans are represented by the first."""
-    keyed = _keyed(docs)
-    spans = _spans_with_bytes(keyed, _fate(keyed, limit, sent))
-    trees, _ = _trees(spans, limit)
-    return _by_gram(trees).mapInPandas(_grow("groups"), "gram long, length int, doc_ids array<long>, hs array<long>, starts array<int>")
-
-
 def removed_spans(keyed: DataFrame, limit: int, sent: int, held: int) -> DataFrame:
     """(doc_id, h, start, stop) of the bytes to remove; spans may overlap."""
     fates = _fate(keyed, limit, sent, held)
     span = (F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
     settled = fates.where(F.col("fate") == _SETTLED).select("doc_id", "h", *span)
     trees, more = _trees(_spans_with_bytes(keyed, fates), limit)
-    grown = _by_gram(trees).mapInPandas(_grow("spans"), "doc_id long, h long, start int, stop int")
+    grown = _by_gram(trees).mapInPandas(_grow, "doc_id long, h long, start int, stop int")
     return settled.union(grown).union(more)
 
 

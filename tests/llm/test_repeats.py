@@ -97,17 +97,6 @@ def test_maximal_repeats_have_all_occurrences():
     assert all(left + right >= 8 for left, right, _ in found)
 
 
-def test_groups_are_reported_with_all_occurrences(spark):
-    rng = random.Random(8)
-    a, b, c = ("".join(rng.choice("abcdefgh") for _ in range(n)) for n in (150, 80, 80))
-    rows = [(1, b + a + c), (2, c + a + b), (3, a)]
-    groups = R.repeat_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert any(set(g.doc_ids) == {1, 2, 3} and g.length >= 100 for g in groups)
-    texts = dict(rows)
-    for g in groups:
-        assert len({texts[i].encode()[s : s + g.length] for i, s in zip(g.doc_ids, g.starts)}) == 1
-
-
 def test_awkward_documents(awkward, no_documents):
     rows = R.remove_repeats(awkward)
     assert rows.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
