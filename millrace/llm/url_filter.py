@@ -114,7 +114,10 @@ def score_urls(urls: DataFrame, labelled: DataFrame, order: int = 4) -> DataFram
         .agg(F.count_if("accepted").alias("yes"), F.count_if(~F.col("accepted")).alias("no")),
         "grams",
     )
-    positions = _grams(urls.select("url").where("url IS NOT NULL").distinct(), order)
+    # staged and dealt by rows: AQE would put all URLs into one task by their bytes, which are few before the explode
+    distinct = staged(urls.select("url").where("url IS NOT NULL").distinct(), "urls")
+    parts = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    positions = _grams(distinct.repartition(parts, "url"), order)
     ratios = _smoothed(counts, staged(positions.select("gram").distinct(), "needed"), order)
     return staged(positions.join(ratios, "gram").groupBy("url").agg(F.avg("ratio").alias("score")), "scores")
 
