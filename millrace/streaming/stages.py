@@ -1,9 +1,12 @@
 """Stages that a key goes through, each left by the next one or by a time-out: keyed state with timers.
 
 Events of a key wait in a list until the watermark has passed them, so that they are taken
-in the order of their times however they arrive. A timer at the event's time brings
-the key back then; the stage it is in is a value of the state, with a timer at its
-time-out. A key whose last stage has timed out has no state left.
+in the order of their times however they arrive. A timer at the first waiting event's time
+brings the key back then, for all that the watermark has passed, and the next timer is
+for what is left; the stage the key is in is a value of the state, with a timer at its
+time-out. The list holds an array for each Arrow batch of a key's events. So the calls to
+the state are a few for each batch that a key is in, however many events it has. A key
+whose last stage has timed out has no state left.
 
 The processor runs in Python workers (``transformWithStateInPandas``), which Spark needs
 for state of one's own; :func:`stages_in_batch` gives the same rows of a finished input with
@@ -27,6 +30,8 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: What becomes of a stage. Times are microseconds inside the processor.
 MOVED, TIMED_OUT = "moved", "timed out"
+#: Waiting events put back in one array at most.
+PACK = 10_000
 _RESULT = "key string, stage string, entered long, left long, outcome string"
 
 
@@ -36,24 +41,30 @@ class StageProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at bigint, stage string")
+        self.waiting = handle.getListState("waiting", "at array<bigint>, stage array<string>")
         self.current = handle.getValueState("current", "stage string, entered bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        for batch in rows:
-            for at, stage in zip(batch["at"].tolist(), batch["stage"].tolist(), strict=True):
-                if key[0] is not None and stage is not None:
-                    self.waiting.appendValue((at, stage))
-                    self.handle.registerTimer(_milliseconds(at))
-        yield pd.DataFrame([], columns=["key", "stage", "entered", "left", "outcome"])
+        first = None
+        for batch in rows if key[0] is not None else ():
+            found = [(at, stage) for at, stage in zip(batch["at"].tolist(), batch["stage"].tolist(), strict=True) if stage is not None]
+            if found:
+                self.waiting.appendValue(_packed(found))
+                first = min(found)[0] if first is None else min(first, min(found)[0])
+        if first is not None:
+            self.handle.registerTimer(_milliseconds(first))
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
         mark = timerValues.getCurrentWatermarkInMs()
         due, later = [], []
-        for at, stage in self.waiting.get():
-            (due if _milliseconds(at) <= mark else later).append((at, stage))
+        for packed in self.waiting.get():
+            for at, stage in zip(*packed, strict=True):
+                (due if _milliseconds(at) <= mark else later).append((at, stage))
         if due:
-            self.waiting.put(later) if later else self.waiting.clear()
+            self.waiting.put([_packed(later[i : i + PACK]) for i in range(0, len(later), PACK)]) if later else self.waiting.clear()
+        if later:
+            self.handle.registerTimer(_milliseconds(min(later)[0]))
         rows = []
         current = self.current.get() if self.current.exists() else None
         for at, stage in sorted(due):
@@ -68,7 +79,8 @@ class StageProcessor(StatefulProcessor):
             self.handle.registerTimer(_milliseconds(current[1] + self.timeout))
         elif self.current.exists():
             self.current.clear()
-        yield pd.DataFrame(rows, columns=["key", "stage", "entered", "left", "outcome"])
+        if rows:
+            yield pd.DataFrame(rows, columns=["key", "stage", "entered", "left", "outcome"])
 
     def close(self) -> None:
         pass
@@ -80,6 +92,10 @@ class StageProcessor(StatefulProcessor):
         return stage, entered, entered + self.timeout, TIMED_OUT
 
 
+def _packed(events: list[tuple]) -> tuple[list, list]:
+    return [at for at, _ in events], [stage for _, stage in events]
+
+
 def _milliseconds(at: int) -> int:
     """The first millisecond not before a time, so that a timer never comes early."""
     return -(-at // 1000)

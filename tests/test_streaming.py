@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,3 +171,63 @@ def test_stages_as_in_batch(spark, tmp_path):
     want = stages.stages_in_batch(spark.createDataFrame(first + then, EVENT), "k", "v", "at", 300)
     key = lambda r: tuple(map(str, r))
     assert sorted(map(key, found.select(*want.columns).collect())) == sorted(map(key, want.collect()))
+
+
+class _State:
+    """A list or value state, and the calls made to it."""
+
+    def __init__(self):
+        self.held, self.calls = None, 0
+
+    def __getattr__(self, name):
+        def call(*values):
+            self.calls += 1
+            if name == "get":
+                return iter(self.held or []) if isinstance(self.held, list) or self.held is None else self.held
+            if name == "exists":
+                return self.held is not None
+            self.held = {"clear": lambda: None, "update": lambda v: v, "put": list, "appendList": lambda v: [*(self.held or []), *v]}.get(
+                name, lambda v: [*(self.held or []), v]
+            )(*values)
+
+        return call
+
+
+class _Handle:
+    def __init__(self):
+        self.waiting, self.current, self.timers = _State(), _State(), []
+
+    def getListState(self, name, schema):  # noqa: N802
+        return self.waiting
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self.current
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.append(at)
+
+
+class _Mark:
+    def __init__(self, at):
+        self.at = at
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.at
+
+
+def test_calls_to_the_state_do_not_grow_with_the_events_of_a_key():
+    """3,000 events a second apart in three parts, taken at two watermarks: a timer for the first one waiting, not for each."""
+    handle, processor = _Handle(), stages.StageProcessor(500_000)
+    processor.init(handle)
+    order = [*range(2000, 3000), *range(1000), *range(1000, 2000)]
+    parts = [pd.DataFrame({"at": [i * 1_000_000 for i in order[k : k + 1000]], "stage": [str(i) for i in order[k : k + 1000]]}) for k in (0, 1000, 2000)]
+    assert list(processor.handleInputRows(("a",), iter(parts), _Mark(0))) == []
+    assert handle.timers == [0] and handle.waiting.calls <= 3
+    made = []
+    for mark in (1_499_000, 10_000_000):
+        made += [r for rows in processor.handleExpiredTimer(("a",), _Mark(mark), None) for r in rows.itertuples(index=False)]
+        if mark < 2_999_000:
+            assert set(handle.timers) == {0, 1_500_000, 1_499_500}
+    assert [(r.stage, r.entered, r.left) for r in made] == [(str(i), i * 1_000_000, i * 1_000_000 + 500_000) for i in range(3000)]
+    assert len(handle.timers) <= 4 and handle.waiting.calls + handle.current.calls <= 16
+    assert handle.waiting.held is None and handle.current.held is None
