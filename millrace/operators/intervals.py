@@ -12,6 +12,10 @@ compared exactly. The join itself is an equi-join on (level, cell, keys), which
 broadcasts, sorts, and splits where a cell is too full; no nested loop or cartesian
 product is planned.
 
+With keys only the rows of the hot ones go through the grid: those with more than ``FEW``
+rows on both sides, or more than ``MANY`` on one. Of any other key a row meets ``FEW``
+rows at most on one side or the other, so these are joined by key, each row sent once.
+
 Bounds may be whole numbers, floating point, dates or timestamps; both ends are inclusive,
 and infinite ones are open. The grid lies between the least and greatest finite bound.
 An interval with a NULL or NaN bound, or that ends before it starts, overlaps nothing;
@@ -22,13 +26,17 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import deal_by_range
+from millrace.storage import scratch_path
+
+#: A key with no more rows than this on one side, and no more than ``MANY`` on the other, is joined as it is.
+FEW, MANY = 64, 100_000
 
 
 class _Grid(NamedTuple):
@@ -53,7 +61,7 @@ def join_overlapping(
 
     ``left_on`` names the columns of start and end; so does ``right_on``, or one column of
     points. The result has the left columns, then the right ones but ``by``; a name that
-    both have gets the suffix on the right. Two measuring jobs run first.
+    both have gets the suffix on the right. Measuring jobs run first.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
@@ -69,20 +77,74 @@ def join_overlapping(
     kept = _numbered(left, left_on, n["id"]) if how == "left" else left.withColumn(n["id"], F.lit(0))
     mine = _side(kept, left.columns, left_on, by, n, n["l"], [n["id"]])
     other = _side(right, list(take), right_on, by, n, n["r"], [])
-    grid = _measure(mine, other, n)
-    one = _copies(mine, grid, 0, n)
-    two = _copies(other, grid, 1, n).withColumnsRenamed({n["a"]: n["a2"], n["b"]: n["b2"], n["x"]: n["x2"]}).drop(n["y"])
-    met = one.join(two, [n["level"], n["kind"], n["cell"], *(n[f"k{i}"] for i in range(len(by)))])
-    own_cell = F.floor(F.greatest(n["x"], n["x2"]) / _size(F.col(n["level"]))) == F.col(n["cell"])
-    pairs = met.where(own_cell & (F.col(n["a"]) <= F.col(n["b2"])) & (F.col(n["a2"]) <= F.col(n["b"])))
     rights = [F.col(n["r"]).getField(f"c{i}").alias(name) for i, name in enumerate(take.values())]
+
+    def finish(pairs: DataFrame) -> DataFrame:
+        lefts = [F.col(n["l"]).getField(f"c{i}").alias(c) for i, c in enumerate(left.columns)]
+        return pairs.select(*lefts, *rights) if how == "inner" else pairs.select(n["id"], n["r"])
+
+    if by and all(dict(left.dtypes)[c] == dict(right.dtypes)[c] for c in by):
+        keys = [n[f"k{i}"] for i in range(len(by))]
+        found = finish(_join_by_key(kept, right, left.columns, take, left_on, right_on, by, n, hot := _hot_keys(mine, other, keys)))
+        if hot is not None:
+            found = found.unionByName(finish(_join_by_grid(mine.join(hot, keys, "left_semi"), other.join(hot, keys, "left_semi"), keys, n)))
+    else:
+        found = finish(_join_by_grid(mine, other, [n[f"k{i}"] for i in range(len(by))], n))
     if how == "inner":
-        return pairs.select(*(F.col(n["l"]).getField(f"c{i}").alias(c) for i, c in enumerate(left.columns)), *rights)
-    found = pairs.select(n["id"], n["r"])
+        return found
     both = kept.join(found, n["id"], "left")
     return both.select(*(F.col(f"`{c}`") for c in left.columns), *rights)
 
 
+def _join_by_grid(mine: DataFrame, other: DataFrame, keys: Sequence[str], n: dict) -> DataFrame:
+    """The pairs, met in the cells of the grid."""
+    grid = _measure(mine, other, n)
+    one = _copies(mine, grid, 0, n)
+    two = _copies(other, grid, 1, n).withColumnsRenamed({n["a"]: n["a2"], n["b"]: n["b2"], n["x"]: n["x2"]}).drop(n["y"])
+    met = one.join(two, [n["level"], n["kind"], n["cell"], *keys])
+    own_cell = F.floor(F.greatest(n["x"], n["x2"]) / _size(F.col(n["level"]))) == F.col(n["cell"])
+    return met.where(own_cell & (F.col(n["a"]) <= F.col(n["b2"])) & (F.col(n["a2"]) <= F.col(n["b"])))
+
+
+def _join_by_key(
+    kept: DataFrame,
+    right: DataFrame,
+    columns: Sequence[str],
+    take: Mapping[str, str],
+    left_on: tuple[str, str],
+    right_on: tuple[str, str],
+    by: Sequence[str],
+    n: dict,
+    hot: DataFrame | None,
+) -> DataFrame:
+    """The pairs of all keys but the hot ones. Columns go through the join one by one, so that unused ones are left out of it."""
+    one = {c: f"{n['l']}_{i}" for i, c in enumerate(kept.columns)}
+    two = {c: f"{n['r']}_{i}" for i, c in enumerate(right.columns)}
+    sides = []
+    for df, on, names in ((kept, left_on, one), (right, right_on, two)):
+        side = df.where(_usable(df, on, by))
+        if hot is not None:
+            side = side.join(hot, [df[f"`{c}`"] == hot[n[f"k{i}"]] for i, c in enumerate(by)], "left_anti")
+        sides.append(side.select(*(F.col(f"`{c}`").alias(name) for c, name in names.items())))
+    overlap = (F.col(one[left_on[0]]) <= F.col(two[right_on[1]])) & (F.col(two[right_on[0]]) <= F.col(one[left_on[1]]))
+    for c in by:
+        overlap &= F.col(one[c]) == F.col(two[c])
+    whole = F.struct(F.lit(0).alias("one"), *(F.col(one[c]).alias(f"c{i}") for i, c in enumerate(columns)))
+    other = F.struct(F.lit(0).alias("one"), *(F.col(two[c]).alias(f"c{i}") for i, c in enumerate(take)))
+    return sides[0].join(sides[1], overlap).select(F.col(one[n["id"]]).alias(n["id"]), whole.alias(n["l"]), other.alias(n["r"]))
+
+
+def _hot_keys(mine: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The keys whose pairs, or whose rows, are too many for a join by key alone; staged. None if there is none."""
+    n1, n2 = (f"_{uuid.uuid4().hex[:12]}" for _ in range(2))
+    counts = [df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > FEW) for df, n in ((mine, n1), (other, n2))]
+    hot = counts[0].join(counts[1], list(keys), "full").where((F.col(n1).isNotNull() & F.col(n2).isNotNull()) | (F.greatest(n1, n2) > MANY))
+    path = scratch_path(mine.sparkSession, "hot-keys")
+    hot.select(*keys).write.parquet(path)
+    staged = mine.sparkSession.read.schema(hot.select(*keys).schema).parquet(path)
+    return None if staged.isEmpty() else staged
+
+
 def _number(c: str, kind: str) -> Column:
     """A bound as a double that keeps the order: days, microseconds, or the number itself."""
     if kind == "date":
@@ -103,17 +165,23 @@ def _numbered(df: DataFrame, on: tuple[str, str], name: str) -> DataFrame:
     return dealt.withColumn(name, F.col(name).cast("long") * (1 << 33) + F.col(low)).drop(low)
 
 
+def _usable(df: DataFrame, on: tuple[str, str], by: Sequence[str]) -> Column:
+    """Whether a row can overlap any."""
+    kind = dict(df.dtypes)[on[0]]
+    known = (F.col(on[0]) <= F.col(on[1])) & ~F.isnan(_number(on[0], kind)) & ~F.isnan(_number(on[1], kind))
+    for c in by:
+        known &= F.col(f"`{c}`").isNotNull()
+    return known
+
+
 def _side(df: DataFrame, columns: Sequence[str], on: tuple[str, str], by: Sequence[str], n: dict, packed: str, more: Sequence[str]) -> DataFrame:
     """The rows that can overlap any, as structs, with exact bounds a and b and the same as doubles x and y."""
     kind = dict(df.dtypes)[on[0]]
     x, y = _number(on[0], kind), _number(on[1], kind)
-    known = (F.col(on[0]) <= F.col(on[1])) & ~F.isnan(x) & ~F.isnan(y)
-    for c in by:
-        known &= F.col(f"`{c}`").isNotNull()
     whole = F.struct(F.lit(0).alias("one"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)))
     keys = [F.col(f"`{c}`").alias(n[f"k{i}"]) for i, c in enumerate(by)]
     bounds = [F.col(on[0]).alias(n["a"]), F.col(on[1]).alias(n["b"]), x.alias(n["x"]), y.alias(n["y"])]
-    return df.where(known).select(whole.alias(packed), *more, *keys, *bounds)
+    return df.where(_usable(df, on, by)).select(whole.alias(packed), *more, *keys, *bounds)
 
 
 def _measure(mine: DataFrame, other: DataFrame, n: dict) -> _Grid:

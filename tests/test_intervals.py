@@ -4,8 +4,10 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 import millrace as m
+from millrace.operators import intervals
 
 INF, NAN = float("inf"), float("nan")
 
@@ -98,3 +100,31 @@ def test_empty_sides_and_wrong_arguments(spark):
         m.join_overlapping(one, two, ("a", "b"), ("id", "id"))
     with pytest.raises(ValueError, match="twice"):
         m.join_overlapping(one.withColumnRenamed("k", "id_right"), two, ("a", "b"), ("c", "d"))
+
+
+@pytest.mark.parametrize(("few", "many"), [(0, 100), (2, 100), (100, 30), (100, 100)])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_and_other_keys(spark, monkeypatch, how, few, many):
+    """Keys of the grid and keys of their own, each pair made once, wherever the line between them lies."""
+    monkeypatch.setattr(intervals, "FEW", few)
+    monkeypatch.setattr(intervals, "MANY", many)
+    rng = random.Random(10)
+    keys = ["hot"] * 40 + [f"k{i % 25}" for i in range(60)] + [None]
+    left, right = ([(i, rng.choice(keys), *any_length(rng)) for i in range(120)] for _ in range(2))
+    one, two = frames(spark, left, right)
+    found = m.join_overlapping(one, two, ("a", "b"), ("c", "d"), ["k"], how)
+    assert sorted(((r.id, r.id_right) for r in found.collect()), key=str) == by_pairs(left, right, True, how == "left")
+
+
+def test_rows_of_other_keys_are_sent_once(spark):
+    """No copies for cells and no packed rows where every key has few rows on one side."""
+    left = spark.range(500).selectExpr("id AS k", "CAST(id AS DOUBLE) AS a", "id + pow(2D, id % 9) AS b")
+    right = spark.range(3000).selectExpr("id % 500 AS k", "CAST(id % 700 AS DOUBLE) AS c", "id AS n", "'unused' AS more")
+    found = m.join_overlapping(left, right, ("a", "b"), "c", ["k"]).groupBy("k").agg(F.sum("n").alias("n"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "unused" not in plan and "struct" not in plan
+    want = {}
+    for i in range(3000):
+        if i % 500 <= i % 700 <= i % 500 + 2 ** (i % 500 % 9):
+            want[i % 500] = want.get(i % 500, 0) + i
+    assert {r.k: r.n for r in found.collect()} == want
