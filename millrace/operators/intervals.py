@@ -16,6 +16,11 @@ With keys only the rows of the hot ones go through the grid: those with more tha
 rows on both sides, or more than ``MANY`` on one. Of any other key a row meets ``FEW``
 rows at most on one side or the other, so these are joined by key, each row sent once.
 
+Where only measures of the points met by each interval are asked for, no pairs are made,
+whose number grows with the square of the input: the distinct points are numbered in their
+order and summed up in runs of 1, 2, 4, 8 ... of them, and an interval, which holds a range
+of numbers, is the sum of at most two runs of each length.
+
 Bounds may be whole numbers, floating point, dates or timestamps; both ends are inclusive,
 and infinite ones are open. The grid lies between the least and greatest finite bound.
 An interval with a NULL or NaN bound, or that ends before it starts, overlaps nothing;
@@ -32,11 +37,13 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import deal_by_range
+from millrace.operators.ordered import deal_by_range, running_totals
 from millrace.storage import scratch_path
 
 #: A key with no more rows than this on one side, and no more than ``MANY`` on the other, is joined as it is.
 FEW, MANY = 64, 100_000
+#: How parts of a measure are put together.
+_MERGED = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 
 class _Grid(NamedTuple):
@@ -56,19 +63,30 @@ def join_overlapping(
     by: Sequence[str] = (),
     how: str = "inner",
     suffix: str = "_right",
+    measures: Mapping[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Each left row with each right row of the same ``by`` that overlaps it; with ``how="left"`` also the others, once.
 
     ``left_on`` names the columns of start and end; so does ``right_on``, or one column of
     points. The result has the left columns, then the right ones but ``by``; a name that
     both have gets the suffix on the right. Measuring jobs run first.
+
+    With ``measures``, of points only, the result has each left row once with these of the
+    right rows it overlaps: name -> (``count``, ``sum``, ``min`` or ``max``, a right column;
+    ``*`` to count rows). ``how`` says whether left rows that overlap none are there, with NULLs.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
+    if measures is not None and not (isinstance(right_on, str) and measures and {f for f, _ in measures.values()} <= {*_MERGED}):
+        raise ValueError(f"measures must be of points, by {', '.join(_MERGED)}")
+    if measures is not None and (twice := {*left.columns} & {*measures}):
+        raise ValueError(f"overlap join would have a column twice: {sorted(twice)}")
     right_on = (right_on, right_on) if isinstance(right_on, str) else right_on
     kinds = {kind for df, on in ((left, left_on), (right, right_on)) for c, kind in df.dtypes if c in on}
     if len(kinds) != 1:
         raise ValueError(f"interval bounds differ in type: {sorted(kinds)}")
+    if measures is not None:
+        return _measured(left, right, left_on, right_on[0], by, how, measures)
     take = {c: c + suffix if c in left.columns else c for c in right.columns if c not in by}
     if len({*left.columns, *take.values()}) < len(left.columns) + len(take):
         raise ValueError(f"overlap join would have a column twice: {sorted(take.values())}")
@@ -96,6 +114,54 @@ def join_overlapping(
     return both.select(*(F.col(f"`{c}`") for c in left.columns), *rights)
 
 
+def _measured(
+    left: DataFrame, right: DataFrame, left_on: tuple[str, str], point: str, by: Sequence[str], how: str, measures: Mapping[str, tuple[str, str]]
+) -> DataFrame:
+    """The left rows with the measures of the points they hold."""
+    n = {x: f"_{uuid.uuid4().hex[:12]}" for x in ("a", "b", "at", "kind", "rank", "lo", "hi", "level", "run")}
+    keys = {c: f"_{uuid.uuid4().hex[:12]}" for c in by}
+    own = {name: f"_{uuid.uuid4().hex[:12]}" for name in measures}
+    functions = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+    first = [functions[f](F.lit(1) if c == "*" else F.col(f"`{c}`")).alias(own[name]) for name, (f, c) in measures.items()]
+    merged = [_MERGED[f](own[name]).alias(own[name]) for name, (f, _) in measures.items()]
+    k = list(keys.values())
+
+    def keyed(df: DataFrame, on: tuple[str, str], names: tuple[str, str]) -> DataFrame:
+        ends = dict(zip(names, on, strict=True))
+        return df.where(_usable(df, on, by)).withColumns({name: F.col(f"`{c}`") for name, c in (*((v, c) for c, v in keys.items()), *ends.items())})
+
+    spans = keyed(left, left_on, (n["a"], n["b"])).select(*k, n["a"], n["b"]).distinct()
+    points = keyed(right, (point, point), (n["at"], n["at"])).groupBy(*k, n["at"]).agg(*first)
+    # An interval's start comes before the points equal to it, its end after them.
+    starts, ends = (spans.withColumns({n["at"]: F.col(n[c]), n["kind"]: F.lit(kind)}) for c, kind in (("a", 0), ("b", 2)))
+    every = points.withColumn(n["kind"], F.lit(1)).unionByName(starts.unionByName(ends), allowMissingColumns=True)
+    ranked = running_totals(every, [n["at"], n["kind"]], {n["rank"]: (F.col(n["kind"]) == 1).cast("long")}, k)
+    end = lambda kind: F.max(F.when(F.col(n["kind"]) == kind, F.col(n["rank"])))
+    ranges = ranked.where(F.col(n["kind"]) != 1).groupBy(*k, n["a"], n["b"]).agg(end(0).alias(n["lo"]), end(2).alias(n["hi"]))
+    ranges = ranges.where(F.col(n["lo"]) < F.col(n["hi"]))
+    longest = ranges.agg(F.max(F.col(n["hi"]) - F.col(n["lo"]))).first()[0] or 1
+    levels = range(longest.bit_length())
+    placed = ranked.where(F.col(n["kind"]) == 1).withColumn(n["level"], F.explode(F.array(*(F.lit(v) for v in levels))))
+    run = F.expr(f"shiftright({n['rank']} - 1, {n['level']})").alias(n["run"])
+    runs = placed.select(*k, n["level"], run, *own.values()).groupBy(*k, n["level"], n["run"]).agg(*merged)
+
+    def used(level: int) -> Column:
+        """The runs of a length that a range holds and no longer one of it does: one at either end at most."""
+        low, high = F.shiftright(F.col(n["lo"]) + ((1 << level) - 1), level), F.shiftright(n["hi"], level)
+        at = F.lit(level).alias("level")
+        one = F.struct(at, low.alias("run"))
+        two = F.struct(at, (high - 1).alias("run"))
+        return F.array(F.when((low < high) & (low % 2 == 1), one), F.when((low < high) & (high % 2 == 1), two))
+
+    parts = ranges.select(*k, n["a"], n["b"], F.explode(F.array_compact(F.concat(*(used(v) for v in levels)))).alias("part"))
+    parts = parts.select(*k, n["a"], n["b"], F.col("part.level").alias(n["level"]), F.col("part.run").alias(n["run"]))
+    found = parts.join(runs, [*k, n["level"], n["run"]]).groupBy(*k, n["a"], n["b"]).agg(*merged)
+    same = (F.col(f"`{left_on[0]}`") == F.col(n["a"])) & (F.col(f"`{left_on[1]}`") == F.col(n["b"]))
+    for c in by:
+        same &= F.col(f"`{c}`") == F.col(keys[c])
+    return left.join(found, same, how).select(*(F.col(f"`{c}`") for c in left.columns), *(F.col(own[name]).alias(name) for name in measures))
+
+
 def _join_by_grid(mine: DataFrame, other: DataFrame, keys: Sequence[str], n: dict) -> DataFrame:
     """The pairs, met in the cells of the grid."""
     grid = _measure(mine, other, n)

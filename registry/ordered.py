@@ -78,9 +78,11 @@ FROM ({BANDS.format(part="part")}) b JOIN supplier s ON s.s_acctbal BETWEEN b.a
 def join_price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers whose balance lies in a part's price band: an interval join without any key."""
     bands = m.run_sql(table(spark, sf_dir, "part"), BANDS.format(part="src"))
-    found = m.join_overlapping(bands, table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal"), ("a", "b"), "s_acctbal")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    measures = {"n": ("count", "*"), "first_supplier": ("min", "s_suppkey"), "last_supplier": ("max", "s_suppkey")}
+    found = m.join_overlapping(bands, suppliers, ("a", "b"), "s_acctbal", measures=measures)
     return found.groupBy("p_partkey").agg(
-        F.count(F.lit(1)).alias("n"), F.min("s_suppkey").alias("first_supplier"), F.max("s_suppkey").alias("last_supplier")
+        F.sum("n").alias("n"), F.min("first_supplier").alias("first_supplier"), F.max("last_supplier").alias("last_supplier")
     )
 
 

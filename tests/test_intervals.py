@@ -128,3 +128,36 @@ def test_rows_of_other_keys_are_sent_once(spark):
         if i % 500 <= i % 700 <= i % 500 + 2 ** (i % 500 % 9):
             want[i % 500] = want.get(i % 500, 0) + i
     assert {r.k: r.n for r in found.collect()} == want
+
+
+@pytest.mark.parametrize(("keyed", "how"), [(False, "inner"), (True, "left")])
+def test_measures_against_all_pairs(spark, keyed, how):
+    rng = random.Random(11)
+    left, right = rows(rng, 150, any_length), [(*r[:3], r[2]) for r in rows(rng, 150, any_length)]
+    left += left[:9] + [(900 + i, r[1], r[2], r[2]) for i, r in enumerate(right[:20])]
+    right += right[:9] + [(None, *r[1:]) for r in right[:9]]
+    one, two = frames(spark, left, right)
+    made = {"n": ("count", "*"), "least": ("min", "id"), "most": ("max", "id"), "ids": ("sum", "id"), "known": ("count", "id")}
+    found = m.join_overlapping(one, two, ("a", "b"), "c", ["k"] if keyed else [], how, measures=made)
+    assert found.columns == [*one.columns, *made]
+    want = []
+    for x in left:
+        ids = [y for _, y in by_pairs([x], right, keyed)]
+        known = [y for y in ids if y is not None]
+        if ids:
+            want.append((x[0], len(ids), min(known, default=None), max(known, default=None), sum(known) if known else None, len(known)))
+        elif how == "left":
+            want.append((x[0], *[None] * 5))
+    assert sorted(((r.id, r.n, r.least, r.most, r.ids, r.known) for r in found.collect()), key=str) == sorted(want, key=str)
+
+
+def test_measures_make_no_pairs(spark):
+    """50,000 intervals that all hold 50,000 points: 2.5 billion pairs."""
+    left = spark.range(50_000).selectExpr("id", "-1D - id AS a", "50000D + id AS b")
+    right = spark.range(50_000).selectExpr("id AS point", "CAST(id AS DOUBLE) AS c")
+    found = m.join_overlapping(left, right, ("a", "b"), "c", measures={"n": ("count", "*"), "last": ("max", "point")})
+    assert found.groupBy("n", "last").count().collect() == [(50_000, 49_999, 50_000)]
+    with pytest.raises(ValueError, match="measures"):
+        m.join_overlapping(left, right, ("a", "b"), ("c", "c"), measures={"n": ("count", "*")})
+    with pytest.raises(ValueError, match="twice"):
+        m.join_overlapping(left, right, ("a", "b"), "c", measures={"a": ("count", "*")})
